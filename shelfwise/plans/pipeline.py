@@ -1,0 +1,73 @@
+"""End-to-end jobs (RUN-1..3): analytics, forecasting, the daily pipeline.
+
+The pipeline publishes each report set and then reads the *written* reports
+back for the summary: the written directory (in the shared output folder)
+cuts lineage, so the summary neither recomputes the reports nor depends on
+executors that may have been lost meanwhile.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from shelfwise.operators import forecast, kpis, reports
+from shelfwise.sinks.writers import (ANALYTICS_SHEETS, FORECAST_SHEETS, persist_forecasts,
+                                     publish_reports)
+from shelfwise.sources.model import StarModel
+
+
+def run_all_analytics(model: StarModel, as_of) -> dict[str, DataFrame]:
+    """The four analytics reports, lazily (RUN-1)."""
+    return {
+        "top_sellers": reports.top_sellers(model, as_of),
+        "low_sellers": reports.low_sellers(model, as_of),
+        "stock": reports.stock_coverage(model, as_of),
+        "six_month": reports.six_month_average(model, as_of),
+    }
+
+
+def run_forecasting(spark: SparkSession, model: StarModel, as_of, root: str | None = None,
+                    run_date: dt.date | None = None, persist: bool = True) -> dict[str, DataFrame]:
+    """Both forecasts; replace the forecast tables and publish the set (RUN-2)."""
+    fc = {"total": forecast.forecast_total(model, as_of),
+          "products": forecast.forecast_products(model, as_of)}
+    if persist:
+        persist_forecasts(spark, fc["total"], fc["products"])
+    if root:
+        publish_reports(fc, f"{root.rstrip('/')}/forecasts", run_date, FORECAST_SHEETS)
+    return fc
+
+
+def _read_sheet(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/parquet")
+
+
+def run_pipeline(spark: SparkSession, model: StarModel, as_of, root: str,
+                 run_date: dt.date | None = None, persist_tables: bool = False) -> dict:
+    """Analytics -> publish -> forecasts -> summary datasets (RUN-3)."""
+    run_date = run_date or dt.date.today()
+    root = root.rstrip("/")
+    analytics = run_all_analytics(model, as_of)
+    paths = publish_reports(analytics, f"{root}/analytics", run_date, ANALYTICS_SHEETS)
+    fc = run_forecasting(spark, model, as_of, root, run_date, persist=persist_tables)
+
+    stock = _read_sheet(spark, paths["stock"])
+    critical = stock.where(F.col("stock_status") == reports.STATUS_CRITICAL)
+    header = kpis.ytd(model, as_of).select(
+        "ytd_revenue", "ytd_units",
+        critical.agg(F.count(F.lit(1))).scalar().alias("critical_skus"))
+    fc_total = spark.read.parquet(f"{root}/forecasts/run_date={run_date:%Y%m%d}/Total_Revenue/parquet")
+    sections = {
+        "header": header,
+        "top_sellers": _read_sheet(spark, paths["top_sellers"])
+        .orderBy(F.desc("revenue"), "product_id").limit(10),
+        "low_sellers": _read_sheet(spark, paths["low_sellers"])
+        .orderBy("units_sold", "product_id").limit(10),
+        "critical_stock": critical.orderBy(F.asc_nulls_last("days_of_cover"), "product_id").limit(10),
+        "forecast_total": fc_total.orderBy("month").limit(5),
+    }
+    summary_paths = publish_reports(sections, f"{root}/summary", run_date, formats=("parquet",))
+    return {"analytics": paths, "forecasts": fc, "summary": summary_paths}

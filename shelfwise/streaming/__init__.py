@@ -1,0 +1 @@
+"""Incremental ingestion of new sales files with Structured Streaming."""

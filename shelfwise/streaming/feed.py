@@ -1,0 +1,42 @@
+"""Daily sales drops as a stream (the reference's scheduled append, SNK-3).
+
+The reference appends generated sales once a day from a scheduler.  Here
+new files in a landing folder are picked up by a file stream; each
+micro-batch is written to its own ``batch=<id>`` directory with overwrite,
+so a batch replayed after a failure replaces its own output instead of
+duplicating it, and the checkpoint (in the shared checkpoint folder)
+records what has been committed.  ``available_now`` drains what has landed
+and stops, which is how a daily scheduled run uses it.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from shelfwise.sources.model import SALES_SCHEMA
+
+
+def sales_feed(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    reader = spark.readStream.schema(SALES_SCHEMA)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.parquet(landing_dir)
+
+
+def _batch_writer(fact_path: str, csv_path: str | None):
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{fact_path}/batch={batch_id}")
+        if csv_path:
+            batch.write.mode("overwrite").option("header", True).csv(f"{csv_path}/batch={batch_id}")
+    return write
+
+
+def ingest_sales(spark: SparkSession, landing_dir: str, fact_path: str, checkpoint: str,
+                 csv_path: str | None = None, available_now: bool = True,
+                 max_files_per_trigger: int | None = None):
+    """Start the ingest; returns the StreamingQuery (``awaitTermination`` for a one-shot run)."""
+    q = (sales_feed(spark, landing_dir, max_files_per_trigger).writeStream
+         .foreachBatch(_batch_writer(fact_path, csv_path))
+         .option("checkpointLocation", checkpoint))
+    q = q.trigger(availableNow=True) if available_now else q.trigger(processingTime="1 minute")
+    return q.start()
