@@ -89,8 +89,24 @@ def _stock_rule(product_id: Column) -> Column:
             .otherwise(F.lit(10)))
 
 
-def load_model(spark: SparkSession, sf_dir: str) -> StarModel:
-    """Map the driver tables onto the star model (FIXTURES.md §2)."""
+_MODELS: dict[tuple, StarModel] = {}
+
+
+def load_model(spark: SparkSession, sf_dir: str, refresh: bool = False) -> StarModel:
+    """Map the driver tables onto the star model (FIXTURES.md §2).
+
+    The model is a set of lazy plans; resolving it (file listing, parquet
+    footers, analysis) costs a few hundred driver round trips, so it is done
+    once per session and directory.  No data is cached: every query still
+    scans the files.  ``refresh=True`` re-lists the files.
+    """
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"))
+    if refresh or key not in _MODELS:
+        _MODELS[key] = _map_tables(spark, sf_dir)
+    return _MODELS[key]
+
+
+def _map_tables(spark: SparkSession, sf_dir: str) -> StarModel:
     lineitem = _read(spark, sf_dir, "lineitem")
     total = F.col("l_extendedprice").cast(T.DecimalType(14, 2))
     qty = F.col("l_quantity").cast(T.IntegerType())
