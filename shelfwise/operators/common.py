@@ -66,6 +66,12 @@ def totals_by(model: StarModel, cond: Column | None, by=()) -> DataFrame:
     by = list(by)
     fact_keys = [k for k in by if k in _TIME_KEYS]
     dim_keys = [k for k in by if k not in _TIME_KEYS and k != "product_id"]
+    if not dim_keys and "product_id" not in by:
+        # nothing to join: aggregate the fact by the time keys directly
+        return (sales_where(model, cond)
+                .groupBy(*[_TIME_KEYS[k]().alias(k) for k in by])
+                .agg(F.sum("total_amount").alias("revenue"),
+                     F.sum("quantity").cast("long").alias("units")))
     pre = (sales_where(model, cond)
            .groupBy("product_id", *[_TIME_KEYS[k]().alias(k) for k in fact_keys])
            .agg(F.sum("total_amount").alias("revenue"),

@@ -43,36 +43,36 @@ def product_monthly_revenue(model: StarModel, as_of, months: int = 18) -> DataFr
 
 
 def fill_and_fit(series: DataFrame, keys: list[str]) -> DataFrame:
-    """Per series (``keys``): spine the months first..last, interpolate gaps
-    linearly by position, and fit revenue ~ month index.
+    """Per series (``keys``): fill the gap months linearly by position and fit
+    revenue ~ month index (index 0 = the series' first month).
+
+    Each known month emits itself and the gap months up to the next known
+    month (``lead`` over the series), interpolated between the two; so no
+    month spine has to be joined back.  The window and the fit aggregate
+    share one hash partitioning on ``keys``: a single shuffle.
 
     Input columns: keys, month (DATE, month start), revenue.
     Output: keys, last_month, raw_months, span, slope, intercept.
     """
-    bounds = series.groupBy(*keys).agg(F.min("month").alias("first_month"),
-                                       F.max("month").alias("last_month"),
-                                       F.count(F.lit(1)).alias("raw_months"))
-    spine = bounds.select(*keys, "first_month", "last_month", "raw_months",
-                          F.explode(F.sequence("first_month", "last_month",
-                                               F.expr("INTERVAL 1 MONTH"))).alias("month"))
-    pts = (spine.join(series.select(*keys, "month", F.col("revenue").cast("double").alias("y")),
-                      [*keys, "month"], "left")
-           .withColumn("x", D.month_number(F.col("month")) - D.month_number(F.col("first_month"))))
-    back = Window.partitionBy(*keys).orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
-    ahead = Window.partitionBy(*keys).orderBy("x").rowsBetween(0, Window.unboundedFollowing)
-    known_x = F.when(F.col("y").isNotNull(), F.col("x"))
-    pts = pts.select("*",
-                     F.last(known_x, ignorenulls=True).over(back).alias("x0"),
-                     F.last("y", ignorenulls=True).over(back).alias("y0"),
-                     F.first(known_x, ignorenulls=True).over(ahead).alias("x1"),
-                     F.first("y", ignorenulls=True).over(ahead).alias("y1"))
-    yf = F.coalesce(F.col("y"),
-                    F.col("y0") + (F.col("y1") - F.col("y0")) * (F.col("x") - F.col("x0"))
-                    / (F.col("x1") - F.col("x0")))
+    w = Window.partitionBy(*keys).orderBy("month")
+    whole = Window.partitionBy(*keys)
+    mnum = D.month_number(F.col("month"))
+    seg = series.select(
+        *keys, "month", F.col("revenue").cast("double").alias("y0"),
+        (mnum - F.min(mnum).over(whole)).alias("x0"),
+        (D.month_number(F.lead("month").over(w)) - mnum).alias("gap"),
+        F.lead(F.col("revenue").cast("double")).over(w).alias("y1"),
+        F.max("month").over(whole).alias("last_month"),
+        F.count(F.lit(1)).over(whole).alias("raw_months"))
+    pts = seg.select(*keys, "last_month", "raw_months", "x0", "y0", "y1", "gap",
+                     F.explode(F.sequence(F.lit(0), F.coalesce(F.col("gap") - 1, F.lit(0)))).alias("k"))
+    x = F.col("x0") + F.col("k")
+    y = F.when(F.col("k") == 0, F.col("y0")).otherwise(
+        F.col("y0") + (F.col("y1") - F.col("y0")) * F.col("k") / F.col("gap"))
     return (pts.groupBy(*keys, "last_month", "raw_months")
             .agg(F.count(F.lit(1)).alias("span"),
-                 F.regr_slope(yf, F.col("x").cast("double")).alias("slope"),
-                 F.regr_intercept(yf, F.col("x").cast("double")).alias("intercept")))
+                 F.regr_slope(y, x.cast("double")).alias("slope"),
+                 F.regr_intercept(y, x.cast("double")).alias("intercept")))
 
 
 def _horizon(fit: DataFrame, months_ahead: int) -> DataFrame:
@@ -120,10 +120,9 @@ def forecast_products_h(model: StarModel, as_of, top_n: int = 10, months_ahead:
     # at most top_n rows: a proven bound, so broadcasting the key set is safe
     top = F.broadcast(top_recent_products(pm, top_n))
     series = pm.join(top, "product_id", "left_semi")
-    fit = fill_and_fit(series.select("product_id", "month", "revenue"), ["product_id"]) \
-        .where(F.col("span") >= MIN_HISTORY)
-    names = series.groupBy("product_id").agg(F.min("product_name").alias("product_name"))
-    out = _horizon(fit, months_ahead).join(names, "product_id")
+    # a product has one name, so carrying it as a series key adds no group
+    fit = fill_and_fit(series, ["product_id", "product_name"]).where(F.col("span") >= MIN_HISTORY)
+    out = _horizon(fit, months_ahead)
     return out.select("product_id", "product_name", "h",
                       F.col("month").alias("forecast_month"),
                       guarded_round2(F.greatest(F.col("pred"), F.lit(0.0))).alias("forecast_revenue"))

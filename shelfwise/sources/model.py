@@ -8,6 +8,8 @@ tables and columns it touches, and filters reach the parquet scan.
 
 from __future__ import annotations
 
+import threading
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -90,20 +92,42 @@ def _stock_rule(product_id: Column) -> Column:
 
 
 _MODELS: dict[tuple, StarModel] = {}
+_LOCK = threading.Lock()
 
 
-def load_model(spark: SparkSession, sf_dir: str, refresh: bool = False) -> StarModel:
+def load_model(spark: SparkSession, sf_dir: str, refresh: bool = False,
+               materialize_dims: bool = True) -> StarModel:
     """Map the driver tables onto the star model (FIXTURES.md §2).
 
-    The model is a set of lazy plans; resolving it (file listing, parquet
-    footers, analysis) costs a few hundred driver round trips, so it is done
-    once per session and directory.  No data is cached: every query still
-    scans the files.  ``refresh=True`` re-lists the files.
+    The fact (``sales``) stays a lazy projection of ``lineitem``, so filters
+    and column pruning reach its parquet scan.  The derived dimensions
+    (categories, products, stores, inventory) are what the reference keeps as
+    tables; with ``materialize_dims`` they are written once per session to
+    the shared checkpoint folder and read back, instead of being re-derived
+    (window, distinct, joins) inside every query.  Resolution is cached per
+    session and directory; ``refresh=True`` rebuilds it.
     """
-    key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"))
-    if refresh or key not in _MODELS:
-        _MODELS[key] = _map_tables(spark, sf_dir)
-    return _MODELS[key]
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"), materialize_dims)
+    with _LOCK:
+        if refresh or key not in _MODELS:
+            model = _map_tables(spark, sf_dir)
+            if materialize_dims:
+                model = materialize_dimensions(spark, model)
+            _MODELS[key] = model
+        return _MODELS[key]
+
+
+def materialize_dimensions(spark: SparkSession, model: StarModel, root: str | None = None) -> StarModel:
+    """Write the dimension tables to parquet (in the shared checkpoint folder
+    unless ``root`` is given) and return a model that reads them back."""
+    from shelfwise.session import ensure_checkpoint_dir
+    base = (root or ensure_checkpoint_dir(spark)).rstrip("/") + f"/model-{uuid.uuid4().hex}"
+    frames = {"sales": model.sales}
+    for name in ("categories", "products", "stores", "inventory"):
+        path = f"{base}/{name}"
+        getattr(model, name).write.mode("overwrite").parquet(path)
+        frames[name] = spark.read.schema(SCHEMAS[name]).parquet(path)
+    return StarModel(**frames)
 
 
 def _map_tables(spark: SparkSession, sf_dir: str) -> StarModel:
