@@ -18,7 +18,7 @@ def dec(value: str | int | float, precision: int = 38, scale: int = 0) -> Column
 
 
 def safe_ratio(num: Column, den: Column) -> Column:
-    """``num / den`` or NULL when ``den`` is NULL or zero (DAX DIVIDE semantics)."""
+    """``num / den`` or NULL when ``den`` is NULL or zero (the BI DIVIDE semantics)."""
     return F.try_divide(num, den)
 
 

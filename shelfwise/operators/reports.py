@@ -117,7 +117,7 @@ def six_month_average(model: StarModel, as_of, months: int = 12, calendar: bool
     """Rolling mean of monthly revenue per product (RPT-7).
 
     Default: the last ``frame`` product-months *with sales* (row frame, as the
-    SQL view and the pandas rolling mean).  ``calendar=True``: the months
+    SQL view and the rolling mean of the analytics code).  ``calendar=True``: the months
     falling in the last ``frame`` calendar months (the BI measure); months
     without sales are absent, never zeros.
     """

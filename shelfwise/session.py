@@ -14,11 +14,25 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Broadcasts are never forced on data that grows: the plan-time check uses
+    # file statistics, the runtime one the measured shuffle output.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
-    "spark.sql.autoBroadcastJoinThreshold": "32MB",
+    "spark.sql.autoBroadcastJoinThreshold": "16MB",
     "spark.ui.enabled": "false",
 }
 
+# Suggested settings for a large cluster reading ~100 TB (applied by the job
+# launcher, not by tests): many initial shuffle partitions that AQE coalesces
+# to ~256 MB, 256 MB scan splits, skew splitting from 5x the median.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "16384",
+    "spark.sql.files.maxPartitionBytes": "256MB",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256MB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512MB",
+    "spark.sql.adaptive.rebalancePartitionsSmallPartitionFactor": "0.2",
+}
+
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app_name: str = "shelfwise", extra: dict | None = None) -> SparkSession:
