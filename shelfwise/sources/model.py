@@ -107,16 +107,28 @@ def load_model(spark: SparkSession, sf_dir: str, refresh: bool = False,
     (window, distinct, joins) inside every query.  Resolution is cached per
     session and directory; ``refresh=True`` rebuilds it.
     """
-    key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"), materialize_dims)
+    key = (_app_id(spark), id(spark), sf_dir.rstrip("/"), materialize_dims)
     with _LOCK:
         if refresh or key not in _MODELS:
             model = _map_tables(spark, sf_dir)
-            if materialize_dims:
+            if materialize_dims and _has_context(spark):
                 model = materialize_dimensions(spark, model)
             _MODELS[key] = model
         return _MODELS[key]
 
 
+def _has_context(spark: SparkSession) -> bool:
+    try:
+        spark.sparkContext
+        return True
+    except Exception:            # a Spark Connect session has no local context
+        return False
+
+
+def _app_id(spark: SparkSession) -> str:
+    return spark.sparkContext.applicationId if _has_context(spark) else spark.conf.get("spark.app.id", "")
+
+
 def materialize_dimensions(spark: SparkSession, model: StarModel, root: str | None = None) -> StarModel:
     """Write the dimension tables to parquet (in the shared checkpoint folder
     unless ``root`` is given) and return a model that reads them back."""
