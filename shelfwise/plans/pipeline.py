@@ -34,10 +34,12 @@ def run_forecasting(spark: SparkSession, model: StarModel, as_of, root: str | No
     """Both forecasts; replace the forecast tables and publish the set (RUN-2)."""
     fc = {"total": forecast.forecast_total(model, as_of),
           "products": forecast.forecast_products(model, as_of)}
+    if root:
+        paths = publish_reports(fc, f"{root.rstrip('/')}/forecasts", run_date, FORECAST_SHEETS)
+        # the tables are filled from the published files: each forecast runs once
+        fc = {k: _read_sheet(spark, p) for k, p in paths.items()}
     if persist:
         persist_forecasts(spark, fc["total"], fc["products"])
-    if root:
-        publish_reports(fc, f"{root.rstrip('/')}/forecasts", run_date, FORECAST_SHEETS)
     return fc
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 MODES = {"append": "append", "replace": "overwrite", "fail": "errorifexists"}
@@ -41,15 +42,24 @@ def save_processed(df: DataFrame, root: str, name: str = "sales_clean",
     root = root.rstrip("/")
     paths = {"parquet": f"{root}/{name}.parquet", "csv": f"{root}/{name}.csv"}
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(paths["parquet"])
-    df.write.mode("overwrite").partitionBy(*partition_by).option("header", True).csv(paths["csv"])
+    # the CSV copy is made from the written files: the plan is computed once
+    written = df.sparkSession.read.parquet(paths["parquet"])
+    written.write.mode("overwrite").partitionBy(*partition_by).option("header", True).csv(paths["csv"])
     return paths
 
 
 def persist_sales(df: DataFrame, fact_path: str, csv_path: str | None = None) -> None:
     """Append to the sales fact and keep a CSV copy (SNK-3)."""
-    df.write.mode("append").parquet(fact_path)
-    if csv_path:
+    if not csv_path:
+        df.write.mode("append").parquet(fact_path)
+        return
+    # both copies from one evaluation; a lost cached block is recomputed
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        df.write.mode("append").parquet(fact_path)
         df.write.mode("append").option("header", True).csv(csv_path)
+    finally:
+        df.unpersist()
 
 
 def persist_forecasts(spark: SparkSession, total: DataFrame, per_product: DataFrame,
@@ -60,9 +70,12 @@ def persist_forecasts(spark: SparkSession, total: DataFrame, per_product: DataFr
     spark.sql(f"DROP TABLE IF EXISTS {product_table}")
     written = {}
     for table, df in ((total_table, total), (product_table, per_product)):
-        written[table] = not df.isEmpty()          # a LIMIT 1 probe, not a count
-        if written[table]:
-            df.write.mode("append").saveAsTable(table)
+        # write once, then drop the table again if it came out empty: the
+        # forecast plan runs a single time and the probe reads the table
+        df.write.mode("append").saveAsTable(table)
+        written[table] = not spark.table(table).isEmpty()
+        if not written[table]:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
     return written
 
 
@@ -80,11 +93,15 @@ def publish_reports(reports: dict[str, DataFrame], root: str, run_date: dt.date
     for key, df in reports.items():
         sheet = (sheets or {}).get(key, key)
         path = f"{base}/{sheet}"
+        source = df
         for fmt in formats:
-            w = df.write.mode("overwrite")
+            w = source.write.mode("overwrite")
             if fmt == "csv":
                 w = w.option("header", True)
             w.format(fmt).save(f"{path}/{fmt}")
+            if source is df:
+                # later copies come from the first written files, not a recompute
+                source = df.sparkSession.read.format(fmt).load(f"{path}/{fmt}") if fmt == "parquet" else df
         out[key] = path
     return out
 

@@ -25,9 +25,12 @@ def sales_feed(spark: SparkSession, landing_dir: str, max_files_per_trigger: int
 
 def _batch_writer(fact_path: str, csv_path: str | None):
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{fact_path}/batch={batch_id}")
+        target = f"{fact_path}/batch={batch_id}"
+        batch.write.mode("overwrite").parquet(target)
         if csv_path:
-            batch.write.mode("overwrite").option("header", True).csv(f"{csv_path}/batch={batch_id}")
+            # copy from the committed batch rather than re-reading the sources
+            (batch.sparkSession.read.parquet(target).write.mode("overwrite")
+             .option("header", True).csv(f"{csv_path}/batch={batch_id}"))
     return write
 
 
