@@ -113,24 +113,25 @@ def product_months(model: StarModel, cond) -> DataFrame:
 
 
 def six_month_average(model: StarModel, as_of, months: int = 12, calendar: bool = False,
-                      frame: int = 6) -> DataFrame:
+                      frame: int = 6, with_sku: bool = False) -> DataFrame:
     """Rolling mean of monthly revenue per product (RPT-7).
 
     Default: the last ``frame`` product-months *with sales* (row frame, as the
     SQL view and the rolling mean of the analytics code).  ``calendar=True``: the months
     falling in the last ``frame`` calendar months (the BI measure); months
-    without sales are absent, never zeros.
+    without sales are absent, never zeros.  ``with_sku`` adds the sku column
+    (the view form).
     """
     pm = product_months(model, D.trailing_months(F.col("sale_date"), as_of, months))
-    dim = product_dim(model).select("product_id", "product_name", "category_name")
+    ident = ["product_id", "sku", "product_name"] if with_sku else ["product_id", "product_name"]
+    dim = product_dim(model).select(*ident, "category_name")
     out = pm.join(dim, "product_id")
     if calendar:
         w = (Window.partitionBy("product_id").orderBy(D.month_number(F.col("month")))
              .rangeBetween(-(frame - 1), 0))
     else:
         w = Window.partitionBy("product_id").orderBy("month").rowsBetween(-(frame - 1), 0)
-    return (out.select("product_id", "product_name", "category_name", "month",
-                       "units_sold", "revenue",
+    return (out.select(*ident, "category_name", "month", "units_sold", "revenue",
                        F.round(F.avg("revenue").over(w), 2).alias("rolling_6m_avg_revenue"))
             .orderBy("product_id", "month"))
 

@@ -62,6 +62,19 @@ def persist_sales(df: DataFrame, fact_path: str, csv_path: str | None = None) ->
         df.unpersist()
 
 
+def write_fact(df: DataFrame, path: str, partition_by: str = "sale_date",
+               if_exists: str = "append") -> None:
+    """Lay the sales fact out partitioned by ``sale_date``.
+
+    Every report filters on a trailing date window; with the date as the
+    partition column those filters prune whole directories at planning time
+    (``PartitionFilters``) instead of reading row-group statistics.  Rows are
+    clustered by date first so each day is written by few tasks.
+    """
+    (df.repartitionByRange(partition_by).sortWithinPartitions(partition_by)
+     .write.mode(_mode(if_exists)).partitionBy(partition_by).parquet(path))
+
+
 def persist_forecasts(spark: SparkSession, total: DataFrame, per_product: DataFrame,
                       total_table: str = "forecast_total_revenue",
                       product_table: str = "forecast_product_revenue") -> dict[str, bool]:
@@ -113,7 +126,7 @@ def register_views(spark: SparkSession, model, as_of) -> list[str]:
         "vw_top_selling_products": reports.top_sellers_view(model, as_of),
         "vw_low_selling_products": reports.low_sellers(model, as_of, threshold=50),
         "vw_stock_coverage": reports.stock_coverage_view(model, as_of),
-        "vw_six_month_avg": reports.six_month_average(model, as_of),
+        "vw_six_month_avg": reports.six_month_average(model, as_of, with_sku=True),
         "vw_monthly_revenue": reports.monthly_revenue(model, as_of),
     }
     for name, df in views.items():

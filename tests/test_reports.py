@@ -111,3 +111,10 @@ def test_statuses_partition_products(spark):
     assert sum(by.values()) == n and set(by) <= {"NO_SALES", "CRITICAL", "LOW", "OK"}
     assert sc.where(F.col("days_of_cover").isNull() & (F.col("stock_status") != "NO_SALES")
                     & (F.col("total_stock") > 0)).count() == 0
+
+
+def test_six_month_view_form_has_sku(make_model):
+    m = make_model(sales=[sale(1, "2001-10-01", 1, 1, 10)])
+    df = reports.six_month_average(m, AS_OF, with_sku=True)
+    assert df.columns[:3] == ["product_id", "sku", "product_name"]
+    assert df.collect()[0].sku == "SKU-1"

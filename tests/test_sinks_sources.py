@@ -81,3 +81,19 @@ def test_register_views(spark, make_model):
     names = writers.register_views(spark, m, AS_OF)
     assert len(names) == 5
     assert spark.sql("SELECT COUNT(*) AS n FROM vw_top_selling_products").collect()[0].n == 1
+
+
+def test_partitioned_fact_prunes_by_date(spark, make_model, tmp_out):
+    from shelfwise.operators import reports
+    from shelfwise.sources.model import model_from_tables
+    m = make_model(sales=[sale(i, f"2001-{1 + i % 11:02d}-0{1 + i % 9}", 1 + i % 2, 1, 10 + i) for i in range(40)])
+    writers.write_fact(m.sales, f"{tmp_out}/star/sales")
+    for name in ("products", "categories", "stores", "inventory"):
+        getattr(m, name).write.parquet(f"{tmp_out}/star/{name}")
+    real = model_from_tables(spark, f"{tmp_out}/star")
+    df = reports.top_sellers(real, AS_OF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(sale_date" in plan and "sale_date" in plan
+    got = [(r.product_id, r.units_sold) for r in df.collect()]
+    want = [(r.product_id, r.units_sold) for r in reports.top_sellers(m, AS_OF).collect()]
+    assert got == want
