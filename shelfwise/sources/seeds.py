@@ -97,7 +97,8 @@ def demand_calendar(model: StarModel, start=None, end=None) -> DataFrame:
                   F.sum("total_amount").alias("revenue")))
     lo = D.as_of_col(start) if start is not None else F.min("sale_date")
     hi = D.as_of_col(end) if end is not None else F.max("sale_date")
-    days = (model.sales.agg(lo.alias("lo"), hi.alias("hi"))
+    # the range comes from the daily aggregate, not a second pass over the fact
+    days = (daily.agg(lo.alias("lo"), hi.alias("hi"))
             .select(F.explode(F.sequence("lo", "hi")).alias("sale_date")))
     weekend = F.dayofweek("sale_date").isin(1, 7)           # 1 = Sunday, 7 = Saturday
     season = F.lit(1.0) + F.lit(SEASON_AMPLITUDE) * F.sin(
