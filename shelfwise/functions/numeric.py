@@ -6,22 +6,11 @@ division because ANSI mode raises on a zero divisor.
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def dec(value: str | int | float, precision: int = 38, scale: int = 0) -> Column:
-    return F.lit(Decimal(str(value))).cast(T.DecimalType(precision, scale))
-
-
-def safe_ratio(num: Column, den: Column) -> Column:
-    """``num / den`` or NULL when ``den`` is NULL or zero (the BI DIVIDE semantics)."""
-    return F.try_divide(num, den)
-
-
 def half_up(num: Column, den: Column, scale: int) -> Column:
     """Exact ``round(num / den, scale)``, half away from zero, as a decimal.
 

@@ -32,12 +32,11 @@ def sales_where(model: StarModel, cond: Column | None) -> DataFrame:
 
 
 def product_totals(model: StarModel, cond: Column | None) -> DataFrame:
-    """Per product: units_sold (bigint), revenue (decimal), lines (bigint)."""
+    """Per product: units_sold (bigint), revenue (decimal)."""
     return (sales_where(model, cond)
             .groupBy("product_id")
             .agg(F.sum("quantity").cast("long").alias("units_sold"),
-                 F.sum("total_amount").alias("revenue"),
-                 F.count(F.lit(1)).alias("lines")))
+                 F.sum("total_amount").alias("revenue")))
 
 
 def stock_by_product(model: StarModel) -> DataFrame:
