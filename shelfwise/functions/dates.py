@@ -31,10 +31,17 @@ def last_n_days(date_col: Column, as_of, days: int) -> Column:
     return (date_col > F.date_sub(a, days)) & (date_col <= a)
 
 
-def trailing_months(date_col: Column, as_of, months: int) -> Column:
-    """``add_months(as_of, -months) <= date <= as_of``; short months clamp."""
+def trailing_months(date_col: Column, as_of, months: int, whole_months: bool = False) -> Column:
+    """``add_months(as_of, -months) <= date <= as_of``; short months clamp.
+
+    The cut-off falls mid-month, so the first month bucket is partial;
+    ``whole_months=True`` starts at the first day of the cut-off's month.
+    """
     a = as_of_col(as_of)
-    return (date_col >= F.add_months(a, -months)) & (date_col <= a)
+    start = F.add_months(a, -months)
+    if whole_months:
+        start = F.trunc(start, "month")
+    return (date_col >= start) & (date_col <= a)
 
 
 def last_n_months(date_col: Column, as_of, months: int) -> Column:

@@ -113,7 +113,7 @@ def product_months(model: StarModel, cond) -> DataFrame:
 
 
 def six_month_average(model: StarModel, as_of, months: int = 12, calendar: bool = False,
-                      frame: int = 6, with_sku: bool = False) -> DataFrame:
+                      frame: int = 6, with_sku: bool = False, whole_months: bool = False) -> DataFrame:
     """Rolling mean of monthly revenue per product (RPT-7).
 
     Default: the last ``frame`` product-months *with sales* (row frame, as the
@@ -122,7 +122,7 @@ def six_month_average(model: StarModel, as_of, months: int = 12, calendar: bool
     without sales are absent, never zeros.  ``with_sku`` adds the sku column
     (the view form).
     """
-    pm = product_months(model, D.trailing_months(F.col("sale_date"), as_of, months))
+    pm = product_months(model, D.trailing_months(F.col("sale_date"), as_of, months, whole_months))
     ident = ["product_id", "sku", "product_name"] if with_sku else ["product_id", "product_name"]
     dim = product_dim(model).select(*ident, "category_name")
     out = pm.join(dim, "product_id")

@@ -118,3 +118,10 @@ def test_six_month_view_form_has_sku(make_model):
     df = reports.six_month_average(m, AS_OF, with_sku=True)
     assert df.columns[:3] == ["product_id", "sku", "product_name"]
     assert df.collect()[0].sku == "SKU-1"
+
+
+def test_whole_months_option(make_model):
+    # cut-off 2000-11-04: a sale on 2000-11-02 is outside by default, inside with whole months
+    m = make_model(sales=[sale(1, "2000-11-02", 1, 1, 10), sale(2, "2001-10-01", 1, 1, 20)])
+    assert reports.six_month_average(m, AS_OF).count() == 1
+    assert reports.six_month_average(m, AS_OF, whole_months=True).count() == 2
