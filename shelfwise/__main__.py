@@ -38,7 +38,7 @@ def main(argv: list[str] | None = None) -> None:
     as_of = args.as_of or dt.date.today()
 
     if args.command == "pipeline":
-        from shelfwise.plans.pipeline import run_pipeline
+        from shelfwise.plans.jobs import run_pipeline
         out = run_pipeline(spark, model, as_of, args.out or "reports", run_date=as_of)
         print(out["summary"])
     elif args.command == "etl":

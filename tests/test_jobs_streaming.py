@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from shelfwise.plans.pipeline import run_pipeline
+from shelfwise.plans.jobs import run_pipeline
 from shelfwise.sources.model import load_model
 from shelfwise.streaming.feed import ingest_sales
 from tests.conftest import AS_OF, SF_SMALL, sale
