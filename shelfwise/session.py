@@ -66,6 +66,9 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
+    if fallback is None and not sc.master.startswith("local"):
+        # a driver-local folder is not visible to the executors
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     path = fallback or tempfile.mkdtemp(prefix="shelfwise-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir()
