@@ -97,10 +97,20 @@ def foreign_key_checks(model: StarModel) -> list[DataFrame]:
     return out
 
 
+def _union_all(parts: list[DataFrame]) -> DataFrame:
+    """Union frames of one schema as a balanced tree: each ``union`` call is
+    analysed eagerly, so a left-deep chain would re-analyse the growing plan
+    n times.  Catalyst flattens the tree into one Union either way."""
+    while len(parts) > 1:
+        parts = [parts[i].union(parts[i + 1]) if i + 1 < len(parts) else parts[i]
+                 for i in range(0, len(parts), 2)]
+    return parts[0]
+
+
 def constraint_report(model: StarModel) -> DataFrame:
     """table, rule, violations for every declared constraint (DQ-1..4)."""
     parts = row_checks(model) + unique_checks(model) + foreign_key_checks(model)
-    return reduce(DataFrame.unionByName, parts)
+    return _union_all([p.select("table", "rule", "violations") for p in parts])
 
 
 def apply_defaults(model: StarModel) -> StarModel:

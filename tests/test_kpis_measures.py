@@ -108,3 +108,17 @@ def test_cover_bands(make_model):
     m = make_model(sales=sales, products=[product(1), product(2), product(3), product(4)], inventory=inv)
     got = {r.product_id: r.cover_band for r in measures.cover_bands(m, AS_OF).collect()}
     assert got == {1: "red", 2: "yellow", 3: "green", 4: None}
+
+
+def test_model_slicers(make_model):
+    from shelfwise.operators import reports
+    from shelfwise.operators.slicers import apply_slicers
+    prods = [product(1, category_id=1), product(2, category_id=2), product(3, category_id=2)]
+    sales = [sale(1, "2001-10-01", 1, 1, 10), sale(2, "2001-10-02", 2, 1, 20),
+             sale(3, "2001-06-01", 2, 1, 40), sale(4, "2001-10-03", 3, 1, 5)]
+    m = make_model(sales=sales, products=prods)
+    beta = apply_slicers(m, categories=["Beta"])
+    assert sorted(r.product_id for r in reports.low_sellers(beta, AS_OF, threshold=100).collect()) == [2, 3]
+    assert float(kpis.ytd(beta, AS_OF).collect()[0].ytd_revenue) == 65.0
+    recent = apply_slicers(m, categories=["Beta"], start="2001-09-01", product_ids=[2])
+    assert float(kpis.ytd(recent, AS_OF).collect()[0].ytd_revenue) == 20.0
