@@ -100,13 +100,25 @@ def forecast_total(model: StarModel, as_of, months_ahead: int = 3, history_month
         .orderBy("month")
 
 
-def top_recent_products(pm: DataFrame, top_n: int, recent_months: int = 3) -> DataFrame:
-    """The ``top_n`` products by revenue in the last ``recent_months`` months
-    before the data's own latest month (inclusive: recent_months + 1 buckets).
-    A distributed top-k; ties break on product_id."""
-    latest = pm.agg(F.max("month")).scalar()
-    return (pm.where(F.col("month") >= F.add_months(latest, -recent_months))
-            .groupBy("product_id").agg(F.sum("revenue").alias("recent_revenue"))
+def top_recent_products(model: StarModel, as_of, top_n: int, history_months: int = 18,
+                        recent_months: int = 3) -> DataFrame:
+    """The ``top_n`` named products by revenue in the last ``recent_months``
+    months before the data's own latest month (inclusive: recent_months + 1
+    buckets).  Ties break on product_id.
+
+    Both the latest month and the ranking are aggregated per product first
+    and then semi-joined to the product table, so no product x month rows
+    ever meet the dimension; the ranking is a distributed top-k.
+    """
+    window = model.sales.where(D.trailing_months(F.col("sale_date"), as_of, history_months))
+    known = model.products.select("product_id")
+    latest = (window.groupBy("product_id")
+              .agg(F.max(D.month_start(F.col("sale_date"))).alias("last_month"))
+              .join(known, "product_id", "left_semi")
+              .agg(F.max("last_month")).scalar())
+    return (window.where(F.col("sale_date") >= F.add_months(latest, -recent_months))
+            .groupBy("product_id").agg(F.sum("total_amount").alias("recent_revenue"))
+            .join(known, "product_id", "left_semi")
             .orderBy(F.desc("recent_revenue"), F.asc("product_id"))
             .limit(top_n)
             .select("product_id"))
@@ -118,7 +130,7 @@ def forecast_products_h(model: StarModel, as_of, top_n: int = 10, months_ahead:
     _check_horizon(months_ahead)
     pm = product_monthly_revenue(model, as_of, history_months)
     # at most top_n rows: a proven bound, so broadcasting the key set is safe
-    top = F.broadcast(top_recent_products(pm, top_n))
+    top = F.broadcast(top_recent_products(model, as_of, top_n, history_months))
     series = pm.join(top, "product_id", "left_semi")
     # a product has one name, so carrying it as a series key adds no group
     fit = fill_and_fit(series, ["product_id", "product_name"]).where(F.col("span") >= MIN_HISTORY)

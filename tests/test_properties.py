@@ -37,7 +37,7 @@ def test_statuses_partition_products(model):
 
 def test_interpolation_keeps_known_points_and_residuals_sum_to_zero(model, spark):
     pm = forecast.product_monthly_revenue(model, AS_OF)
-    top = forecast.top_recent_products(pm, 5)
+    top = forecast.top_recent_products(model, AS_OF, 5)
     series = pm.join(top, "product_id", "left_semi").select("product_id", "month", "revenue")
     fit = forecast.fill_and_fit(series, ["product_id"])
     rows = {r.product_id: r for r in fit.collect()}
