@@ -107,18 +107,20 @@ def top_recent_products(model: StarModel, as_of, top_n: int, history_months: int
     buckets).  Ties break on product_id.
 
     Both the latest month and the ranking are aggregated per product first
-    and then semi-joined to the product table, so no product x month rows
-    ever meet the dimension; the ranking is a distributed top-k.
+    and then matched to the product table, so no product x month rows ever
+    meet the dimension; the ranking is a distributed top-k.  The match is an
+    inner join with the distinct product ids: a semi join would be pushed
+    below the aggregate by the optimizer and join raw fact rows.
     """
     window = model.sales.where(D.trailing_months(F.col("sale_date"), as_of, history_months))
-    known = model.products.select("product_id")
+    known = model.products.select("product_id").distinct()
     latest = (window.groupBy("product_id")
               .agg(F.max(D.month_start(F.col("sale_date"))).alias("last_month"))
-              .join(known, "product_id", "left_semi")
+              .join(known, "product_id")
               .agg(F.max("last_month")).scalar())
     return (window.where(F.col("sale_date") >= F.add_months(latest, -recent_months))
             .groupBy("product_id").agg(F.sum("total_amount").alias("recent_revenue"))
-            .join(known, "product_id", "left_semi")
+            .join(known, "product_id")
             .orderBy(F.desc("recent_revenue"), F.asc("product_id"))
             .limit(top_n)
             .select("product_id"))

@@ -84,15 +84,19 @@ def foreign_key_checks(model: StarModel) -> list[DataFrame]:
     """Child rows whose non-NULL key has no parent (NULL keys pass, as in SQL).
 
     The child side is first reduced to (key, rows) with a partial+final
-    aggregate, so the anti-join shuffles distinct keys only: a key holding a
-    third of the fact costs one row, not a third of the shuffle.
+    aggregate, so the lookup shuffles distinct keys only: a key holding a
+    third of the fact costs one row.  The lookup is an outer join against the
+    distinct parent keys rather than ``left_anti``: the optimizer pushes semi
+    and anti joins below an aggregate, which would join raw fact rows again.
     """
     out = []
     for child, ccol, parent, pcol in FOREIGN_KEYS:
         keys = (getattr(model, child).where(F.col(ccol).isNotNull())
                 .groupBy(F.col(ccol).alias("k")).agg(F.count(F.lit(1)).alias("rows")))
-        p = getattr(model, parent).select(F.col(pcol).alias("k"))
-        orphans = keys.join(p, "k", "left_anti").agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n"))
+        parents = getattr(model, parent).select(F.col(pcol).alias("k")).distinct() \
+            .withColumn("found", F.lit(True))
+        orphans = (keys.join(parents, "k", "left").where(F.col("found").isNull())
+                   .agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n")))
         out.append(orphans.select(*_row(child, f"foreign_key:{ccol}->{parent}.{pcol}", F.col("n"))))
     return out
 

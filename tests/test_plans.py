@@ -33,3 +33,17 @@ def test_fact_aggregated_before_dimension_join(spark):
     # the join's fact side is an Aggregate, not raw lineitem rows
     join = plan.index("Join Inner")
     assert plan[join:].split("\n")[1].strip().startswith(":- Aggregate [product_id")
+
+
+def test_orphan_lookups_stay_above_the_key_aggregate(spark):
+    # semi/anti joins would be pushed below the aggregate and join raw fact rows
+    plan = plan_of(QUERIES["constraint_report"](spark, SF_SMALL))
+    assert "LeftAnti" not in plan and "LeftSemi" not in plan
+    assert plan.count("LeftOuter") == 5
+
+
+def test_forecast_only_semi_join_is_the_top_n_broadcast(spark):
+    plan = plan_of(QUERIES["forecast_products"](spark, SF_SMALL))
+    assert plan.count("LeftSemi") == 1
+    semi = plan[plan.index("LeftSemi"):]
+    assert "TakeOrderedAndProject(limit=10" in semi
