@@ -47,3 +47,23 @@ def test_forecast_only_semi_join_is_the_top_n_broadcast(spark):
     assert plan.count("LeftSemi") == 1
     semi = plan[plan.index("LeftSemi"):]
     assert "TakeOrderedAndProject(limit=10" in semi
+
+
+RAW_JOIN_ALLOWED = {
+    "etl_extract": "line-level enrichment is the operator",
+    "etl_clean": "line-level enrichment is the operator",
+    "forecast_products": "semi-join with the broadcast top-N keys (<= top_n rows)",
+    "forecast_matrix": "semi-join with the broadcast top-N keys (<= top_n rows)",
+}
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_fact_meets_dimensions_only_after_aggregation(spark, name):
+    from shelfwise.plans.inspect import executed_plan, raw_fact_joins
+    joins = raw_fact_joins(executed_plan(QUERIES[name](spark, SF_SMALL)))
+    if name in RAW_JOIN_ALLOWED:
+        assert len(joins) == 1
+        if name.startswith("forecast"):
+            assert "LeftSemi" in joins[0]
+    else:
+        assert joins == [], joins

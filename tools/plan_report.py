@@ -13,31 +13,12 @@ import sys
 sys.path.insert(0, __file__.rsplit("/tools/", 1)[0])
 
 from shelfwise.plans.catalog import QUERIES  # noqa: E402
+from shelfwise.plans.inspect import executed_plan  # noqa: E402
 from shelfwise.session import build_session  # noqa: E402
 
 
-def _col(line: str) -> int:
-    i = line.find("+- ")
-    return i if i >= 0 else len(line) - len(line.lstrip(" :"))
-
-
 def final_plan(df) -> str:
-    """The executed plan with every adaptive ``Initial Plan`` subtree removed
-    (the main query's and those of its subqueries)."""
-    df.collect()
-    lines = df._jdf.queryExecution().executedPlan().toString().split("\n")
-    out, skip_at = [], None
-    for line in lines:
-        if skip_at is not None:
-            if line.strip() and _col(line) <= skip_at:
-                skip_at = None
-            else:
-                continue
-        if "== Initial Plan ==" in line:
-            skip_at = _col(line)
-            continue
-        out.append(line)
-    return "\n".join(out)
+    return executed_plan(df)
 
 
 def summarise(plan: str) -> dict:
