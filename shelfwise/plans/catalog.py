@@ -45,7 +45,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "critical_stock": _q(lambda m: kpis.critical_stock(m, AS_OF)),
     "category_contribution": _q(lambda m: kpis.category_contribution(m, AS_OF)),
     "etl_extract": _q(lambda m: etl.extract_sales(m, AS_OF)),
-    "etl_clean": _q(lambda m: etl.transform(etl.extract_sales(m, AS_OF))),
+    "etl_clean": _q(lambda m: etl.clean_sales(m, AS_OF)),
     "forecast_total": _q(lambda m: forecast.forecast_total(m, AS_OF)),
     "forecast_products": _q(lambda m: forecast.forecast_products(m, AS_OF)),
     "revenue_with_forecast": _q(lambda m: forecast.revenue_with_forecast(m, AS_OF)),

@@ -79,3 +79,13 @@ def test_demo_dimensions(spark):
     dims = seeds.demo_dimensions(spark)
     assert dims["products"].count() == 12 and dims["stores"].count() == 4
     assert dims["categories"].count() == 5
+
+
+def test_clean_sales_equals_transform_of_extract(spark):
+    from shelfwise.sources.model import load_model
+    from tests.conftest import SF_SMALL
+    m = load_model(spark, SF_SMALL)
+    a = etl.clean_sales(m, AS_OF)
+    b = etl.transform(etl.extract_sales(m, AS_OF))
+    assert a.columns == b.columns
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

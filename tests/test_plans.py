@@ -51,7 +51,6 @@ def test_forecast_only_semi_join_is_the_top_n_broadcast(spark):
 
 RAW_JOIN_ALLOWED = {
     "etl_extract": "line-level enrichment is the operator",
-    "etl_clean": "line-level enrichment is the operator",
     "forecast_products": "semi-join with the broadcast top-N keys (<= top_n rows)",
     "forecast_matrix": "semi-join with the broadcast top-N keys (<= top_n rows)",
 }
