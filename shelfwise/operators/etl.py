@@ -6,15 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions import dates as D
+from shelfwise.defaults import COST_RATIO, ETL_LOOKBACK_DAYS
 from shelfwise.operators.common import product_dim
 from shelfwise.sources.model import StarModel
 
-ETL_COST_RATIO = "0.60"
 EXTRACT_COLUMNS = ["sale_date", "product_id", "store_id", "quantity", "unit_price",
                    "total_amount", "sku", "product_name", "category_id", "category_name"]
 
 
-def extract_sales(model: StarModel, as_of, days_back: int = 730) -> DataFrame:
+def extract_sales(model: StarModel, as_of, days_back: int = ETL_LOOKBACK_DAYS) -> DataFrame:
     """Sales lines of the look-back window with product and category attributes.
 
     Row-level enrichment: the fact is shuffled (or, when the dimension is
@@ -33,7 +33,7 @@ def transform(df: DataFrame, keys: list[str] | None = None, dedupe: bool = True)
     The positive-quantity filter commutes with de-duplication (quantity is
     part of the key), so it is applied first and reaches the scan.
     """
-    ratio = F.lit(ETL_COST_RATIO).cast("decimal(3,2)")
+    ratio = F.lit(COST_RATIO).cast("decimal(3,2)")
     cost = F.round(F.col("total_amount") * ratio, 2)
     out = (df.where(F.col("quantity") > 0)
            .withColumn("month", D.month_start(F.col("sale_date")))
@@ -49,7 +49,7 @@ def transform(df: DataFrame, keys: list[str] | None = None, dedupe: bool = True)
 FACT_COLUMNS = ["sale_date", "product_id", "store_id", "quantity", "unit_price", "total_amount"]
 
 
-def clean_sales(model: StarModel, as_of, days_back: int = 730) -> DataFrame:
+def clean_sales(model: StarModel, as_of, days_back: int = ETL_LOOKBACK_DAYS) -> DataFrame:
     """``transform(extract_sales(...))`` with the de-duplication moved before
     the enrichment join.
 
@@ -66,7 +66,8 @@ def clean_sales(model: StarModel, as_of, days_back: int = 730) -> DataFrame:
     return transform(s.join(dim, "product_id").select(*EXTRACT_COLUMNS), dedupe=False)
 
 
-def run_etl(model: StarModel, as_of, out_root: str | None = None, days_back: int = 730) -> DataFrame:
+def run_etl(model: StarModel, as_of, out_root: str | None = None,
+            days_back: int = ETL_LOOKBACK_DAYS) -> DataFrame:
     """Extract, transform and (when ``out_root`` is given) save as Parquet and CSV."""
     clean = clean_sales(model, as_of, days_back)
     if out_root:

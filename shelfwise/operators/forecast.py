@@ -14,11 +14,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions import dates as D
+from shelfwise.defaults import (BAND_HIGH, BAND_LOW, FORECAST_MONTHS, FORECAST_PRODUCT_HISTORY_MONTHS,
+                                FORECAST_RECENT_MONTHS, FORECAST_TOP_N,
+                                FORECAST_TOTAL_HISTORY_MONTHS, MIN_HISTORY_MONTHS)
 from shelfwise.functions.numeric import guarded_round2
 from shelfwise.sources.model import StarModel
 
-MIN_HISTORY = 6          # months needed before a trend is fitted
-BAND_LOW, BAND_HIGH = 0.9, 1.1
+MIN_HISTORY = MIN_HISTORY_MONTHS
 
 
 def _check_horizon(months_ahead: int) -> None:
@@ -26,7 +28,7 @@ def _check_horizon(months_ahead: int) -> None:
         raise ValueError("months_ahead must be >= 1")
 
 
-def monthly_revenue_series(model: StarModel, as_of, months: int = 24) -> DataFrame:
+def monthly_revenue_series(model: StarModel, as_of, months: int = FORECAST_TOTAL_HISTORY_MONTHS) -> DataFrame:
     """Total revenue per month over the trailing window (SRC-7)."""
     return (model.sales.where(D.trailing_months(F.col("sale_date"), as_of, months))
             .groupBy(D.month_start(F.col("sale_date")).alias("month"))
@@ -34,7 +36,7 @@ def monthly_revenue_series(model: StarModel, as_of, months: int = 24) -> DataFra
                  F.sum("quantity").cast("long").alias("units_sold")))
 
 
-def product_monthly_revenue(model: StarModel, as_of, months: int = 18) -> DataFrame:
+def product_monthly_revenue(model: StarModel, as_of, months: int = FORECAST_PRODUCT_HISTORY_MONTHS) -> DataFrame:
     """Revenue per (product, month) over the trailing window, named products only (SRC-8)."""
     pm = (model.sales.where(D.trailing_months(F.col("sale_date"), as_of, months))
           .groupBy("product_id", D.month_start(F.col("sale_date")).alias("month"))
@@ -82,7 +84,8 @@ def _horizon(fit: DataFrame, months_ahead: int) -> DataFrame:
         .withColumn("month", F.add_months("last_month", F.col("h")))
 
 
-def forecast_total(model: StarModel, as_of, months_ahead: int = 3, history_months: int = 24) -> DataFrame:
+def forecast_total(model: StarModel, as_of, months_ahead: int = FORECAST_MONTHS,
+                   history_months: int = FORECAST_TOTAL_HISTORY_MONTHS) -> DataFrame:
     """Next ``months_ahead`` months of total revenue with a +/-10 % band (FC-1).
 
     Empty (with schema) when fewer than 6 months have sales; the forecast is
@@ -100,8 +103,9 @@ def forecast_total(model: StarModel, as_of, months_ahead: int = 3, history_month
         .orderBy("month")
 
 
-def top_recent_products(model: StarModel, as_of, top_n: int, history_months: int = 18,
-                        recent_months: int = 3) -> DataFrame:
+def top_recent_products(model: StarModel, as_of, top_n: int,
+                        history_months: int = FORECAST_PRODUCT_HISTORY_MONTHS,
+                        recent_months: int = FORECAST_RECENT_MONTHS) -> DataFrame:
     """The ``top_n`` named products by revenue in the last ``recent_months``
     months before the data's own latest month (inclusive: recent_months + 1
     buckets).  Ties break on product_id.
@@ -126,8 +130,9 @@ def top_recent_products(model: StarModel, as_of, top_n: int, history_months: int
             .select("product_id"))
 
 
-def forecast_products_h(model: StarModel, as_of, top_n: int = 10, months_ahead: int = 3,
-                        history_months: int = 18) -> DataFrame:
+def forecast_products_h(model: StarModel, as_of, top_n: int = FORECAST_TOP_N,
+                        months_ahead: int = FORECAST_MONTHS,
+                        history_months: int = FORECAST_PRODUCT_HISTORY_MONTHS) -> DataFrame:
     """Per-product forecast with the horizon step ``h`` kept (for the matrix)."""
     _check_horizon(months_ahead)
     pm = product_monthly_revenue(model, as_of, history_months)
@@ -142,8 +147,9 @@ def forecast_products_h(model: StarModel, as_of, top_n: int = 10, months_ahead:
                       guarded_round2(F.greatest(F.col("pred"), F.lit(0.0))).alias("forecast_revenue"))
 
 
-def forecast_products(model: StarModel, as_of, top_n: int = 10, months_ahead: int = 3,
-                      history_months: int = 18) -> DataFrame:
+def forecast_products(model: StarModel, as_of, top_n: int = FORECAST_TOP_N,
+                      months_ahead: int = FORECAST_MONTHS,
+                      history_months: int = FORECAST_PRODUCT_HISTORY_MONTHS) -> DataFrame:
     """Forecast revenue of the top-N recent products (FC-2).
 
     Each product's horizon starts after its *own* last month; products whose
@@ -154,8 +160,8 @@ def forecast_products(model: StarModel, as_of, top_n: int = 10, months_ahead: in
             .drop("h").orderBy("product_id", "forecast_month"))
 
 
-def revenue_with_forecast(model: StarModel, as_of, months_ahead: int = 3,
-                          history_months: int = 24) -> DataFrame:
+def revenue_with_forecast(model: StarModel, as_of, months_ahead: int = FORECAST_MONTHS,
+                          history_months: int = FORECAST_TOTAL_HISTORY_MONTHS) -> DataFrame:
     """Actual monthly revenue and the forecast band on one series (FC-3)."""
     actual = monthly_revenue_series(model, as_of, history_months).select(
         "month", F.lit("actual").alias("kind"), F.col("revenue").cast("double").alias("revenue"))
@@ -165,7 +171,8 @@ def revenue_with_forecast(model: StarModel, as_of, months_ahead: int = 3,
     return actual.unionByName(fc, allowMissingColumns=True).orderBy("month", "kind")
 
 
-def forecast_matrix(model: StarModel, as_of, top_n: int = 10, months_ahead: int = 3) -> DataFrame:
+def forecast_matrix(model: StarModel, as_of, top_n: int = FORECAST_TOP_N,
+                    months_ahead: int = FORECAST_MONTHS) -> DataFrame:
     """Product x horizon matrix of the per-product forecast (FC-4).  The pivot
     values are given, so no extra pass is needed to discover them."""
     fc = forecast_products_h(model, as_of, top_n, months_ahead)

@@ -10,15 +10,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions import dates as D
+from shelfwise.defaults import COST_RATIO
 from shelfwise.functions.numeric import half_up
 from shelfwise.operators.common import (cents, product_dim, product_totals,
                                         stock_by_product, totals_by)
 from shelfwise.operators.reports import monthly_revenue, stock_coverage
 from shelfwise.sources.model import StarModel
 
-GROSS_COST_RATIO = "0.60"
-
-
 def totals(model: StarModel, as_of, by=("category_name",)) -> DataFrame:
     """Total Revenue and Total Units (MSR-1).  Sales of unknown products or
     categories land in a NULL group, as a BI blank row."""
@@ -42,7 +40,7 @@ def gross_profit_60(model: StarModel, as_of, by=("month",)) -> DataFrame:
     """SUMX(amount - amount * 0.60) (MSR-3): exact in decimal, so it is taken
     on the grouped sum."""
     t = totals_by(model, D.up_to(F.col("sale_date"), as_of), by)
-    ratio = F.lit(GROSS_COST_RATIO).cast("decimal(3,2)")
+    ratio = F.lit(COST_RATIO).cast("decimal(3,2)")
     return t.select(*by, (F.col("revenue") - F.col("revenue") * ratio).alias("gross_profit"))
 
 

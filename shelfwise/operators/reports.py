@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions import dates as D
+from shelfwise.defaults import (LOW_SELLER_THRESHOLD, ROLLING_FRAME_MONTHS, ROLLING_HISTORY_MONTHS,
+                                SELLERS_WINDOW_DAYS, STOCK_LOW_DAYS, STOCK_WARNING_DAYS,
+                                VELOCITY_PER_DAYS, VELOCITY_WINDOW_DAYS)
 from shelfwise.functions.numeric import half_up
 from shelfwise.operators.common import product_dim, product_totals, stock_by_product
 from shelfwise.sources.model import StarModel
@@ -20,7 +23,7 @@ STATUS_LOW = "LOW"
 STATUS_OK = "OK"
 
 
-def top_sellers(model: StarModel, as_of, window_days: int = 90, top_n: int | None = 20,
+def top_sellers(model: StarModel, as_of, window_days: int = SELLERS_WINDOW_DAYS, top_n: int | None = 20,
                 with_profit: bool = False) -> DataFrame:
     """Best sellers by revenue over the trailing window (RPT-1; RPT-2 with
     ``top_n=None, with_profit=True``).  Ties break on product_id."""
@@ -36,11 +39,12 @@ def top_sellers(model: StarModel, as_of, window_days: int = 90, top_n: int | Non
     return out if top_n is None else out.limit(top_n)
 
 
-def top_sellers_view(model: StarModel, as_of, window_days: int = 90) -> DataFrame:
+def top_sellers_view(model: StarModel, as_of, window_days: int = SELLERS_WINDOW_DAYS) -> DataFrame:
     return top_sellers(model, as_of, window_days, top_n=None, with_profit=True)
 
 
-def low_sellers(model: StarModel, as_of, window_days: int = 90, threshold: int = 10) -> DataFrame:
+def low_sellers(model: StarModel, as_of, window_days: int = SELLERS_WINDOW_DAYS,
+                threshold: int = LOW_SELLER_THRESHOLD) -> DataFrame:
     """Products (with a category) selling fewer than ``threshold`` units in the
     window, including products with no sale at all (RPT-3/4)."""
     totals = product_totals(model, D.trailing_days(F.col("sale_date"), as_of, window_days))
@@ -60,8 +64,9 @@ def _status(stock, units, warn_days: int, low_days: int, per_days: int):
             .otherwise(F.lit(STATUS_OK)))
 
 
-def stock_coverage(model: StarModel, as_of, warn_days: int = 14, window_days: int = 30,
-                   low_days: int = 30, per_days: int = 30) -> DataFrame:
+def stock_coverage(model: StarModel, as_of, warn_days: int = STOCK_WARNING_DAYS,
+                   window_days: int = VELOCITY_WINDOW_DAYS, low_days: int = STOCK_LOW_DAYS,
+                   per_days: int = VELOCITY_PER_DAYS) -> DataFrame:
     """Days of stock cover from units sold per day (RPT-5).
 
     velocity = units in the trailing window / ``per_days``; cover rounded to
@@ -84,7 +89,7 @@ def stock_coverage(model: StarModel, as_of, warn_days: int = 14, window_days: in
         .orderBy(F.asc_nulls_last("days_of_cover"), "product_id"))
 
 
-def stock_coverage_view(model: StarModel, as_of, window_days: int = 30) -> DataFrame:
+def stock_coverage_view(model: StarModel, as_of, window_days: int = VELOCITY_WINDOW_DAYS) -> DataFrame:
     """The view form of stock cover (RPT-6): velocity is the mean quantity per
     sale line, rounded to cents; no category join; NULL stock is kept."""
     vel = (model.sales.where(D.trailing_days(F.col("sale_date"), as_of, window_days))
@@ -112,8 +117,8 @@ def product_months(model: StarModel, cond) -> DataFrame:
                  F.sum("total_amount").alias("revenue")))
 
 
-def six_month_average(model: StarModel, as_of, months: int = 12, calendar: bool = False,
-                      frame: int = 6, with_sku: bool = False, whole_months: bool = False) -> DataFrame:
+def six_month_average(model: StarModel, as_of, months: int = ROLLING_HISTORY_MONTHS,
+                      calendar: bool = False, frame: int = ROLLING_FRAME_MONTHS, with_sku: bool = False, whole_months: bool = False) -> DataFrame:
     """Rolling mean of monthly revenue per product (RPT-7).
 
     Default: the last ``frame`` product-months *with sales* (row frame, as the

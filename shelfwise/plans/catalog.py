@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfwise.defaults import LOW_SELLER_VIEW_THRESHOLD
 from shelfwise.functions.numeric import to_edge
 from shelfwise.operators import etl, forecast, kpis, measures, quality, reports, summary
 from shelfwise.sources import seeds
@@ -33,7 +34,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_sellers": _q(lambda m: reports.top_sellers(m, AS_OF)),
     "top_sellers_view": _q(lambda m: reports.top_sellers_view(m, AS_OF)),
     "low_sellers": _q(lambda m: reports.low_sellers(m, AS_OF, threshold=10)),
-    "low_sellers_view": _q(lambda m: reports.low_sellers(m, AS_OF, threshold=50)),
+    "low_sellers_view": _q(lambda m: reports.low_sellers(m, AS_OF, threshold=LOW_SELLER_VIEW_THRESHOLD)),
     "stock_coverage": _q(lambda m: reports.stock_coverage(m, AS_OF)),
     "stock_coverage_view": _q(lambda m: reports.stock_coverage_view(m, AS_OF)),
     "six_month_average": _q(lambda m: reports.six_month_average(m, AS_OF)),

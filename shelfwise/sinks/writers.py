@@ -121,10 +121,11 @@ def publish_reports(reports: dict[str, DataFrame], root: str, run_date: dt.date
 
 def register_views(spark: SparkSession, model, as_of) -> list[str]:
     """Install the five reporting views as temp views (SNK-7)."""
+    from shelfwise.defaults import LOW_SELLER_VIEW_THRESHOLD
     from shelfwise.operators import reports
     views = {
         "vw_top_selling_products": reports.top_sellers_view(model, as_of),
-        "vw_low_selling_products": reports.low_sellers(model, as_of, threshold=50),
+        "vw_low_selling_products": reports.low_sellers(model, as_of, threshold=LOW_SELLER_VIEW_THRESHOLD),
         "vw_stock_coverage": reports.stock_coverage_view(model, as_of),
         "vw_six_month_avg": reports.six_month_average(model, as_of, with_sku=True),
         "vw_monthly_revenue": reports.monthly_revenue(model, as_of),

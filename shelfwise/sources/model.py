@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfwise.defaults import COST_RATIO
+
 # ---------------------------------------------------------------- schemas
 CATEGORIES_SCHEMA = T.StructType([
     T.StructField("category_id", T.LongType()),
@@ -63,7 +65,6 @@ SCHEMAS = {
 # list price; stock per (product, store) pair is 1 when product_id % 10 = 0,
 # 3 when product_id % 4 = 1, else 10; products with product_id % 7 = 0 carry
 # no inventory rows; reorder level 20.
-COST_RATIO = "0.60"
 REORDER_LEVEL = 20
 
 
