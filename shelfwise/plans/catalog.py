@@ -12,7 +12,6 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from shelfwise.defaults import LOW_SELLER_VIEW_THRESHOLD
 from shelfwise.functions.numeric import to_edge
