@@ -27,6 +27,30 @@ def product_dim(model: StarModel, category: str = "inner") -> DataFrame:
     return p.join(c, "category_id", category)
 
 
+PRODUCT_COLUMNS = ("sku", "product_name", "category_id", "cost_price")
+
+
+def join_products(df: DataFrame, model: StarModel, how: str = "inner", category: str | None = "inner",
+                  cols=PRODUCT_COLUMNS, products_left: bool = False) -> DataFrame:
+    """Attach product attributes (and the category name) to a frame keyed by
+    ``product_id``.
+
+    The product join comes first, on ``product_id``: the per-product
+    aggregate is already hash-partitioned on it and a product table bucketed
+    by it is read in place.  Category names are attached last, to at most one
+    row per product; that side is the small category list (broadcast when
+    its measured size allows, else a skew-split shuffle join).
+    ``products_left`` keeps every product (``products LEFT JOIN df``).
+    """
+    keep = [c for c in cols if c != "category_id"] + ["category_id"]
+    p = model.products.select("product_id", *keep)
+    out = p.join(df, "product_id", "left") if products_left else df.join(p, "product_id", how)
+    if category is None:
+        return out
+    c = model.categories.select("category_id", "category_name")
+    return out.join(c, "category_id", category)
+
+
 def sales_where(model: StarModel, cond: Column | None) -> DataFrame:
     return model.sales if cond is None else model.sales.where(cond)
 
@@ -76,7 +100,8 @@ def totals_by(model: StarModel, cond: Column | None, by=()) -> DataFrame:
            .agg(F.sum("total_amount").alias("revenue"),
                 F.sum("quantity").cast("long").alias("units")))
     if dim_keys:
-        dim = product_dim(model, category="left" if "category_name" in dim_keys else None)
-        pre = pre.join(dim.select("product_id", *dim_keys), "product_id", "left")
+        pre = join_products(pre, model, how="left",
+                            category="left" if "category_name" in dim_keys else None,
+                            cols=[k for k in dim_keys if k != "category_name"])
     return pre.groupBy(*by).agg(F.sum("revenue").alias("revenue"),
                                 F.sum("units").cast("long").alias("units"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions import dates as D
 from shelfwise.defaults import COST_RATIO, ETL_LOOKBACK_DAYS
-from shelfwise.operators.common import product_dim
+from shelfwise.operators.common import join_products
 from shelfwise.sources.model import StarModel
 
 EXTRACT_COLUMNS = ["sale_date", "product_id", "store_id", "quantity", "unit_price",
@@ -22,8 +22,7 @@ def extract_sales(model: StarModel, as_of, days_back: int = ETL_LOOKBACK_DAYS) -
     product is split by AQE's skew-join handling rather than one task.
     """
     s = model.sales.where(D.trailing_days(F.col("sale_date"), as_of, days_back))
-    dim = product_dim(model).select("product_id", "sku", "product_name", "category_id", "category_name")
-    return s.join(dim, "product_id").select(*EXTRACT_COLUMNS)
+    return join_products(s, model, cols=("sku", "product_name")).select(*EXTRACT_COLUMNS)
 
 
 def transform(df: DataFrame, keys: list[str] | None = None, dedupe: bool = True) -> DataFrame:
@@ -62,8 +61,8 @@ def clean_sales(model: StarModel, as_of, days_back: int = ETL_LOOKBACK_DAYS) ->
     s = (model.sales.where(D.trailing_days(F.col("sale_date"), as_of, days_back))
          .where(F.col("quantity") > 0)
          .select(*FACT_COLUMNS).dropDuplicates())
-    dim = product_dim(model).select("product_id", "sku", "product_name", "category_id", "category_name")
-    return transform(s.join(dim, "product_id").select(*EXTRACT_COLUMNS), dedupe=False)
+    return transform(join_products(s, model, cols=("sku", "product_name")).select(*EXTRACT_COLUMNS),
+                     dedupe=False)
 
 
 def run_etl(model: StarModel, as_of, out_root: str | None = None,

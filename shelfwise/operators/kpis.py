@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions import dates as D
 from shelfwise.functions.numeric import half_up
-from shelfwise.operators.common import cents, product_dim, product_totals
+from shelfwise.operators.common import cents, join_products, product_totals
 from shelfwise.operators.reports import stock_coverage_view
 from shelfwise.sources.model import StarModel
 
@@ -43,7 +43,7 @@ def category_contribution(model: StarModel, as_of, window_days: int = 90) -> Dat
     cond = D.trailing_days(F.col("sale_date"), as_of, window_days)
     # one scalar subquery, evaluated once and folded into the projection
     total_cents = model.sales.where(cond).select(cents(F.sum("total_amount"))).scalar()
-    by_cat = (product_totals(model, cond).join(product_dim(model), "product_id")
+    by_cat = (join_products(product_totals(model, cond), model, cols=())
               .groupBy("category_name").agg(F.sum("revenue").alias("revenue")))
     return (by_cat.select("category_name", "revenue",
                           (half_up(cents(F.col("revenue")), total_cents, 4) * 100).alias("pct"))

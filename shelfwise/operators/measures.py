@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from shelfwise.functions import dates as D
 from shelfwise.defaults import COST_RATIO
 from shelfwise.functions.numeric import half_up
-from shelfwise.operators.common import (cents, product_dim, product_totals,
+from shelfwise.operators.common import (cents, join_products, product_totals,
                                         stock_by_product, totals_by)
 from shelfwise.operators.reports import monthly_revenue, stock_coverage
 from shelfwise.sources.model import StarModel
@@ -110,11 +110,10 @@ def revenue_by(model: StarModel, as_of, dims=("category_name",), start=None, end
     cond = D.date_range(F.col("sale_date"), start, end)
     if product_ids is not None:
         cond = cond & F.col("product_id").isin(list(product_ids))
-    totals = product_totals(model, cond)
-    dim = product_dim(model)
+    out = join_products(product_totals(model, cond), model)
     if categories is not None:
-        dim = dim.where(F.col("category_name").isin(list(categories)))
-    return (totals.join(dim, "product_id")
+        out = out.where(F.col("category_name").isin(list(categories)))
+    return (out
             .groupBy(*dims).agg(F.sum("revenue").alias("revenue"),
                                 F.sum("units_sold").cast("long").alias("units_sold"))
             .orderBy(F.desc("revenue"), *dims))

@@ -14,7 +14,7 @@ from shelfwise.defaults import (LOW_SELLER_THRESHOLD, ROLLING_FRAME_MONTHS, ROLL
                                 SELLERS_WINDOW_DAYS, STOCK_LOW_DAYS, STOCK_WARNING_DAYS,
                                 VELOCITY_PER_DAYS, VELOCITY_WINDOW_DAYS)
 from shelfwise.functions.numeric import half_up
-from shelfwise.operators.common import product_dim, product_totals, stock_by_product
+from shelfwise.operators.common import join_products, product_dim, product_totals, stock_by_product
 from shelfwise.sources.model import StarModel
 
 STATUS_NO_SALES = "NO_SALES"
@@ -28,7 +28,7 @@ def top_sellers(model: StarModel, as_of, window_days: int = SELLERS_WINDOW_DAYS,
     """Best sellers by revenue over the trailing window (RPT-1; RPT-2 with
     ``top_n=None, with_profit=True``).  Ties break on product_id."""
     totals = product_totals(model, D.trailing_days(F.col("sale_date"), as_of, window_days))
-    out = totals.join(product_dim(model), "product_id")
+    out = join_products(totals, model)
     cols = ["product_id", "sku", "product_name", "category_name", "units_sold", "revenue"]
     if with_profit:
         # sum(amount - cost*qty) = sum(amount) - cost*sum(qty): exact in decimal
@@ -48,7 +48,7 @@ def low_sellers(model: StarModel, as_of, window_days: int = SELLERS_WINDOW_DAYS,
     """Products (with a category) selling fewer than ``threshold`` units in the
     window, including products with no sale at all (RPT-3/4)."""
     totals = product_totals(model, D.trailing_days(F.col("sale_date"), as_of, window_days))
-    out = (product_dim(model).join(totals, "product_id", "left")
+    out = (join_products(totals, model, products_left=True)
            .select("product_id", "sku", "product_name", "category_name",
                    F.coalesce("units_sold", F.lit(0).cast("long")).alias("units_sold"),
                    F.coalesce("revenue", F.lit(0).cast("decimal(24,2)")).alias("revenue")))
@@ -74,9 +74,9 @@ def stock_coverage(model: StarModel, as_of, warn_days: int = STOCK_WARNING_DAYS,
     """
     units30 = product_totals(model, D.trailing_days(F.col("sale_date"), as_of, window_days)) \
         .select("product_id", F.col("units_sold").alias("units_w"))
-    base = (product_dim(model)
-            .join(stock_by_product(model), "product_id", "left")
-            .join(units30, "product_id", "left"))
+    # three product-level relations joined on product_id, category names last
+    base = join_products(stock_by_product(model).join(units30, "product_id", "full"), model,
+                         products_left=True)
     units = F.coalesce(F.col("units_w"), F.lit(0).cast("long"))
     stock = F.col("total_stock")
     cover = F.when(units > 0, half_up(stock * per_days, units, 1))
@@ -129,8 +129,7 @@ def six_month_average(model: StarModel, as_of, months: int = ROLLING_HISTORY_MON
     """
     pm = product_months(model, D.trailing_months(F.col("sale_date"), as_of, months, whole_months))
     ident = ["product_id", "sku", "product_name"] if with_sku else ["product_id", "product_name"]
-    dim = product_dim(model).select(*ident, "category_name")
-    out = pm.join(dim, "product_id")
+    out = join_products(pm, model, cols=[c for c in ident if c != "product_id"])
     if calendar:
         w = (Window.partitionBy("product_id").orderBy(D.month_number(F.col("month")))
              .rangeBetween(-(frame - 1), 0))

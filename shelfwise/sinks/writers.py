@@ -75,6 +75,19 @@ def write_fact(df: DataFrame, path: str, partition_by: str = "sale_date",
      .write.mode(_mode(if_exists)).partitionBy(partition_by).parquet(path))
 
 
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int,
+                   if_exists: str = "replace") -> None:
+    """Store a dimension as a catalog table bucketed (and sorted) by its key.
+
+    Every report joins the per-product aggregate of the fact to the product
+    table on ``product_id``.  With the table bucketed by that key into as
+    many buckets as the shuffle has partitions, the join reads the table
+    already partitioned: only the (aggregated) fact side is shuffled.
+    """
+    (df.write.mode(_mode(if_exists)).bucketBy(buckets, key).sortBy(key)
+     .saveAsTable(table))
+
+
 def persist_forecasts(spark: SparkSession, total: DataFrame, per_product: DataFrame,
                       total_table: str = "forecast_total_revenue",
                       product_table: str = "forecast_product_revenue") -> dict[str, bool]:

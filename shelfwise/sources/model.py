@@ -206,6 +206,12 @@ def model_from_tables(spark: SparkSession, root: str, fmt: str = "parquet") -> S
     return StarModel(**frames)
 
 
+def model_from_catalog(spark: SparkSession, prefix: str = "") -> StarModel:
+    """Read the five tables from the catalog (``<prefix>sales`` ...), keeping
+    any bucketing they were written with."""
+    return StarModel(**{name: spark.table(prefix + name) for name in SCHEMAS})
+
+
 def model_from_rows(spark: SparkSession, **rows) -> StarModel:
     """Build a model from literal rows (tuples in schema order); missing tables are empty."""
     frames = {name: spark.createDataFrame(rows.get(name, []), schema)

@@ -31,8 +31,10 @@ def test_date_filter_and_columns_reach_parquet(spark):
 def test_fact_aggregated_before_dimension_join(spark):
     plan = QUERIES["top_sellers"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
     # the join's fact side is an Aggregate, not raw lineitem rows
-    join = plan.index("Join Inner")
-    assert plan[join:].split("\n")[1].strip().startswith(":- Aggregate [product_id")
+    # the product join's fact side is an Aggregate, and category names are attached after it
+    join = plan.index("Join Inner, (product_id")
+    assert plan[join:].split("\n")[1].strip(" :").startswith("- Aggregate [product_id")
+    assert plan.index("Join Inner, (category_id") < join
 
 
 def test_orphan_lookups_stay_above_the_key_aggregate(spark):
@@ -60,9 +62,9 @@ RAW_JOIN_ALLOWED = {
 def test_fact_meets_dimensions_only_after_aggregation(spark, name):
     from shelfwise.plans.inspect import executed_plan, raw_fact_joins
     joins = raw_fact_joins(executed_plan(QUERIES[name](spark, SF_SMALL)))
-    if name in RAW_JOIN_ALLOWED:
-        assert len(joins) == 1
-        if name.startswith("forecast"):
-            assert "LeftSemi" in joins[0]
+    if name in ("forecast_products", "forecast_matrix"):
+        assert len(joins) == 1 and "LeftSemi" in joins[0]
+    elif name in RAW_JOIN_ALLOWED:
+        assert joins                      # product, then category name, per line
     else:
         assert joins == [], joins

@@ -97,3 +97,44 @@ def test_partitioned_fact_prunes_by_date(spark, make_model, tmp_out):
     got = [(r.product_id, r.units_sold) for r in df.collect()]
     want = [(r.product_id, r.units_sold) for r in reports.top_sellers(m, AS_OF).collect()]
     assert got == want
+
+
+def test_bucketed_products_are_not_shuffled(spark, make_model):
+    from shelfwise.operators import reports
+    from shelfwise.sources.model import StarModel, model_from_catalog
+    m = make_model(sales=[sale(i, "2001-11-01", 1 + i % 5, 1, 10 + i) for i in range(30)],
+                   products=[product(i) for i in range(1, 6)])
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writers.write_bucketed(m.products, "bk_products", "product_id", parts)
+    for name in ("sales", "categories", "stores", "inventory"):
+        getattr(m, name).write.mode("overwrite").saveAsTable(f"bk_{name}")
+    cat = model_from_catalog(spark, "bk_")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = reports.top_sellers_view(StarModel(cat.sales, cat.products, cat.categories, cat.stores, cat.inventory),
+                                      AS_OF)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        got = sorted((r.product_id, r.units_sold) for r in df.collect())
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    # walk from the bucketed product scan up to its join: no exchange on the way
+    import re
+    lines = plan.split("\n")
+    i = next(k for k, ln in enumerate(lines) if "bk_products" in ln)
+    depth = re.match(r"[\s:+\-]*", lines[i]).end()
+    ancestors = []
+    for ln in reversed(lines[:i]):
+        d = re.match(r"[\s:+\-]*", ln).end()
+        if d < depth:
+            ancestors.append(ln.strip())
+            depth = d
+            if "SortMergeJoin [product_id" in ln:
+                break
+    assert "SortMergeJoin [product_id" in ancestors[-1]
+    assert not any("Exchange" in a for a in ancestors)
+    assert "Bucketed: true" in plan
+    want = sorted((r.product_id, r.units_sold) for r in reports.top_sellers_view(m, AS_OF).collect())
+    assert got == want
