@@ -2,7 +2,8 @@
 
 The fact table is always aggregated to the join key *before* it meets a
 dimension: the join then moves one row per product instead of one per sale,
-and the dimension side never fans the fact out.
+and the dimension side never fans the fact out.  ``join_products`` attaches
+product attributes on ``product_id`` first and category names last.
 """
 
 from __future__ import annotations

@@ -1,11 +1,11 @@
 """Linear-trend revenue forecasts, total and per product (FC-1..4).
 
-One plan, no per-series loop: monthly aggregate -> month spine per series
-(``sequence``) -> linear interpolation of gap months (ignore-null windows)
--> least squares per series (``regr_slope``/``regr_intercept``, partial and
-final aggregation) -> ``explode`` of the horizon.  Every window is
-partitioned by series, and a series holds one row per month of its span, so
-no task ever holds more than a few dozen rows per series.
+One plan, no per-series loop: monthly aggregate -> each known month and the
+next one (``lead``) emit the gap months between them, linearly interpolated
+(``explode(sequence)``) -> least squares per series (``regr_slope`` /
+``regr_intercept``) -> ``explode`` of the horizon.  The window and the fit
+share one hash partitioning by series, and a series holds one row per month
+of its span (at most 19 for a product, 25 for the total).
 """
 
 from __future__ import annotations
