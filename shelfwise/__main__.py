@@ -27,11 +27,14 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--as-of", type=dt.date.fromisoformat)
     ap.add_argument("--star", action="store_true", help="--tables is a star schema")
     ap.add_argument("--master", default="local[*]")
+    ap.add_argument("--cluster", action="store_true",
+                    help="cluster sizing (CLUSTER_CONF); the master comes from spark-submit")
     args = ap.parse_args(argv)
 
     from pyspark.sql import SparkSession
     owned = SparkSession.getActiveSession() is None
-    spark = build_session(args.master)
+    spark = (build_session(None, profile="cluster") if args.cluster
+             else build_session(args.master))
     ensure_checkpoint_dir(spark)
     from shelfwise.sources.model import load_model, model_from_tables
     model = model_from_tables(spark, args.tables) if args.star else load_model(spark, args.tables)

@@ -34,16 +34,25 @@ CLUSTER_CONF = {
 }
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
-                  app_name: str = "shelfwise", extra: dict | None = None) -> SparkSession:
+def build_session(master: str | None = "local[*]", shuffle_partitions: int = 8,
+                  app_name: str = "shelfwise", extra: dict | None = None,
+                  profile: str = "local") -> SparkSession:
     """Create (or reuse) a session with the shelfwise defaults.
 
-    On a cluster the launcher owns ``master`` and the partition count; this
-    helper is for local runs, tests and the bench.
+    ``profile="cluster"`` applies ``CLUSTER_CONF`` (sizing for ~100 TB) and
+    leaves ``master`` to the launcher (pass ``master=None``); ``"local"`` is
+    for tests, the bench and single-machine runs.
     """
-    builder = SparkSession.builder.master(master).appName(app_name)
+    builder = SparkSession.builder.appName(app_name)
+    if master:
+        builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if profile == "cluster":
+        conf.update(CLUSTER_CONF)
+    elif profile == "local":
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    else:
+        raise ValueError("profile must be 'local' or 'cluster'")
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)

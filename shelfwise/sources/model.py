@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import threading
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -135,11 +136,16 @@ def materialize_dimensions(spark: SparkSession, model: StarModel, root: str | No
     unless ``root`` is given) and return a model that reads them back."""
     from shelfwise.session import ensure_checkpoint_dir
     base = (root or ensure_checkpoint_dir(spark)).rstrip("/") + f"/model-{uuid.uuid4().hex}"
+    names = ("categories", "products", "stores", "inventory")
+
+    def write(name: str) -> None:
+        getattr(model, name).write.mode("overwrite").parquet(f"{base}/{name}")
+
+    # four independent jobs, submitted together so they share the cluster
+    with ThreadPoolExecutor(max_workers=len(names)) as pool:
+        list(pool.map(write, names))
     frames = {"sales": model.sales}
-    for name in ("categories", "products", "stores", "inventory"):
-        path = f"{base}/{name}"
-        getattr(model, name).write.mode("overwrite").parquet(path)
-        frames[name] = spark.read.schema(SCHEMAS[name]).parquet(path)
+    frames.update({name: spark.read.schema(SCHEMAS[name]).parquet(f"{base}/{name}") for name in names})
     return StarModel(**frames)
 
 

@@ -138,3 +138,10 @@ def test_bucketed_products_are_not_shuffled(spark, make_model):
     assert "Bucketed: true" in plan
     want = sorted((r.product_id, r.units_sold) for r in reports.top_sellers_view(m, AS_OF).collect())
     assert got == want
+
+
+def test_session_profiles():
+    from shelfwise.session import CLUSTER_CONF, build_session
+    with pytest.raises(ValueError):
+        build_session(profile="bogus")
+    assert int(CLUSTER_CONF["spark.sql.shuffle.partitions"]) >= 1000
