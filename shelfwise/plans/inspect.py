@@ -1,4 +1,7 @@
-"""Helpers to read executed (final adaptive) plans — used by tests and tools."""
+"""Helpers to read executed (final adaptive) plans — used by the plan tests
+and ``tools/plan_report.py`` on small test data only (``executed_plan`` runs
+the query and collects its result so the adaptive plan is final); no
+operator calls them."""
 
 from __future__ import annotations
 
