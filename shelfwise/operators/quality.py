@@ -2,7 +2,7 @@
 
 Spark does not enforce NOT NULL / UNIQUE / FOREIGN KEY / CHECK, so each
 becomes an aggregate: one pass per table for all NOT NULL columns,
-``groupBy(key)`` for uniqueness, ``left_anti`` joins for orphans.
+``groupBy(key)`` for uniqueness, outer-join lookups of pre-aggregated keys for orphans.
 """
 
 from __future__ import annotations
