@@ -103,42 +103,66 @@ def forecast_total(model: StarModel, as_of, months_ahead: int = FORECAST_MONTHS,
         .orderBy("month")
 
 
+def _product_months_long(model: StarModel, as_of, history_months: int):
+    """(product_id, product_name, o, revenue) for every month bucket ``o`` of
+    the window in which a named product sold, and the window's first month.
+
+    The window is aggregated once per product with its month buckets as
+    pivot columns (bounded: ``history_months + 1``), joined to the product
+    names, and exploded back.  Because the bucket is a generated column, the
+    optimizer cannot push the later bucket filter or key join below the
+    aggregate, so every consumer (latest month, ranking, series) reuses the
+    same scan and shuffle.
+    """
+    first = F.trunc(F.add_months(D.as_of_col(as_of), -history_months), "month")
+    offsets = list(range(history_months + 1))
+    window = (model.sales.where(D.trailing_months(F.col("sale_date"), as_of, history_months))
+              .select("product_id", "total_amount",
+                      (D.month_number(F.col("sale_date")) - D.month_number(first)).alias("o")))
+    wide = window.groupBy("product_id").pivot("o", offsets).agg(F.sum("total_amount"))
+    named = wide.join(model.products.select("product_id", "product_name"), "product_id")
+    buckets = F.explode(F.array(*[F.struct(F.lit(i).alias("o"), F.col(f"`{i}`").alias("revenue"))
+                                  for i in offsets])).alias("b")
+    long = (named.select("product_id", "product_name", buckets)
+            .select("product_id", "product_name", "b.o", "b.revenue")
+            .where(F.col("revenue").isNotNull()))
+    return long, first
+
+
+def _top_from_long(long: DataFrame, top_n: int, recent_months: int) -> DataFrame:
+    latest = long.agg(F.max("o")).scalar()
+    return (long.where(F.col("o") >= latest - recent_months)
+            .groupBy("product_id").agg(F.sum("revenue").alias("recent_revenue"))
+            .orderBy(F.desc("recent_revenue"), F.asc("product_id"))
+            .limit(top_n)
+            .select("product_id"))
+
+
 def top_recent_products(model: StarModel, as_of, top_n: int,
                         history_months: int = FORECAST_PRODUCT_HISTORY_MONTHS,
                         recent_months: int = FORECAST_RECENT_MONTHS) -> DataFrame:
     """The ``top_n`` named products by revenue in the last ``recent_months``
     months before the data's own latest month (inclusive: recent_months + 1
-    buckets).  Ties break on product_id.
-
-    Both the latest month and the ranking are aggregated per product first
-    and then matched to the product table, so no product x month rows ever
-    meet the dimension; the ranking is a distributed top-k.  The match is an
-    inner join with the distinct product ids: a semi join would be pushed
-    below the aggregate by the optimizer and join raw fact rows.
-    """
-    window = model.sales.where(D.trailing_months(F.col("sale_date"), as_of, history_months))
-    known = model.products.select("product_id").distinct()
-    latest = (window.groupBy("product_id")
-              .agg(F.max(D.month_start(F.col("sale_date"))).alias("last_month"))
-              .join(known, "product_id")
-              .agg(F.max("last_month")).scalar())
-    return (window.where(F.col("sale_date") >= F.add_months(latest, -recent_months))
-            .groupBy("product_id").agg(F.sum("total_amount").alias("recent_revenue"))
-            .join(known, "product_id")
-            .orderBy(F.desc("recent_revenue"), F.asc("product_id"))
-            .limit(top_n)
-            .select("product_id"))
+    buckets).  A distributed top-k; ties break on product_id."""
+    long, _ = _product_months_long(model, as_of, history_months)
+    return _top_from_long(long, top_n, recent_months)
 
 
 def forecast_products_h(model: StarModel, as_of, top_n: int = FORECAST_TOP_N,
                         months_ahead: int = FORECAST_MONTHS,
                         history_months: int = FORECAST_PRODUCT_HISTORY_MONTHS) -> DataFrame:
-    """Per-product forecast with the horizon step ``h`` kept (for the matrix)."""
+    """Per-product forecast with the horizon step ``h`` kept (for the matrix).
+
+    One scan of the window: the latest month, the top-N ranking and the
+    winners' monthly series all come from the same product-level aggregate.
+    """
     _check_horizon(months_ahead)
-    pm = product_monthly_revenue(model, as_of, history_months)
-    # at most top_n rows: a proven bound, so broadcasting the key set is safe
-    top = F.broadcast(top_recent_products(model, as_of, top_n, history_months))
-    series = pm.join(top, "product_id", "left_semi")
+    long, first = _product_months_long(model, as_of, history_months)
+    # at most top_n rows with distinct ids: a proven bound, and an inner join
+    # with unique keys keeps exactly the selected products
+    top = F.broadcast(_top_from_long(long, top_n, FORECAST_RECENT_MONTHS))
+    series = long.join(top, "product_id").select(
+        "product_id", "product_name", F.add_months(first, F.col("o")).alias("month"), "revenue")
     # a product has one name, so carrying it as a series key adds no group
     fit = fill_and_fit(series, ["product_id", "product_name"]).where(F.col("span") >= MIN_HISTORY)
     out = _horizon(fit, months_ahead)
