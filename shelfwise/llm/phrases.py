@@ -95,7 +95,7 @@ class Segment:
 
     def __init__(self, terms, ends, positions: bytes):
         flat = np.frombuffer(positions, dtype="<u4").astype(np.int64)
-        starts = [0, *ends[:-1]]
+        starts = [0, *ends][:-1]
         self.lists = {t: flat[a:b] for t, a, b in zip(terms, starts, ends, strict=True)}
 
     def search(self, phrase: tuple[bytes, ...], slop: int = 0) -> np.ndarray:
@@ -183,7 +183,7 @@ def _digest(owners: list[list[str]]):
     return run
 
 
-def test_windows(benchmark: DataFrame, size: int, max_items: int, id_col: str = "item_id",
+def query_windows(benchmark: DataFrame, size: int, max_items: int, id_col: str = "item_id",
                  text_col: str = "text") -> list[list[bytes]]:
     """Distinct windows with their item ids (as strings), at most ``max_items`` items."""
     items = benchmark.select(F.col(id_col).cast("string"), text_col).limit(max_items + 1).collect()
@@ -209,7 +209,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = 13, max_ite
     as an empty id, other columns are ignored, empty tables give no rows or no
     hits.
     """
-    found = test_windows(benchmark, size, max_items)
+    found = query_windows(benchmark, size, max_items)
     phrases, owners = [w for w, _ in found], [o for _, o in found]
     index = stage(build_index(docs, vocabulary={t for w in phrases for t in w}), "phrase-index")
     return (search_index(index, phrases)

@@ -18,6 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfwise.llm.common import stage
 
@@ -229,7 +230,7 @@ def sanitise_text(text: str, spans: str) -> str:
     return "".join([*out, text[edge:]])
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _clean(texts: pd.Series, spans: pd.Series) -> pd.Series:
     return pd.Series([None if t is None else sanitise_text(t, s) for t, s in zip(texts, spans, strict=True)],
                      dtype=object)

@@ -22,7 +22,7 @@ ACCESS_KEY = r"AKIA[0-9A-Z]{16}"
 PLACEHOLDERS = ("example", "sample", "dummy", "changeme", "placeholder", "xxxxxx", "yourkey", "redacted")
 
 # A candidate: 12 or more characters of keys and encodings that stand alone; 40 characters around it.
-CANDIDATE = r"(?<![A-Za-z0-9+/=_.@-])([A-Za-z0-9+/_.@-]{12,}={0,2})(?![A-Za-z0-9+/_@-])"
+CANDIDATE = r"(?<![A-Za-z0-9+/_.@-])([A-Za-z0-9+/_.@-]{12,}={0,2})(?![A-Za-z0-9+/_@-])"
 FEATURES = ("length", "runs", "digits", "uppers", "distinct", "vowels", "hex", "rare_steps", "coverage", "slashes",
             "dots", "ats", "before_credential", "before_assign", "before_path", "quoted", "after_word")
 
@@ -33,7 +33,7 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     The text is split at the candidates, so each costs a constant number of
     passes over its text; candidates need a digit, or capitals after small
-    letters, or a credential name in front.
+    letters, or the shape of an access key, or a credential name in front.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     found = docs.select(F.col(id_col).alias("doc_id"), text.alias("text")).where(
@@ -48,7 +48,8 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                         F.left(after, F.lit(context)).alias("after"))
 
     def wanted(x: Column) -> Column:
-        return x["token"].rlike("[0-9]") | x["token"].rlike("[a-z][A-Z]") | named(x["before"])
+        return (x["token"].rlike("[0-9]") | x["token"].rlike("[a-z][A-Z]") | x["token"].rlike(f"^{ACCESS_KEY}$")
+                | named(x["before"]))
 
     # only the short surroundings leave the row, never the text
     each = cut.select("doc_id", F.explode(F.filter(F.transform("tokens", surroundings), wanted)).alias("x"))
