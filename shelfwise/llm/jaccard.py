@@ -3,7 +3,8 @@
 Documents become sets of word n-gram hashes; equal sets are one set.  In a
 global order of the hashes similar sets must share one in their prefixes.  The
 order starts with a class of hashes about twice as large as the prefixes, rare
-ones first; only that class is counted over the corpus.  Two relations between sets save work on the index lists:
+ones first; only that class is counted over the corpus.  The sets that share a
+prefix hash go through the same once more with all their hashes counted.  Two relations between sets save work on the index lists:
 
 * positions: a list is stored in blocks of equal position (and component); a
   pair of blocks is skipped when the hashes left behind that position cannot
@@ -123,26 +124,33 @@ def link_segment(sids, sets, percent: int) -> list[tuple[int, int]]:
 
 
 def _postings(rows: DataFrame, percent: int) -> DataFrame:
-    """(h, sid, n, pos): the prefix hashes that at least two documents hold, one
-    set of each group of equal sets.  Hashes order by (class, frequency, hash)."""
+    """(h, sid, n, pos): the prefix hashes that at least two rows (sid, n, low,
+    spill) hold.  Hashes order by (class, frequency, hash); the frequencies are
+    those among ``rows``, and hashes of one row only come first."""
     tokens = rows.select("sid", F.posexplode(F.concat("low", "spill")).alias("k", "h"), F.size("low").alias("c0"))
     tokens = tokens.select("sid", "h", (F.col("k") >= F.col("c0")).alias("late"))
     df = tokens.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
     shared = tokens.join(df, "h").groupBy("sid").agg(
         F.sort_array(F.collect_list(F.when(~F.col("late"), F.struct("df", "h")))).alias("early"),
         F.collect_list(F.when(F.col("late"), F.col("h"))).alias("late"))
-    reps = rows.where("n > 0").groupBy("fp").agg(F.min("sid").alias("sid"))
-    sizes = rows.select("sid", "n", F.size("low").alias("c0")).join(reps, "sid", "left_semi")
     prefix = F.expr(f"n - ((n * {percent} + 99) div 100) + 1")
-    single = F.col("c0") - F.size("early")          # hashes of one document only come first
+    single = F.col("c0") - F.size("early")
     keep = F.greatest(F.lit(0), F.least(F.size("early"), prefix - single)).cast("int")
-    listed = (shared.join(sizes, "sid").withColumn("single", single).withColumn("keep", keep)
+    listed = (shared.join(rows.select("sid", "n", F.size("low").alias("c0")), "sid")
+              .withColumn("single", single).withColumn("keep", keep)
               .withColumn("list", F.concat(
                   F.expr("transform(slice(early, 1, keep), (x, i) -> struct(x.h as h, cast(single + i as long) as pos))"),
                   F.expr("transform(late, x -> struct(x as h, cast(c0 as long) as pos))"))))
     return listed.select("sid", "n", F.explode("list").alias("x")).select("x.h", "sid", "n", "x.pos")
 
 
+def _in_lists(postings: DataFrame) -> DataFrame:
+    """Postings of lists with at least two sets."""
+    postings = stage(postings, "postings")
+    lists = postings.groupBy("h").agg(F.count("*").alias("c")).where("c > 1")
+    return stage(postings.join(lists.select("h"), "h", "left_semi"), "postings")
+
+
 def _segment_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links inside segments of (sid, h1, seg) groups."""
 
@@ -160,19 +168,20 @@ def _first_links(postings: DataFrame, sets: DataFrame, percent: int) -> DataFram
     first = postings.groupBy("sid").agg(F.min(F.struct("pos", "h")).alias("x")).select("sid", F.col("x.h").alias("h1"))
     members, found = stage(first, "first"), []
     while True:
+        # groups that one segment holds are done after their first round
         sizes = members.groupBy("h1").agg(F.count("*").alias("c")).where("c > 1")
         cut = members.join(sizes, "h1").withColumn(
             "seg", F.pmod(F.xxhash64("sid", F.lit(len(found))), F.ceil(F.col("c") / SEGMENT)))
         found.append(stage(_segment_links(cut.select("sid", "h1", "seg"), sets, percent), "segment-links"))
-        most = sizes.agg(F.max("c")).first()[0] or 0
         links = reduce(DataFrame.union, found)
-        if most <= SEGMENT:
+        large = stage(members.join(sizes.where(F.col("c") > SEGMENT).select("h1"), "h1", "left_semi"), "large")
+        before = large.count()
+        if not before:
             return links
-        before = members.count()
-        members = stage(members.join(components(links).withColumnRenamed("node", "sid"), "sid", "left")
+        members = stage(large.join(components(links).withColumnRenamed("node", "sid"), "sid", "left")
                         .groupBy("h1", F.coalesce("root", "sid").alias("c")).agg(F.min("sid").alias("sid"))
                         .select("sid", "h1"), "first")
-        if members.count() == before:
+        if members.count() > before // 4:            # no family: the lists look at the rest
             return links
 
 
@@ -189,11 +198,12 @@ def _list_pairs(postings: DataFrame, roots: DataFrame, percent: int) -> DataFram
     sizes_meet = f"100 * a.hi >= {percent} * b.lo and 100 * b.hi >= {percent} * a.lo"
     enough_left = f"{100 + percent} * least(a.hi - a.pos, b.hi - b.pos) >= {percent} * (a.lo + b.lo)"
     met = a.join(b, F.expr(f"a.h = b.h and a.root < b.root and {sizes_meet} and {enough_left}"))
-    pairs = (met.select(F.col("a.pos").alias("i"), F.col("b.pos").alias("j"), F.explode("a.sets").alias("x"),
-                        F.col("b.sets").alias("ys")).select("i", "j", "x", F.explode("ys").alias("y")))
-    return pairs.where(f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n) and "
-                       f"{100 + percent} * least(x.n - i, y.n - j) >= {percent} * (x.n + y.n)").select(
-        F.col("x.sid").alias("a"), F.col("y.sid").alias("b")).distinct()
+    each = met.select(F.col("a.pos").alias("i"), F.col("b.pos").alias("j"), F.explode("a.sets").alias("x"),
+                      F.col("b.sets").alias("ys"))
+    fits = (f"filter(ys, y -> 100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n) and "
+            f"{100 + percent} * least(x.n - i, y.n - j) >= {percent} * (x.n + y.n))")
+    return each.select("x.sid", F.explode(F.expr(fits)).alias("y")).select(
+        F.col("sid").alias("a"), F.col("y.sid").alias("b")).distinct()
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -221,9 +231,8 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     rows = stage(texts.mapInArrow(_sets(size, percent, False),
                                   "doc_id long, n long, fp string, low array<long>, spill array<long>")
                  .withColumn("sid", F.monotonically_increasing_id()), "sets")
-    postings = stage(_postings(rows, percent), "postings")
-    lists = postings.groupBy("h").agg(F.count("*").alias("c")).where("c > 1")
-    postings = stage(postings.join(lists.select("h"), "h", "left_semi"), "postings")
+    reps = rows.where("n > 0").groupBy("fp").agg(F.min("sid").alias("sid"))
+    postings = _in_lists(_postings(rows, percent).join(reps, "sid", "left_semi"))
 
     wanted = stage(postings.select("sid").distinct().join(rows.select("sid", "doc_id", "fp"), "sid"), "wanted")
     ids = bounded_broadcast(wanted, wanted.select(F.col("doc_id").alias("id")).distinct())
@@ -232,6 +241,11 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
                  .join(bounded_broadcast(wanted, wanted.select("fp", "sid")), "fp").dropDuplicates(["sid"])
                  .select("sid", "hashes"), "near-sets")
 
+    # the sets that are left, in the order of all their hashes: far fewer share a prefix
+    left = sets.select("sid", F.size("hashes").cast("long").alias("n"), F.col("hashes").alias("low"),
+                       F.array().cast("array<long>").alias("spill"))
+    postings = _in_lists(_postings(left, percent))
+
     links = _first_links(postings, sets, percent)
     roots = stage(components(links), "roots")
     pairs = stage(_list_pairs(postings, roots, percent), "pairs")

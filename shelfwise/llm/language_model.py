@@ -265,8 +265,8 @@ def _add_up(layout: Layout, discount: float, tokens: int, types: int, documents:
     return run
 
 
-def score_documents(docs: DataFrame, discount: float = 0.9, block_tokens: int = 4_000_000,
-                    shard_tokens: int = 6_000_000) -> DataFrame:
+def score_documents(docs: DataFrame, discount: float = 0.9, block_tokens: int = 2_500_000,
+                    shard_tokens: int = 4_000_000) -> DataFrame:
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Tokens are the A-Z lower-cased words between ASCII blanks and one end.  The
