@@ -9,8 +9,8 @@ prefix hash go through the same once more with all their hashes counted.  Two re
 * positions: a list is stored in blocks of equal position (and component); a
   pair of blocks is skipped when the hashes left behind that position cannot
   make up the overlap that the sizes need;
-* answers: sets that share their rarest listed hash are compared first, each
-  with a leader; a leader's members are answered from its overlap and their few
+* answers: sets that share their commonest or rarest listed hash are compared
+  first, each with a leader; a leader's members are answered from its overlap and their few
   differences from it.  Sets that this links already are never compared again:
   the lists only look for links between different components.
 
@@ -26,14 +26,15 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.llm.common import HashCache, ascii_words, bounded_broadcast, stage
 from shelfwise.llm.graph import components
 
 _K1, _K2, _K3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-SEGMENT = 512                   # sets compared in one task group
+SEGMENT = 2048                  # sets compared in one task group
+DELEGATES = 32                  # sets of a component that go on to the next round of segments
 
 
 def _finish(x: np.ndarray) -> np.ndarray:
@@ -91,35 +92,47 @@ def _linked(i: int, n: int, m: int, percent: int) -> bool:
 
 
 def link_segment(sids, sets, percent: int) -> list[tuple[int, int]]:
-    """Links that connect similar sets of one segment (sound, not exhaustive).
+    """Links that span the components of one segment.
 
-    A set is compared with leaders; from its overlap with a leader its overlap
-    with each member follows by the member's differences from that leader.
+    A set is compared with the leaders of components that it has not joined yet;
+    from its overlap with a leader its overlap with each member follows by the
+    member's differences from that leader.
     """
-    edges, leaders = [], []
+    edges, leaders, root = [], [], []
+
+    def top(g: int) -> int:
+        while root[g] != g:
+            g = root[g]
+        return g
+
     for k in np.argsort([len(s) for s in sets], kind="stable").tolist():
-        x, n, sid, linked = sets[k], len(sets[k]), int(sids[k]), False
-        for leader, head, members in reversed(leaders):
-            if 100 * min(n, len(head)) < (2 * percent - 100) * max(n, len(head)):
+        x, n, sid, home, joined = sets[k], len(sets[k]), int(sids[k]), None, set()
+        for g in range(len(leaders) - 1, -1, -1):
+            leader, head, members = leaders[g]
+            if top(g) in joined or 100 * min(n, len(head)) < (2 * percent - 100) * max(n, len(head)):
                 continue
             common = int(np.isin(x, head, assume_unique=True).sum())
             if _linked(common, n, len(head), percent):
                 edges.append((sid, leader))
-                members.append((sid, len(x), np.setdiff1d(head, x, True), np.setdiff1d(x, head, True)))
-                linked = True
-                break
+                joined.add(top(g))
+                if home is None:
+                    home = g
+                    members.append((sid, n, np.setdiff1d(head, x, True), np.setdiff1d(x, head, True)))
+                continue
             for other, m, minus, plus in members:
                 if not _linked(min(n, m, common + len(plus)), n, m, percent):
                     continue
                 both = common - int(np.isin(minus, x, True).sum()) + int(np.isin(plus, x, True).sum())
                 if _linked(both, n, m, percent):
                     edges.append((sid, other))
-                    linked = True
+                    joined.add(top(g))
                     break
-            if linked:
-                break
-        if not linked:
+        if home is None:
+            home = len(leaders)
             leaders.append((sid, x, []))
+            root.append(home)
+        for g in joined:
+            root[g] = top(home)
     return edges
 
 
@@ -162,27 +175,35 @@ def _segment_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFra
 
 
 def _first_links(postings: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between sets with the same rarest listed hash.  Larger groups are cut
-    into segments; one set of each component goes on until a group is one segment
-    or nothing more joins."""
-    first = postings.groupBy("sid").agg(F.min(F.struct("pos", "h")).alias("x")).select("sid", F.col("x.h").alias("h1"))
-    members, found = stage(first, "first"), []
-    while True:
-        # groups that one segment holds are done after their first round
-        sizes = members.groupBy("h1").agg(F.count("*").alias("c")).where("c > 1")
-        cut = members.join(sizes, "h1").withColumn(
-            "seg", F.pmod(F.xxhash64("sid", F.lit(len(found))), F.ceil(F.col("c") / SEGMENT)))
-        found.append(stage(_segment_links(cut.select("sid", "h1", "seg"), sets, percent), "segment-links"))
-        links = reduce(DataFrame.union, found)
-        large = stage(members.join(sizes.where(F.col("c") > SEGMENT).select("h1"), "h1", "left_semi"), "large")
-        before = large.count()
-        if not before:
-            return links
-        members = stage(large.join(components(links).withColumnRenamed("node", "sid"), "sid", "left")
-                        .groupBy("h1", F.coalesce("root", "sid").alias("c")).agg(F.min("sid").alias("sid"))
-                        .select("sid", "h1"), "first")
-        if members.count() > before // 4:            # no family: the lists look at the rest
-            return links
+    """Links between sets that share the commonest, then the rarest of their listed
+    hashes.  Larger groups are cut into segments; some sets of each component go
+    on until a group is one segment or too little joins."""
+    found: list[DataFrame] = []
+    for pick in (F.max, F.min):
+        first = postings.groupBy("sid").agg(pick(F.struct("pos", "h")).alias("x")).select("sid", F.col("x.h").alias("h1"))
+        members = first if not found else _delegates(first, reduce(DataFrame.union, found))
+        while members is not None:
+            members = stage(members, "first")
+            sizes = members.groupBy("h1").agg(F.count("*").alias("c")).where("c > 1")
+            cut = members.join(sizes, "h1").withColumn(
+                "seg", F.pmod(F.xxhash64("sid", F.lit(len(found))), F.ceil(F.col("c") / SEGMENT)))
+            found.append(stage(_segment_links(cut.select("sid", "h1", "seg"), sets, percent), "segment-links"))
+            large = stage(members.join(sizes.where(F.col("c") > SEGMENT).select("h1"), "h1", "left_semi"), "large")
+            before = large.count()
+            members = None
+            if before:
+                merged = stage(_delegates(large, reduce(DataFrame.union, found)), "merged")
+                # no family when few join: the lists look at the rest
+                members = merged if merged.count() <= before // 4 else None
+    return reduce(DataFrame.union, found)
+
+
+def _delegates(members: DataFrame, links: DataFrame) -> DataFrame:
+    """A few sets of each component from every (sid, h1) group."""
+    order = Window.partitionBy("h1", "c", "part").orderBy("sid")
+    named = (members.join(components(links).withColumnRenamed("node", "sid"), "sid", "left")
+             .withColumn("c", F.coalesce("root", "sid")).withColumn("part", F.pmod(F.xxhash64("sid"), F.lit(DELEGATES))))
+    return named.withColumn("nth", F.row_number().over(order)).where("nth = 1").select("sid", "h1")
 
 
 def _list_pairs(postings: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
@@ -199,11 +220,13 @@ def _list_pairs(postings: DataFrame, roots: DataFrame, percent: int) -> DataFram
     enough_left = f"{100 + percent} * least(a.hi - a.pos, b.hi - b.pos) >= {percent} * (a.lo + b.lo)"
     met = a.join(b, F.expr(f"a.h = b.h and a.root < b.root and {sizes_meet} and {enough_left}"))
     each = met.select(F.col("a.pos").alias("i"), F.col("b.pos").alias("j"), F.explode("a.sets").alias("x"),
-                      F.col("b.sets").alias("ys"))
-    fits = (f"filter(ys, y -> 100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n) and "
-            f"{100 + percent} * least(x.n - i, y.n - j) >= {percent} * (x.n + y.n))")
-    return each.select("x.sid", F.explode(F.expr(fits)).alias("y")).select(
-        F.col("sid").alias("a"), F.col("y.sid").alias("b")).distinct()
+                      F.col("b.root").alias("root"), F.col("b.salt").alias("salt"), F.col("b.sets").alias("ys"))
+    fits = (f"transform(filter(ys, y -> 100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n) and "
+            f"{100 + percent} * least(x.n - i, y.n - j) >= {percent} * (x.n + y.n)), y -> y.sid)")
+    # a pair that meets in many lists is put together once, block by block
+    near = (each.select(F.col("x.sid").alias("a"), "root", "salt", F.expr(fits).alias("ys")).where("size(ys) > 0")
+            .groupBy("a", "root", "salt").agg(F.array_distinct(F.flatten(F.collect_list("ys"))).alias("ys")))
+    return near.select("a", F.explode("ys").alias("b")).distinct()
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
