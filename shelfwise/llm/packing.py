@@ -28,6 +28,7 @@ from shelfwise.llm.common import stage
 # A chunk of letters with at most one mark after it; checked by its number of word ends below.
 _SIMPLE = re.compile(r"[^\W\d_]+([.,;:!?]?)")
 _BLANKS = str.maketrans("\n\t\r\f\v", "     ")
+_PLAIN = _BLANKS | {c: c + 32 for c in range(65, 91)}
 
 
 class WordEncoder:
@@ -39,7 +40,7 @@ class WordEncoder:
     ``limit`` chunks; then the memory starts afresh.
     """
 
-    def __init__(self, path: str, limit: int = 500_000):
+    def __init__(self, path: str, limit: int = 700_000):
         self.library = Tokenizer.from_file(path)
         self.limit, self.known = limit, {"": b""}
         vocabulary = self.library.get_vocab()
@@ -51,7 +52,18 @@ class WordEncoder:
         return [np.array(e.ids, dtype="<u4") for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, words: list[str]) -> None:
-        """Simple chunks are encoded joined by blanks and told apart by their word ends."""
+        """A mark after letters is a pre-token of its own: it is put after the ids of
+        its letters.  Simple chunks are encoded joined by blanks and told apart by
+        their word ends."""
+        marked = {w: w[:-1] for w in words if len(w) > 1 and _SIMPLE.fullmatch(w) and w[-1] in ".,;:!?"}
+        if marked:
+            words = list(dict.fromkeys([w for w in words if w not in marked] + [
+                x for w, core in marked.items() for x in (core, w[-1]) if x not in self.known]))
+        self._encode(words)
+        for word, core in marked.items():
+            self.known[word] = self.known[core] + self.known[word[-1]]
+
+    def _encode(self, words: list[str]) -> None:
         other = []
         for at in range(0, len(words), 512):
             simple, parts = [], []
@@ -81,7 +93,9 @@ class WordEncoder:
         while start < len(text):
             end = len(text) if len(text) - start <= size else text.find(" ", start + size)
             end = len(text) if end < 0 else end
-            words = text[start:end].translate(_BLANKS).split(" ")
+            part = text[start:end]
+            # small letters come first anyway, but for the special strings
+            words = part.translate(_BLANKS if "<|" in part else _PLAIN).split(" ")
             if len(self.known) > self.limit:
                 self.known = {"": b""}
             missing = list({w for w in words if w not in self.known})
