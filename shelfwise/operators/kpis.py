@@ -21,7 +21,7 @@ def ytd(model: StarModel, as_of) -> DataFrame:
 
 def top_product_names(model: StarModel, as_of, n: int = 10) -> DataFrame:
     """Revenue by product *name* (products sharing a name merge), top ``n`` (KPI-2)."""
-    totals = product_totals(model, D.up_to(F.col("sale_date"), as_of))
+    totals = product_totals(model, None)
     names = model.products.select("product_id", "product_name")
     return (totals.join(names, "product_id")
             .groupBy("product_name").agg(F.sum("revenue").alias("revenue"))

@@ -14,20 +14,20 @@ from shelfwise.defaults import COST_RATIO
 from shelfwise.functions.numeric import half_up
 from shelfwise.operators.common import (cents, join_products, product_totals,
                                         stock_by_product, totals_by)
-from shelfwise.operators.reports import monthly_revenue, stock_coverage
+from shelfwise.operators.reports import stock_coverage
 from shelfwise.sources.model import StarModel
 
 def totals(model: StarModel, as_of, by=("category_name",)) -> DataFrame:
     """Total Revenue and Total Units (MSR-1).  Sales of unknown products or
     categories land in a NULL group, as a BI blank row."""
-    t = totals_by(model, D.up_to(F.col("sale_date"), as_of), by)
+    t = totals_by(model, None, by)
     return t.select(*by, F.col("revenue").alias("total_revenue"),
                     F.col("units").alias("total_units"))
 
 
 def aov(model: StarModel, as_of, by=("month",)) -> DataFrame:
     """Average order value = revenue / distinct orders, 0 when none (MSR-2), 4 dp."""
-    s = model.sales.where(D.up_to(F.col("sale_date"), as_of))
+    s = model.sales
     keys = [D.month_start(F.col("sale_date")).alias("month") if k == "month" else F.col(k) for k in by]
     g = s.groupBy(*keys).agg(F.sum("total_amount").alias("revenue"),
                              F.count_distinct("sale_id").alias("orders"))
@@ -39,7 +39,7 @@ def aov(model: StarModel, as_of, by=("month",)) -> DataFrame:
 def gross_profit_60(model: StarModel, as_of, by=("month",)) -> DataFrame:
     """SUMX(amount - amount * 0.60) (MSR-3): exact in decimal, so it is taken
     on the grouped sum."""
-    t = totals_by(model, D.up_to(F.col("sale_date"), as_of), by)
+    t = totals_by(model, None, by)
     ratio = F.lit(COST_RATIO).cast("decimal(3,2)")
     return t.select(*by, (F.col("revenue") - F.col("revenue") * ratio).alias("gross_profit"))
 
@@ -84,7 +84,7 @@ def top10_revenue(model: StarModel, as_of, n: int = 10) -> DataFrame:
     The rank-``n`` revenue comes from a distributed top-k (no global window);
     names at or above it are summed.
     """
-    totals = product_totals(model, D.up_to(F.col("sale_date"), as_of))
+    totals = product_totals(model, None)
     names = (totals.join(model.products.select("product_id", "product_name"), "product_id")
              .groupBy("product_name").agg(F.sum("revenue").alias("revenue")))
     cutoff = names.orderBy(F.desc("revenue")).limit(n).agg(F.min("revenue")).scalar()
@@ -92,11 +92,20 @@ def top10_revenue(model: StarModel, as_of, n: int = 10) -> DataFrame:
 
 
 def yoy_growth(model: StarModel, as_of) -> DataFrame:
-    """Monthly revenue against the same month a year earlier (MSR-8), 6 dp;
-    NULL when last year has no revenue."""
-    m = monthly_revenue(model, as_of).select("month", "revenue")
-    ly = m.select(F.add_months("month", 12).alias("month"), F.col("revenue").alias("revenue_ly"))
-    j = m.join(ly, "month", "left")
+    """Monthly revenue against the same period a year earlier (MSR-8), 6 dp; NULL
+    when last year has no revenue.  The Date table ends at ``as_of``, so its month
+    is compared with the same days of last year only.  One scan: each month's
+    sums are counted once as its own and once for the month a year on."""
+    later = F.add_months("sale_date", 12)
+    same_period = (F.trunc(later, "month") != F.trunc(D.as_of_col(as_of), "month")) | (later <= D.as_of_col(as_of))
+    m = (model.sales.groupBy(D.month_start(F.col("sale_date")).alias("month"))
+         .agg(F.sum("total_amount").alias("own"), F.sum(F.when(same_period, F.col("total_amount"))).alias("next")))
+    both = m.select(F.explode(F.array(
+        F.struct(F.col("month"), F.col("own").alias("revenue"), F.lit(None).cast("decimal(24,2)").alias("revenue_ly")),
+        F.struct(F.add_months("month", 12).alias("month"), F.lit(None).cast("decimal(24,2)").alias("revenue"),
+                 F.when(F.col("month").isNotNull(), F.col("next")).alias("revenue_ly")))).alias("x")).select("x.*")
+    j = (both.groupBy("month").agg(F.sum("revenue").alias("revenue"), F.sum("revenue_ly").alias("revenue_ly"))
+         .where(F.col("revenue").isNotNull()))
     growth = F.when(F.col("revenue_ly") != 0,
                     half_up(cents(F.col("revenue") - F.col("revenue_ly")), cents(F.col("revenue_ly")), 6))
     return j.select("month", "revenue", "revenue_ly", growth.alias("yoy_growth")).orderBy("month")
@@ -106,7 +115,6 @@ def revenue_by(model: StarModel, as_of, dims=("category_name",), start=None, end
                categories=None, product_ids=None) -> DataFrame:
     """Revenue and units by a dimension with the dashboard slicers (DSH-1):
     category names, a date range and product ids; inner joins as the views."""
-    end = as_of if end is None else end
     cond = D.date_range(F.col("sale_date"), start, end)
     if product_ids is not None:
         cond = cond & F.col("product_id").isin(list(product_ids))

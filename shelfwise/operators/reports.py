@@ -14,7 +14,7 @@ from shelfwise.defaults import (LOW_SELLER_THRESHOLD, ROLLING_FRAME_MONTHS, ROLL
                                 SELLERS_WINDOW_DAYS, STOCK_LOW_DAYS, STOCK_WARNING_DAYS,
                                 VELOCITY_PER_DAYS, VELOCITY_WINDOW_DAYS)
 from shelfwise.functions.numeric import half_up
-from shelfwise.operators.common import join_products, product_dim, product_totals, stock_by_product
+from shelfwise.operators.common import join_products, product_dim, product_totals, sales_where, stock_by_product
 from shelfwise.sources.model import StarModel
 
 STATUS_NO_SALES = "NO_SALES"
@@ -58,9 +58,11 @@ def low_sellers(model: StarModel, as_of, window_days: int = SELLERS_WINDOW_DAYS,
 def _status(stock, units, warn_days: int, low_days: int, per_days: int):
     # cover = stock / (units / per_days) compared exactly in integers; a NULL
     # stock (no inventory rows) falls through to OK, as in the reference.
+    # Net returns (negative units) turn both sides of the comparison round.
+    sign = F.signum(units).cast("long")
     return (F.when(units == 0, F.lit(STATUS_NO_SALES))
-            .when(stock * per_days < units * warn_days, F.lit(STATUS_CRITICAL))
-            .when(stock * per_days < units * low_days, F.lit(STATUS_LOW))
+            .when(stock * per_days * sign < units * sign * warn_days, F.lit(STATUS_CRITICAL))
+            .when(stock * per_days * sign < units * sign * low_days, F.lit(STATUS_LOW))
             .otherwise(F.lit(STATUS_OK)))
 
 
@@ -75,11 +77,13 @@ def stock_coverage(model: StarModel, as_of, warn_days: int = STOCK_WARNING_DAYS,
     units30 = product_totals(model, D.trailing_days(F.col("sale_date"), as_of, window_days)) \
         .select("product_id", F.col("units_sold").alias("units_w"))
     # three product-level relations joined on product_id, category names last
-    base = join_products(stock_by_product(model).join(units30, "product_id", "full"), model,
-                         products_left=True)
+    base = (product_dim(model, category=None)
+            .join(stock_by_product(model), "product_id", "left").join(units30, "product_id", "left")
+            .join(model.categories.select("category_id", "category_name"), "category_id"))
     units = F.coalesce(F.col("units_w"), F.lit(0).cast("long"))
     stock = F.col("total_stock")
-    cover = F.when(units > 0, half_up(stock * per_days, units, 1))
+    cover = (F.when(units > 0, half_up(stock * per_days, units, 1))
+             .when(units < 0, -half_up(stock * per_days, -units, 1)))
     return (base.select(
         "product_id", "sku", "product_name", "category_name",
         F.coalesce(stock, F.lit(0).cast("long")).alias("total_stock"),
@@ -142,9 +146,9 @@ def six_month_average(model: StarModel, as_of, months: int = ROLLING_HISTORY_MON
 
 def monthly_revenue(model: StarModel, as_of, months: int | None = None) -> DataFrame:
     """Revenue, units and distinct transactions per calendar month (RPT-8/9)."""
-    cond = (D.up_to(F.col("sale_date"), as_of) if months is None
+    cond = (None if months is None
             else D.trailing_months(F.col("sale_date"), as_of, months))
-    return (model.sales.where(cond)
+    return (sales_where(model, cond)
             .groupBy(D.month_start(F.col("sale_date")).alias("month"))
             .agg(F.sum("total_amount").alias("revenue"),
                  F.sum("quantity").cast("long").alias("units_sold"),

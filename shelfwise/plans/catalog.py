@@ -2,8 +2,9 @@
 
 Each entry takes ``(spark, sf_dir)``, maps the tables onto the star model
 and returns the operator's result with money and ratios published as
-DOUBLE and integers as BIGINT (``to_edge``).  The clock is fixed: ``AS_OF``
-is the last ship date in the test data at every scale.
+DOUBLE and integers as BIGINT (``to_edge``).  ``as_of`` is an argument of every
+query; its default is the last ship date of the test data.  Only trailing
+windows, year-to-date and same-period figures depend on it.
 """
 
 from __future__ import annotations
@@ -22,51 +23,51 @@ from shelfwise.sources.model import StarModel, load_model
 AS_OF = dt.date(2001, 11, 4)
 
 
-def _q(fn: Callable[[StarModel], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return to_edge(fn(load_model(spark, sf_dir)))
+def _q(fn: Callable[[StarModel, dt.date], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str, as_of: dt.date = AS_OF) -> DataFrame:
+        return to_edge(fn(load_model(spark, sf_dir), as_of))
     run.__doc__ = fn.__doc__
     return run
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "top_sellers": _q(lambda m: reports.top_sellers(m, AS_OF)),
-    "top_sellers_view": _q(lambda m: reports.top_sellers_view(m, AS_OF)),
-    "low_sellers": _q(lambda m: reports.low_sellers(m, AS_OF, threshold=10)),
-    "low_sellers_view": _q(lambda m: reports.low_sellers(m, AS_OF, threshold=LOW_SELLER_VIEW_THRESHOLD)),
-    "stock_coverage": _q(lambda m: reports.stock_coverage(m, AS_OF)),
-    "stock_coverage_view": _q(lambda m: reports.stock_coverage_view(m, AS_OF)),
-    "six_month_average": _q(lambda m: reports.six_month_average(m, AS_OF)),
-    "six_month_calendar": _q(lambda m: reports.six_month_average(m, AS_OF, calendar=True)),
-    "monthly_revenue": _q(lambda m: reports.monthly_revenue(m, AS_OF)),
-    "monthly_revenue_24m": _q(lambda m: reports.monthly_revenue(m, AS_OF, months=24)),
-    "ytd_kpis": _q(lambda m: kpis.ytd(m, AS_OF)),
-    "top_product_names": _q(lambda m: kpis.top_product_names(m, AS_OF)),
-    "critical_stock": _q(lambda m: kpis.critical_stock(m, AS_OF)),
-    "category_contribution": _q(lambda m: kpis.category_contribution(m, AS_OF)),
-    "etl_extract": _q(lambda m: etl.extract_sales(m, AS_OF)),
-    "etl_clean": _q(lambda m: etl.clean_sales(m, AS_OF)),
-    "forecast_total": _q(lambda m: forecast.forecast_total(m, AS_OF)),
-    "forecast_products": _q(lambda m: forecast.forecast_products(m, AS_OF)),
-    "revenue_with_forecast": _q(lambda m: forecast.revenue_with_forecast(m, AS_OF)),
-    "forecast_matrix": _q(lambda m: forecast.forecast_matrix(m, AS_OF)),
-    "totals_by_category": _q(lambda m: measures.totals(m, AS_OF, by=["category_name"])),
-    "aov_by_month": _q(lambda m: measures.aov(m, AS_OF, by=["month"])),
-    "gross_profit_60": _q(lambda m: measures.gross_profit_60(m, AS_OF, by=["month"])),
-    "revenue_6m_avg": _q(lambda m: measures.revenue_6m_avg(m, AS_OF, by=["product_id"])),
-    "coverage_days_measure": _q(lambda m: measures.coverage_days(m, AS_OF)),
-    "top10_revenue": _q(lambda m: measures.top10_revenue(m, AS_OF)),
-    "critical_sku_count": _q(lambda m: measures.critical_sku_count(m, AS_OF)),
-    "yoy_growth": _q(lambda m: measures.yoy_growth(m, AS_OF)),
-    "revenue_by_category": _q(lambda m: measures.revenue_by(m, AS_OF, dims=["category_name"])),
-    "revenue_by_product": _q(lambda m: measures.revenue_by(m, AS_OF, dims=["product_id", "product_name"])),
-    "stock_status_counts": _q(lambda m: measures.stock_status_counts(m, AS_OF)),
-    "cover_bands": _q(lambda m: measures.cover_bands(m, AS_OF)),
-    "seed_inventory": _q(lambda m: seeds.seed_inventory(m)),
-    "demand_calendar": _q(lambda m: seeds.demand_calendar(m)),
-    "constraint_report": _q(lambda m: quality.constraint_report(m)),
-    "daily_summary": _q(lambda m: summary.daily_summary(m, AS_OF)),
-    "summary_section_critical": _q(lambda m: summary.summary_section_critical(m, AS_OF)),
+    "top_sellers": _q(lambda m, as_of: reports.top_sellers(m, as_of)),
+    "top_sellers_view": _q(lambda m, as_of: reports.top_sellers_view(m, as_of)),
+    "low_sellers": _q(lambda m, as_of: reports.low_sellers(m, as_of, threshold=10)),
+    "low_sellers_view": _q(lambda m, as_of: reports.low_sellers(m, as_of, threshold=LOW_SELLER_VIEW_THRESHOLD)),
+    "stock_coverage": _q(lambda m, as_of: reports.stock_coverage(m, as_of)),
+    "stock_coverage_view": _q(lambda m, as_of: reports.stock_coverage_view(m, as_of)),
+    "six_month_average": _q(lambda m, as_of: reports.six_month_average(m, as_of)),
+    "six_month_calendar": _q(lambda m, as_of: reports.six_month_average(m, as_of, calendar=True)),
+    "monthly_revenue": _q(lambda m, as_of: reports.monthly_revenue(m, as_of)),
+    "monthly_revenue_24m": _q(lambda m, as_of: reports.monthly_revenue(m, as_of, months=24)),
+    "ytd_kpis": _q(lambda m, as_of: kpis.ytd(m, as_of)),
+    "top_product_names": _q(lambda m, as_of: kpis.top_product_names(m, as_of)),
+    "critical_stock": _q(lambda m, as_of: kpis.critical_stock(m, as_of)),
+    "category_contribution": _q(lambda m, as_of: kpis.category_contribution(m, as_of)),
+    "etl_extract": _q(lambda m, as_of: etl.extract_sales(m, as_of)),
+    "etl_clean": _q(lambda m, as_of: etl.clean_sales(m, as_of)),
+    "forecast_total": _q(lambda m, as_of: forecast.forecast_total(m, as_of)),
+    "forecast_products": _q(lambda m, as_of: forecast.forecast_products(m, as_of)),
+    "revenue_with_forecast": _q(lambda m, as_of: forecast.revenue_with_forecast(m, as_of)),
+    "forecast_matrix": _q(lambda m, as_of: forecast.forecast_matrix(m, as_of)),
+    "totals_by_category": _q(lambda m, as_of: measures.totals(m, as_of, by=["category_name"])),
+    "aov_by_month": _q(lambda m, as_of: measures.aov(m, as_of, by=["month"])),
+    "gross_profit_60": _q(lambda m, as_of: measures.gross_profit_60(m, as_of, by=["month"])),
+    "revenue_6m_avg": _q(lambda m, as_of: measures.revenue_6m_avg(m, as_of, by=["product_id"])),
+    "coverage_days_measure": _q(lambda m, as_of: measures.coverage_days(m, as_of)),
+    "top10_revenue": _q(lambda m, as_of: measures.top10_revenue(m, as_of)),
+    "critical_sku_count": _q(lambda m, as_of: measures.critical_sku_count(m, as_of)),
+    "yoy_growth": _q(lambda m, as_of: measures.yoy_growth(m, as_of)),
+    "revenue_by_category": _q(lambda m, as_of: measures.revenue_by(m, as_of, dims=["category_name"])),
+    "revenue_by_product": _q(lambda m, as_of: measures.revenue_by(m, as_of, dims=["product_id", "product_name"])),
+    "stock_status_counts": _q(lambda m, as_of: measures.stock_status_counts(m, as_of)),
+    "cover_bands": _q(lambda m, as_of: measures.cover_bands(m, as_of)),
+    "seed_inventory": _q(lambda m, as_of: seeds.seed_inventory(m)),
+    "demand_calendar": _q(lambda m, as_of: seeds.demand_calendar(m)),
+    "constraint_report": _q(lambda m, as_of: quality.constraint_report(m)),
+    "daily_summary": _q(lambda m, as_of: summary.daily_summary(m, as_of)),
+    "summary_section_critical": _q(lambda m, as_of: summary.summary_section_critical(m, as_of)),
 }
 
 FLAGSHIP = "top_sellers"

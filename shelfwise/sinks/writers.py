@@ -8,10 +8,12 @@ the driver.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfwise.session import ensure_checkpoint_dir
+
 MODES = {"append": "append", "replace": "overwrite", "fail": "errorifexists"}
 
 # The sheet names of the reference's two workbooks.
@@ -53,13 +55,13 @@ def persist_sales(df: DataFrame, fact_path: str, csv_path: str | None = None) ->
     if not csv_path:
         df.write.mode("append").parquet(fact_path)
         return
-    # both copies from one evaluation; a lost cached block is recomputed
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        df.write.mode("append").parquet(fact_path)
-        df.write.mode("append").option("header", True).csv(csv_path)
-    finally:
-        df.unpersist()
+    # the batch is evaluated once into the shared folder; both copies append from there
+    spark = df.sparkSession
+    batch = f"{ensure_checkpoint_dir(spark).rstrip('/')}/sales-batch-{uuid.uuid4().hex}"
+    df.write.parquet(batch)
+    written = spark.read.schema(df.schema).parquet(batch)
+    written.write.mode("append").parquet(fact_path)
+    written.write.mode("append").option("header", True).csv(csv_path)
 
 
 def write_fact(df: DataFrame, path: str, partition_by: str = "sale_date",
@@ -69,9 +71,10 @@ def write_fact(df: DataFrame, path: str, partition_by: str = "sale_date",
     Every report filters on a trailing date window; with the date as the
     partition column those filters prune whole directories at planning time
     (``PartitionFilters``) instead of reading row-group statistics.  Rows are
-    clustered by date first so each day is written by few tasks.
+    rebalanced by date: small days share a task, and a day larger than the
+    advisory partition size is split over several tasks and files.
     """
-    (df.repartitionByRange(partition_by).sortWithinPartitions(partition_by)
+    (df.hint("rebalance", partition_by)
      .write.mode(_mode(if_exists)).partitionBy(partition_by).parquet(path))
 
 
