@@ -12,6 +12,9 @@ gathered in one task.
 from __future__ import annotations
 
 import re
+import sys
+import types
+import unicodedata
 import zlib
 from dataclasses import dataclass
 
@@ -40,7 +43,7 @@ class WordEncoder:
     ``limit`` chunks; then the memory starts afresh.
     """
 
-    def __init__(self, path: str, limit: int = 700_000):
+    def __init__(self, path: str, limit: int = 1_000_000):
         self.library = Tokenizer.from_file(path)
         self.limit, self.known = limit, {"": b""}
         vocabulary = self.library.get_vocab()
@@ -52,10 +55,11 @@ class WordEncoder:
         return [np.array(e.ids, dtype="<u4") for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, words: list[str]) -> None:
-        """A mark after letters is a pre-token of its own: it is put after the ids of
-        its letters.  Simple chunks are encoded joined by blanks and told apart by
+        """A mark after letters (still letters when normalised) is a pre-token of its
+        own: it is put after the ids of its letters.  Simple chunks are encoded joined by blanks and told apart by
         their word ends."""
-        marked = {w: w[:-1] for w in words if len(w) > 1 and _SIMPLE.fullmatch(w) and w[-1] in ".,;:!?"}
+        marked = {w: w[:-1] for w in words if len(w) > 1 and w[-1] in ".,;:!?"
+                  and _SIMPLE.fullmatch(unicodedata.normalize("NFC", w).lower())}
         if marked:
             words = list(dict.fromkeys([w for w in words if w not in marked] + [
                 x for w, core in marked.items() for x in (core, w[-1]) if x not in self.known]))
@@ -105,6 +109,16 @@ class WordEncoder:
             start = end
 
 
+def worker_encoder(path: str) -> WordEncoder:
+    """One encoder per worker process: what one task has learnt serves the next.
+    It only saves time; a new worker starts with an empty memory."""
+    state = sys.modules.setdefault("_shelfwise_worker", types.ModuleType("_shelfwise_worker"))
+    encoders = state.__dict__.setdefault("encoders", {})
+    if path not in encoders:
+        encoders[path] = WordEncoder(path)
+    return encoders[path]
+
+
 def encode_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
                   capacity: int = 4096, end_id: int = 1, keep_ids: bool = False) -> DataFrame:
     """One row per piece: id, piece, start, length, ids_crc32 [, ids], plus the
@@ -116,7 +130,7 @@ def encode_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
         fields.append("ids binary")
 
     def run(batches):
-        encoder, part, seen = WordEncoder(tokenizer_path), TaskContext.get().partitionId(), {}
+        encoder, part, seen = worker_encoder(tokenizer_path), TaskContext.get().partitionId(), {}
         for batch in batches:
             out = [[] for _ in range(8)]
 
