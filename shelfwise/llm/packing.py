@@ -25,13 +25,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from shelfwise.llm.common import stage
+from shelfwise.llm.common import LOWER, stage
 
 # ------------------------------------------------------------------ token ids
 # A chunk of letters with at most one mark after it; checked by its number of word ends below.
 _SIMPLE = re.compile(r"[^\W\d_]+([.,;:!?]?)")
-_BLANKS = str.maketrans("\n\t\r\f\v", "     ")
-_PLAIN = _BLANKS | {c: c + 32 for c in range(65, 91)}
+# on UTF-8 bytes, where values below 128 are ASCII characters and nothing else
+_BLANKS = bytes.maketrans(b"\n\t\r\f\v", b"     ")
+_PLAIN = LOWER.translate(_BLANKS)
 
 
 class WordEncoder:
@@ -99,13 +100,13 @@ class WordEncoder:
             end = len(text) if end < 0 else end
             part = text[start:end]
             # small letters come first anyway, but for the special strings
-            words = part.translate(_BLANKS if "<|" in part else _PLAIN).split(" ")
+            words = part.encode().translate(_BLANKS if "<|" in part else _PLAIN).decode().split(" ")
             if len(self.known) > self.limit:
                 self.known = {"": b""}
-            missing = list({w for w in words if w not in self.known})
+            missing = set(words).difference(self.known)
             if missing:
-                self._learn(missing)
-            yield b"".join([self.known[w] for w in words])
+                self._learn(list(missing))
+            yield b"".join(map(self.known.__getitem__, words))
             start = end
 
 
