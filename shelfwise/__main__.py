@@ -2,10 +2,12 @@
 
     python -m shelfwise pipeline --tables DIR --out DIR [--as-of YYYY-MM-DD] [--star]
     python -m shelfwise etl      --tables DIR --out DIR [--as-of YYYY-MM-DD] [--star]
-    python -m shelfwise query NAME --tables DIR [--out DIR]
+    python -m shelfwise query NAME --tables DIR [--out DIR] [--as-of YYYY-MM-DD] [--star]
 
 ``--tables`` holds the driver-style tables (lineitem, part, ...) or, with
 ``--star``, a star schema (sales, products, categories, stores, inventory).
+The date is today unless given; for a query on the driver-style tables, the
+last date of those.  Without ``--out`` a query prints all its rows as CSV.
 On a cluster, submit with spark-submit; the session here only fills in
 settings the launcher left unset.
 """
@@ -13,7 +15,9 @@ settings the launcher left unset.
 from __future__ import annotations
 
 import argparse
+import csv
 import datetime as dt
+import sys
 
 from shelfwise.session import build_session, ensure_checkpoint_dir
 
@@ -48,12 +52,14 @@ def main(argv: list[str] | None = None) -> None:
         from shelfwise.operators.etl import run_etl
         run_etl(model, as_of, args.out or "data/processed")
     else:
-        from shelfwise.plans.catalog import QUERIES
-        df = QUERIES[args.name](spark, args.tables)
+        from shelfwise.plans.catalog import AS_OF, QUERIES
+        df = QUERIES[args.name].operator(model, args.as_of or (as_of if args.star else AS_OF))
         if args.out:
             df.write.mode("overwrite").parquet(args.out)
         else:
-            df.show(50, truncate=False)
+            lines = csv.writer(sys.stdout)
+            lines.writerow(df.columns)
+            lines.writerows(df.toLocalIterator())
     if owned:
         spark.stop()
 

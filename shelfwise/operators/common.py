@@ -106,3 +106,20 @@ def totals_by(model: StarModel, cond: Column | None, by=()) -> DataFrame:
                             cols=[k for k in dim_keys if k != "category_name"])
     return pre.groupBy(*by).agg(F.sum("revenue").alias("revenue"),
                                 F.sum("units").cast("long").alias("units"))
+
+
+def order_totals_by(model: StarModel, by=()) -> DataFrame:
+    """(by..., sale_id, revenue): one row per order and group.  Product and category
+    attributes are looked up by rows already summed per (order, product)."""
+    by = list(by)
+    fact = [k for k in by if k in _TIME_KEYS]
+    dims = [k for k in by if k not in _TIME_KEYS and k != "product_id"]
+    keys = [_TIME_KEYS[k]().alias(k) for k in fact]
+    if dims or "product_id" in by:
+        keys.append(F.col("product_id"))
+    pre = model.sales.groupBy("sale_id", *keys).agg(F.sum("total_amount").alias("revenue"))
+    if not dims:
+        return pre
+    pre = join_products(pre, model, how="left", category="left" if "category_name" in dims else None,
+                        cols=[k for k in dims if k != "category_name"])
+    return pre.groupBy("sale_id", *by).agg(F.sum("revenue").alias("revenue"))

@@ -7,13 +7,19 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions import dates as D
 from shelfwise.defaults import COST_RATIO, ETL_LOOKBACK_DAYS
-from shelfwise.operators.common import join_products
+from shelfwise.operators.common import product_dim
 from shelfwise.sources.model import StarModel
 
 EXTRACT_COLUMNS = ["sale_date", "product_id", "store_id", "quantity", "unit_price",
                    "total_amount", "sku", "product_name", "category_id", "category_name"]
 
 
+def _named_products(model: StarModel) -> DataFrame:
+    """Products with their category, put together first: sales lines then meet one
+    relation, on product_id, and never the few hot category ids."""
+    return product_dim(model).select("product_id", "sku", "product_name", "category_id", "category_name")
+
+
 def extract_sales(model: StarModel, as_of, days_back: int = ETL_LOOKBACK_DAYS) -> DataFrame:
     """Sales lines of the look-back window with product and category attributes.
 
@@ -22,7 +28,7 @@ def extract_sales(model: StarModel, as_of, days_back: int = ETL_LOOKBACK_DAYS) -
     product is split by AQE's skew-join handling rather than one task.
     """
     s = model.sales.where(D.trailing_days(F.col("sale_date"), as_of, days_back))
-    return join_products(s, model, cols=("sku", "product_name")).select(*EXTRACT_COLUMNS)
+    return s.join(_named_products(model), "product_id").select(*EXTRACT_COLUMNS)
 
 
 def transform(df: DataFrame, keys: list[str] | None = None, dedupe: bool = True) -> DataFrame:
@@ -61,7 +67,7 @@ def clean_sales(model: StarModel, as_of, days_back: int = ETL_LOOKBACK_DAYS) ->
     s = (model.sales.where(D.trailing_days(F.col("sale_date"), as_of, days_back))
          .where(F.col("quantity") > 0)
          .select(*FACT_COLUMNS).dropDuplicates())
-    return transform(join_products(s, model, cols=("sku", "product_name")).select(*EXTRACT_COLUMNS),
+    return transform(s.join(_named_products(model), "product_id").select(*EXTRACT_COLUMNS),
                      dedupe=False)
 
 

@@ -130,15 +130,17 @@ def top_recent_products(model: StarModel, as_of, top_n: int,
             .select("product_id"))
 
 
-def forecast_products_h(model: StarModel, as_of, top_n: int = FORECAST_TOP_N,
+def forecast_products_h(model: StarModel, as_of, top_n: int | None = FORECAST_TOP_N,
                         months_ahead: int = FORECAST_MONTHS,
                         history_months: int = FORECAST_PRODUCT_HISTORY_MONTHS) -> DataFrame:
-    """Per-product forecast with the horizon step ``h`` kept (for the matrix)."""
+    """Per-product forecast with the horizon step ``h`` kept (for the matrix);
+    ``top_n`` None takes every named product."""
     _check_horizon(months_ahead)
-    pm = product_monthly_revenue(model, as_of, history_months)
-    # at most top_n rows: a proven bound, so broadcasting the key set is safe
-    top = F.broadcast(top_recent_products(model, as_of, top_n, history_months))
-    series = pm.join(top, "product_id", "left_semi")
+    series = product_monthly_revenue(model, as_of, history_months)
+    if top_n is not None:
+        # a short list of ids is broadcast; Spark sizes a longer one itself
+        top = top_recent_products(model, as_of, top_n, history_months)
+        series = series.join(F.broadcast(top) if top_n <= 10_000 else top, "product_id", "left_semi")
     # a product has one name, so carrying it as a series key adds no group
     fit = fill_and_fit(series, ["product_id", "product_name"]).where(F.col("span") >= MIN_HISTORY)
     out = _horizon(fit, months_ahead)
@@ -147,7 +149,7 @@ def forecast_products_h(model: StarModel, as_of, top_n: int = FORECAST_TOP_N,
                       guarded_round2(F.greatest(F.col("pred"), F.lit(0.0))).alias("forecast_revenue"))
 
 
-def forecast_products(model: StarModel, as_of, top_n: int = FORECAST_TOP_N,
+def forecast_products(model: StarModel, as_of, top_n: int | None = FORECAST_TOP_N,
                       months_ahead: int = FORECAST_MONTHS,
                       history_months: int = FORECAST_PRODUCT_HISTORY_MONTHS) -> DataFrame:
     """Forecast revenue of the top-N recent products (FC-2).

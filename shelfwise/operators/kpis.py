@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions import dates as D
 from shelfwise.functions.numeric import half_up
-from shelfwise.operators.common import cents, join_products, product_totals
+from shelfwise.operators.common import cents, product_totals
 from shelfwise.operators.reports import stock_coverage_view
 from shelfwise.sources.model import StarModel
 
@@ -40,11 +40,14 @@ def critical_stock(model: StarModel, as_of, days: int = 14) -> DataFrame:
 def category_contribution(model: StarModel, as_of, window_days: int = 90) -> DataFrame:
     """Revenue per category and its share (percent, 2 dp) of *all* revenue in
     the window — including sales the category join drops (KPI-4)."""
-    cond = D.trailing_days(F.col("sale_date"), as_of, window_days)
-    # one scalar subquery, evaluated once and folded into the projection
-    total_cents = model.sales.where(cond).select(cents(F.sum("total_amount"))).scalar()
-    by_cat = (join_products(product_totals(model, cond), model, cols=())
-              .groupBy("category_name").agg(F.sum("revenue").alias("revenue")))
-    return (by_cat.select("category_name", "revenue",
-                          (half_up(cents(F.col("revenue")), total_cents, 4) * 100).alias("pct"))
+    totals = product_totals(model, D.trailing_days(F.col("sale_date"), as_of, window_days))
+    known = model.categories.select("category_id", "category_name", F.lit(True).alias("known"))
+    # one scan: the total is taken over the category rows, the unmatched group among them
+    by_cat = (totals.join(model.products.select("product_id", "category_id"), "product_id", "left")
+              .join(known, "category_id", "left")
+              .groupBy("known", "category_name").agg(F.sum("revenue").alias("revenue"))
+              .withColumn("total", F.sum("revenue").over(Window.partitionBy())))
+    return (by_cat.where("known")
+            .select("category_name", "revenue",
+                    (half_up(cents(F.col("revenue")), cents(F.col("total")), 4) * 100).alias("pct"))
             .orderBy(F.desc("revenue"), "category_name"))

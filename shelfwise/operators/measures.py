@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from shelfwise.functions import dates as D
 from shelfwise.defaults import COST_RATIO
 from shelfwise.functions.numeric import half_up
-from shelfwise.operators.common import (cents, join_products, product_totals,
+from shelfwise.operators.common import (cents, join_products, order_totals_by, product_dim, product_totals,
                                         stock_by_product, totals_by)
 from shelfwise.operators.reports import stock_coverage
 from shelfwise.sources.model import StarModel
@@ -26,11 +26,11 @@ def totals(model: StarModel, as_of, by=("category_name",)) -> DataFrame:
 
 
 def aov(model: StarModel, as_of, by=("month",)) -> DataFrame:
-    """Average order value = revenue / distinct orders, 0 when none (MSR-2), 4 dp."""
-    s = model.sales
-    keys = [D.month_start(F.col("sale_date")).alias("month") if k == "month" else F.col(k) for k in by]
-    g = s.groupBy(*keys).agg(F.sum("total_amount").alias("revenue"),
-                             F.count_distinct("sale_id").alias("orders"))
+    """Average order value = revenue / distinct orders, 0 when none (MSR-2), 4 dp.
+    ``by`` mixes time and store keys with product and category attributes; an
+    order counts once in every group it has lines in."""
+    lines = order_totals_by(model, by)
+    g = lines.groupBy(*by).agg(F.sum("revenue").alias("revenue"), F.count("sale_id").alias("orders"))
     value = F.coalesce(half_up(cents(F.col("revenue")), F.col("orders") * 100, 4),
                        F.lit(0).cast("decimal(38,4)"))
     return g.select(*by, value.alias("aov"))
@@ -61,12 +61,17 @@ def _coverage_base(model: StarModel, as_of, days: int) -> DataFrame:
             .join(units, "product_id", "left"))
 
 
-def coverage_days(model: StarModel, as_of, days: int = 30) -> DataFrame:
-    """Stock / (units in the last ``days`` dates / days) per product (MSR-5);
+def coverage_days(model: StarModel, as_of, days: int = 30, by=("product_id",)) -> DataFrame:
+    """Stock / (units in the last ``days`` dates / days) (MSR-5) per product or per
+    group ``by`` of product and category attributes, over the group's products;
     NULL (BLANK) without sales or without stock.  2 dp."""
     cov = F.when(F.col("units_sold") > 0,
                  half_up(F.col("total_stock") * days, F.col("units_sold"), 2))
-    return _coverage_base(model, as_of, days).select("product_id", cov.alias("coverage_days"))
+    base = _coverage_base(model, as_of, days)
+    if list(by) != ["product_id"]:
+        base = (base.join(product_dim(model, "left"), "product_id").groupBy(*by)
+                .agg(F.sum("total_stock").alias("total_stock"), F.sum("units_sold").alias("units_sold")))
+    return base.select(*by, cov.alias("coverage_days"))
 
 
 def critical_sku_count(model: StarModel, as_of, warn_days: int = 14, days: int = 30) -> DataFrame:

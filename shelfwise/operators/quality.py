@@ -1,8 +1,8 @@
 """Data-quality checks re-expressing the schema's constraints (DQ-1..5).
 
 Spark does not enforce NOT NULL / UNIQUE / FOREIGN KEY / CHECK, so each
-becomes an aggregate: one pass per table for all NOT NULL columns,
-``groupBy(key)`` for uniqueness, outer-join lookups of pre-aggregated keys for orphans.
+becomes an aggregate: one pass per table for its keys and row rules, and
+``groupBy(key)`` for the other unique columns.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ NOT_NULL = {
     "inventory": ["stock_qty", "reorder_level"],
     "sales": ["sale_date", "quantity", "unit_price", "total_amount"],
 }
+PRIMARY_KEYS = {"categories": "category_id", "stores": "store_id", "products": "product_id", "sales": "sale_id"}
 UNIQUE = {
     "categories": [["category_name"]],
     "products": [["sku"]],
@@ -49,19 +50,43 @@ def _row(table: str, rule: str, count_col) -> list:
 CHECKS = [("sales", "check:quantity>0", lambda: F.col("quantity") <= 0)]
 
 
-def row_checks(model: StarModel) -> list[DataFrame]:
-    """NOT NULL and CHECK counts: one aggregate pass per table, unpivoted to
-    one row per rule."""
+def table_checks(model: StarModel) -> list[DataFrame]:
+    """PRIMARY KEY, NOT NULL, CHECK and FOREIGN KEY counts, each table read once.
+
+    A row becomes one (kind, key) pair for each key column, combined before the
+    shuffle, so a key that a third of the rows hold is one row of it; the first
+    pair also carries the row's own rules.  Keys meet the distinct parent keys in
+    an outer join above that aggregate: semi and anti joins would be pushed below
+    it and join raw rows.  NULL keys have no parent to miss, as in SQL.
+    """
     out = []
-    for table in NOT_NULL.keys() | {t for t, _, _ in CHECKS}:
-        rules = [(f"not_null:{c}", F.col(c).isNull()) for c in NOT_NULL.get(table, [])]
-        rules += [(name, pred()) for t, name, pred in CHECKS if t == table]
-        counts = getattr(model, table).agg(
-            *[F.count_if(pred).alias(f"r{i}") for i, (_, pred) in enumerate(rules)])
+    for table in sorted(NOT_NULL):
+        own = [(f"not_null:{c}", F.col(c).isNull()) for c in NOT_NULL[table]]
+        own += [(name, pred()) for t, name, pred in CHECKS if t == table]
+        links = [(c, p, pc) for child, c, p, pc in FOREIGN_KEYS if child == table]
+        columns = [c for c, _, _ in links] + ([PRIMARY_KEYS[table]] if table in PRIMARY_KEYS else [])
+        pairs = getattr(model, table).select(
+            F.struct(*[pred.alias(f"r{i}") for i, (_, pred) in enumerate(own)]).alias("rules"),
+            F.posexplode(F.array(*[F.col(c).cast("long") for c in columns])).alias("kind", "k"))
+        keys = pairs.groupBy("kind", "k").agg(
+            F.count(F.lit(1)).alias("rows"),
+            *[F.count_if((F.col("kind") == 0) & F.col(f"rules.r{i}")).alias(f"r{i}") for i in range(len(own))])
+        found = F.lit(None).cast("boolean").alias("found")
+        if links:
+            parents = reduce(DataFrame.union, [
+                getattr(model, p).select(F.lit(i).alias("kind"), F.col(pc).cast("long").alias("k"))
+                for i, (_, p, pc) in enumerate(links)]).distinct()
+            keys, found = keys.join(parents.withColumn("found", F.lit(True)), ["kind", "k"], "left"), F.col("found")
+        sums = [(name, F.sum(f"r{i}")) for i, (name, _) in enumerate(own)]
+        sums += [(f"foreign_key:{c}->{p}.{pc}",
+                  F.sum(F.when((F.col("kind") == i) & F.col("k").isNotNull() & found.isNull(), F.col("rows"))))
+                 for i, (c, p, pc) in enumerate(links)]
+        if table in PRIMARY_KEYS:
+            refused = F.when(F.col("k").isNull(), F.col("rows")).otherwise(F.col("rows") - 1)
+            sums.append((f"primary_key:{PRIMARY_KEYS[table]}", F.sum(F.when(F.col("kind") == len(links), refused))))
+        counts = keys.agg(*[F.coalesce(n, F.lit(0)).alias(f"n{i}") for i, (_, n) in enumerate(sums)])
         out.append(counts.select(F.explode(F.array(*[
-            F.struct(F.lit(table).alias("table"), F.lit(name).alias("rule"),
-                     F.col(f"r{i}").cast("long").alias("violations"))
-            for i, (name, _) in enumerate(rules)])).alias("r")).select("r.*"))
+            F.struct(*_row(table, name, F.col(f"n{i}"))) for i, (name, _) in enumerate(sums)])).alias("r")).select("r.*"))
     return out
 
 
@@ -80,27 +105,6 @@ def unique_checks(model: StarModel) -> list[DataFrame]:
     return out
 
 
-def foreign_key_checks(model: StarModel) -> list[DataFrame]:
-    """Child rows whose non-NULL key has no parent (NULL keys pass, as in SQL).
-
-    The child side is first reduced to (key, rows) with a partial+final
-    aggregate, so the lookup shuffles distinct keys only: a key holding a
-    third of the fact costs one row.  The lookup is an outer join against the
-    distinct parent keys rather than ``left_anti``: the optimizer pushes semi
-    and anti joins below an aggregate, which would join raw fact rows again.
-    """
-    out = []
-    for child, ccol, parent, pcol in FOREIGN_KEYS:
-        keys = (getattr(model, child).where(F.col(ccol).isNotNull())
-                .groupBy(F.col(ccol).alias("k")).agg(F.count(F.lit(1)).alias("rows")))
-        parents = getattr(model, parent).select(F.col(pcol).alias("k")).distinct() \
-            .withColumn("found", F.lit(True))
-        orphans = (keys.join(parents, "k", "left").where(F.col("found").isNull())
-                   .agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n")))
-        out.append(orphans.select(*_row(child, f"foreign_key:{ccol}->{parent}.{pcol}", F.col("n"))))
-    return out
-
-
 def _union_all(parts: list[DataFrame]) -> DataFrame:
     """Union frames of one schema as a balanced tree: each ``union`` call is
     analysed eagerly, so a left-deep chain would re-analyse the growing plan
@@ -113,7 +117,7 @@ def _union_all(parts: list[DataFrame]) -> DataFrame:
 
 def constraint_report(model: StarModel) -> DataFrame:
     """table, rule, violations for every declared constraint (DQ-1..4)."""
-    parts = row_checks(model) + unique_checks(model) + foreign_key_checks(model)
+    parts = table_checks(model) + unique_checks(model)
     return _union_all([p.select("table", "rule", "violations") for p in parts])
 
 

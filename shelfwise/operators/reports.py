@@ -55,7 +55,7 @@ def low_sellers(model: StarModel, as_of, window_days: int = SELLERS_WINDOW_DAYS,
     return out.where(F.col("units_sold") < threshold).orderBy("units_sold", "product_id")
 
 
-def _status(stock, units, warn_days: int, low_days: int, per_days: int):
+def stock_status(stock, units, warn_days: int, low_days: int, per_days: int):
     # cover = stock / (units / per_days) compared exactly in integers; a NULL
     # stock (no inventory rows) falls through to OK, as in the reference.
     # Net returns (negative units) turn both sides of the comparison round.
@@ -89,7 +89,7 @@ def stock_coverage(model: StarModel, as_of, warn_days: int = STOCK_WARNING_DAYS,
         F.coalesce(stock, F.lit(0).cast("long")).alias("total_stock"),
         (units.cast("double") / F.lit(float(per_days))).alias("avg_daily_sales"),
         cover.cast("double").alias("days_of_cover"),
-        _status(stock, units, warn_days, low_days, per_days).alias("stock_status"))
+        stock_status(stock, units, warn_days, low_days, per_days).alias("stock_status"))
         .orderBy(F.asc_nulls_last("days_of_cover"), "product_id"))
 
 

@@ -10,12 +10,13 @@ from shelfwise.sources.model import StarModel
 
 
 def apply_slicers(model: StarModel, categories=None, start=None, end=None,
-                  product_ids=None) -> StarModel:
+                  product_ids=None, fact: bool = True) -> StarModel:
     """A model restricted to the selected categories (by name), sale dates
     and products.  Products outside the selection disappear from the
     dimension as well, so outer-joined reports (low sellers, stock cover)
-    list only selected products.  All filters are plain predicates or
-    semi-joins against the (small, filtered) category set."""
+    list only selected products.  With ``fact`` False the sales keep all
+    categories: enough for reports that sum sales per product and then look the
+    products up (sellers, stock cover), which so meet no raw sales line."""
     products, sales = model.products, model.sales
     if categories is not None:
         chosen = model.categories.where(F.col("category_name").isin(list(categories))).select("category_id")
@@ -26,6 +27,6 @@ def apply_slicers(model: StarModel, categories=None, start=None, end=None,
         sales = sales.where(F.col("product_id").isin(ids))
     if start is not None or end is not None:
         sales = sales.where(D.date_range(F.col("sale_date"), start, end))
-    if categories is not None:
+    if categories is not None and fact:
         sales = sales.join(products.select("product_id"), "product_id", "left_semi")
     return StarModel(sales, products, model.categories, model.stores, model.inventory)

@@ -17,19 +17,28 @@ from pyspark.sql import DataFrame, SparkSession
 from shelfwise.defaults import LOW_SELLER_VIEW_THRESHOLD
 from shelfwise.functions.numeric import to_edge
 from shelfwise.operators import etl, forecast, kpis, measures, quality, reports, summary
+from shelfwise.operators.slicers import apply_slicers
 from shelfwise.sources import seeds
 from shelfwise.sources.model import StarModel, load_model
 
 AS_OF = dt.date(2001, 11, 4)
+SLICER_CATEGORIES = ("MEDIUM", "STANDARD")
+SLICER_DATES = (dt.date(2001, 9, 1), dt.date(2001, 10, 31))
 
 
 def _q(fn: Callable[[StarModel, dt.date], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str, as_of: dt.date = AS_OF) -> DataFrame:
         return to_edge(fn(load_model(spark, sf_dir), as_of))
     run.__doc__ = fn.__doc__
+    run.operator = lambda model, as_of: to_edge(fn(model, as_of))     # on a model of the caller's
     return run
 
 
+def _sliced(model: StarModel) -> StarModel:
+    """The dashboard's slicers: two categories and a range of dates."""
+    return apply_slicers(model, categories=SLICER_CATEGORIES, start=SLICER_DATES[0], end=SLICER_DATES[1], fact=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_sellers": _q(lambda m, as_of: reports.top_sellers(m, as_of)),
     "top_sellers_view": _q(lambda m, as_of: reports.top_sellers_view(m, as_of)),
@@ -67,6 +76,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "demand_calendar": _q(lambda m, as_of: seeds.demand_calendar(m)),
     "constraint_report": _q(lambda m, as_of: quality.constraint_report(m)),
     "daily_summary": _q(lambda m, as_of: summary.daily_summary(m, as_of)),
+    "aov_by_category": _q(lambda m, as_of: measures.aov(m, as_of, by=["category_name"])),
+    "coverage_days_by_category": _q(lambda m, as_of: measures.coverage_days(m, as_of, by=["category_name"])),
+    "sliced_top_sellers": _q(lambda m, as_of: reports.top_sellers(_sliced(m), as_of)),
+    "sliced_stock_coverage": _q(lambda m, as_of: reports.stock_coverage(_sliced(m), as_of)),
+    "forecast_all_products": _q(lambda m, as_of: forecast.forecast_products(m, as_of, top_n=None)),
+    "etl_clean_repeated": _q(lambda m, as_of: etl.transform(
+        etl.extract_sales(m, as_of).unionAll(etl.extract_sales(m, as_of)))),
     "summary_section_critical": _q(lambda m, as_of: summary.summary_section_critical(m, as_of)),
 }
 

@@ -48,7 +48,7 @@ def _read_sheet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def run_pipeline(spark: SparkSession, model: StarModel, as_of, root: str,
-                 run_date: dt.date | None = None, persist_tables: bool = False) -> dict:
+                 run_date: dt.date | None = None, persist_tables: bool = True) -> dict:
     """Analytics -> publish -> forecasts -> summary datasets (RUN-3)."""
     run_date = run_date or dt.date.today()
     root = root.rstrip("/")

@@ -28,3 +28,11 @@ def test_cli_query(spark, tmp_out):
     assert spark.read.parquet(f"{tmp_out}/q").count() == 1
     main(["pipeline", "--tables", SF_SMALL, "--out", f"{tmp_out}/r", "--as-of", "2001-11-04"])
     assert spark.read.parquet(f"{tmp_out}/r/summary/run_date=20011104/header/parquet").count() == 1
+    assert spark.table("forecast_total_revenue").count() == 3 and spark.table("forecast_product_revenue").count() > 0
+
+
+def test_cli_takes_date_and_prints_every_row(spark, capsys):
+    main(["query", "stock_coverage", "--tables", SF_SMALL, "--as-of", "1990-01-01"])
+    lines = capsys.readouterr().out.strip().splitlines()
+    assert len(lines) == 1 + load_model(spark, SF_SMALL).products.count()
+    assert all("NO_SALES" in x for x in lines[1:])
