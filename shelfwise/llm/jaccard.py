@@ -273,7 +273,8 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     roots = stage(components(links), "roots")
     pairs = stage(_list_pairs(postings, roots, percent), "pairs")
     more = stage(_verified(pairs, sets, percent), "links")
-    roots = components(links.union(more))
+    # from the stars found so far, which are already short, and the links between them
+    roots = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).union(more))
 
     reps = rows.where("n > 0").groupBy("fp").agg(F.min("sid").alias("node"), F.min("doc_id").alias("first"))
     named = stage(reps.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "named")
