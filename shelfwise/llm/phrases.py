@@ -6,17 +6,18 @@ positions.  A query phrase is looked up in a segment from its rarest term on:
 the positions of that term, shifted by its offset in the phrase, are
 intersected with the shifted lists of the other terms, rarest first.  Exact
 phrases and proximity matches (every term within ``slop`` of its place) come
-from the same intersection.  Segments are searched independently: no shuffle,
-no hot key.
+from the same intersection.  Segments are searched independently.  A test set
+of any size is cut into blocks of bounded bytes; the staged index is searched
+once for each block and the matches of a document are put together at the end.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,7 +37,8 @@ def words_of(text: str | None) -> list[bytes]:
     return [] if text is None else _fold(text).split()
 
 
-INDEX_SCHEMA = "docs array<long>, n_words array<long>, terms array<binary>, ends array<int>, positions binary"
+INDEX_SCHEMA = ("docs array<long>, n_words array<long>, terms array<binary>, ends array<int>, positions binary, "
+                "segment long")
 
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: set[bytes] | None = None,
@@ -46,25 +48,26 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``vocabulary`` restricts the stored terms to those that queries use; the
     positions still count every word.  A segment: the ids and word counts of
     its documents, its terms, the end of each term's list and all lists
-    (uint32, in term order).  Position p belongs to the document whose words
-    start at or before p; one unused position follows each document.
+    (uint32, in term order), its number.  Position p belongs to the document whose
+    words start at or before p; one unused position follows each document.
     """
 
-    names = ["docs", "n_words", "terms", "ends", "positions"]
-    types = [pa.list_(pa.int64())] * 2 + [pa.list_(pa.binary()), pa.list_(pa.int32()), pa.binary()]
+    names = ["docs", "n_words", "terms", "ends", "positions", "segment"]
+    types = [pa.list_(pa.int64())] * 2 + [pa.list_(pa.binary()), pa.list_(pa.int32()), pa.binary(), pa.int64()]
 
-    def segment(ids, counts, known, codes, positions):
+    def segment(ids, counts, known, codes, positions, nth):
         code, position = np.concatenate(codes), np.concatenate(positions)
         order = np.argsort(code, kind="stable")
         present, firsts = np.unique(code[order], return_index=True)
         ends = [*firsts[1:].tolist(), len(order)][:len(present)]
-        values = (ids, counts, [known[c] for c in present.tolist()], ends, position[order].astype("<u4").tobytes())
+        values = (ids, counts, [known[c] for c in present.tolist()], ends, position[order].astype("<u4").tobytes(),
+                  (TaskContext.get().partitionId() << 32) | nth)
         return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types, strict=True)], names)
 
     def run(batches):
         fixed = None if vocabulary is None else sorted(vocabulary)
         known, number = list(fixed or ()), {w: i for i, w in enumerate(fixed or ())}
-        ids, counts, codes, positions, base = [], [], [], [], 0
+        ids, counts, codes, positions, base, nth = [], [], [], [], 0, 0
         for batch in batches:
             for row in range(batch.num_rows):
                 words = words_of(batch.column(1)[row].as_py())
@@ -80,12 +83,12 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 counts.append(len(words))
                 base += len(words) + 1
                 if base >= segment_words:
-                    yield segment(ids, counts, known, codes, positions)
-                    ids, counts, codes, positions, base = [], [], [], [], 0
+                    yield segment(ids, counts, known, codes, positions, nth)
+                    ids, counts, codes, positions, base, nth = [], [], [], [], 0, nth + 1
                     if fixed is None:
                         known, number = [], {}
         if ids:
-            yield segment(ids, counts, known, codes, positions)
+            yield segment(ids, counts, known, codes, positions, nth)
 
     return docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(run, INDEX_SCHEMA)
 
@@ -124,15 +127,15 @@ MATCH_SCHEMA = "doc_id long, n_words long, matches array<struct<query:int,start:
 
 def search_index(index: DataFrame, phrases: list[tuple[bytes, ...]], slop: int = 0) -> DataFrame:
     """One row per indexed document: its word count and every match (query
-    number, first word, number of words).  The phrases travel with the tasks;
-    ``decontaminate`` bounds how many are searched at a time."""
+    number, first word, number of words).  The phrases travel with the tasks: a
+    short list; ``decontaminate`` searches any number."""
 
     def run(batches):
         names = ["doc_id", "n_words", "matches"]
         kind = pa.list_(pa.struct([("query", pa.int32()), ("start", pa.int32()), ("size", pa.int32())]))
         for batch in batches:
             for k in range(batch.num_rows):
-                ids, counts, terms, ends, positions = (c[k].as_py() for c in batch.columns)
+                ids, counts, terms, ends, positions, _ = (c[k].as_py() for c in batch.columns)
                 part, matches = Segment(terms, ends, positions), [[] for _ in ids]
                 counts = np.array(counts, np.int64)
                 starts = np.concatenate([[0], np.cumsum(counts + 1)[:-1]])
@@ -160,27 +163,117 @@ def windows_of(words: list[bytes], size: int) -> list[tuple[bytes, ...]]:
     return [tuple(words[k:k + size]) for k in range(max(1, len(words) - size + 1))]
 
 
-def _digest(owners: list[list[str]]):
-    """Per document: hit words, items and their hash, from its matches."""
+class Block:
+    """Test windows to search at a time: their terms as places in a vocabulary,
+    one window after another, and the items that own each."""
+
+    def __init__(self, rows):
+        words = [bytes(w).split(b" ") for w, _ in rows]
+        self.vocabulary = sorted({t for w in words for t in w})
+        number = {t: i for i, t in enumerate(self.vocabulary)}
+        self.codes = np.array([number[t] for w in words for t in w], np.int32)
+        self.sizes = np.array([len(w) for w in words], np.int64)
+        self.owners = [list(o) for _, o in rows]
+
+    def search(self, terms, ends, positions: bytes, length: int, held: int = 1 << 20):
+        """(window, start) of every occurrence in a segment of ``length`` positions,
+        from each window's rarest term on, about ``held`` positions at a time."""
+        flat = np.frombuffer(positions, dtype="<u4").astype(np.int64)
+        starts = np.array([0, *ends], np.int64)
+        lengths = np.diff(starts)
+        code_at = np.full(length, -1, np.int32)
+        code_at[flat] = np.repeat(np.arange(len(terms), dtype=np.int32), lengths)
+        there = {t: i for i, t in enumerate(terms)}
+        code_of = np.array([there.get(t, -1) for t in self.vocabulary], np.int64)
+        often = np.where(code_of >= 0, lengths[code_of], 0) if len(terms) else np.zeros(len(code_of), np.int64)
+        firsts, codes = np.cumsum(self.sizes) - self.sizes, code_of[self.codes]
+        count = often[self.codes]
+        least = np.minimum.reduceat(count, firsts)
+        owner = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        rare = np.flatnonzero((count == least[owner]) & (count > 0))
+        rare = rare[np.concatenate([[True], owner[rare][1:] != owner[rare][:-1]])[:len(rare)]]
+        found, edges = [], np.cumsum(count[rare])
+        for part in np.split(rare, np.unique(np.searchsorted(edges, np.arange(held, int(edges[-1]) if len(edges) else 0,
+                                                                              held), side="right"))):
+            n = count[part]
+            window = np.repeat(owner[part], n)
+            nth = np.arange(len(window)) - np.repeat(np.cumsum(n) - n, n)
+            offset = np.repeat(part, n) - firsts[window]
+            start = flat[np.repeat(starts[codes[part]], n) + nth] - offset
+            ok = (start >= 0) & (start + self.sizes[window] <= length)
+            window, offset, start = window[ok], offset[ok], start[ok]
+            for step in range(1, int(self.sizes.max())):
+                if not len(window):
+                    break
+                # the unused position between documents equals no term
+                at = (offset + step) % self.sizes[window]
+                ok = code_at[start + at] == codes[firsts[window] + at]
+                window, offset, start = window[ok], offset[ok], start[ok]
+            found.append((window, start))
+        return [np.concatenate(x) for x in zip(*found, strict=True)]
+
+
+HIT_SCHEMA = "segment long, row int, spans array<struct<start:int,size:int>>, items array<string>"
+
+
+def _search_block(index: DataFrame, block: Block) -> DataFrame:
+    """Per document with matches: its segment, place there, matched spans and items."""
+    span = pa.list_(pa.struct([("start", pa.int32()), ("size", pa.int32())]))
+    types = [pa.int64(), pa.int32(), span, pa.list_(pa.string())]
+
+    def run(batches):
+        for batch in batches:
+            for k in range(batch.num_rows):
+                _, counts, terms, ends, positions, segment = (c[k].as_py() for c in batch.columns)
+                counts = np.array(counts, np.int64)
+                starts = np.cumsum(counts + 1) - counts - 1
+                window, start = block.search(terms, ends, positions, int(counts.sum()) + len(counts))
+                row = np.searchsorted(starts, start, side="right") - 1
+                by = np.argsort(row, kind="stable")
+                rows, firsts = np.unique(row[by], return_index=True)
+                for r, hits in zip(rows.tolist(), np.split(by, firsts[1:]), strict=True) if len(rows) else ():
+                    spans = {*zip((start[hits] - starts[r]).tolist(), block.sizes[window[hits]].tolist(), strict=True)}
+                    items = {o for w in np.unique(window[hits]).tolist() for o in block.owners[w]}
+                    values = (segment, r, [{"start": a, "size": n} for a, n in sorted(spans)], sorted(items))
+                    yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types, strict=True)],
+                                                     ["segment", "row", "spans", "items"])
+
+    return index.mapInArrow(run, HIT_SCHEMA)
+
+
+def window_table(benchmark: DataFrame, size: int, id_col: str = "item_id", text_col: str = "text",
+                 slice_items: int = 10_000) -> DataFrame:
+    """(window, items): every distinct window of all items, its words between
+    blanks, with the ids (as strings) of its items; a window of very many items
+    has a row for every ``slice_items`` of them."""
 
     def run(batches):
         for batch in batches:
-            columns = [[] for _ in range(3)]
-            for found in batch.column(2).to_pylist():
-                items, edge, hit = set(), 0, 0
-                for m in sorted(found, key=lambda m: m["start"]):
-                    items.update(owners[m["query"]])
-                    end = m["start"] + m["size"]
-                    hit += max(0, end - max(edge, m["start"]))
-                    edge = max(edge, end)
-                text = ",".join(sorted(items))
-                for column, value in zip(columns, (hit, len(items), hashlib.sha256(text.encode()).hexdigest()),
-                                         strict=True):
-                    column.append(value)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()),
-                 pa.array(columns[2], pa.string())], ["doc_id", "n_words", "n_hit", "n_items", "items_sha256"])
-    return run
+            for r in range(batch.num_rows):
+                words, item = words_of(batch.column(1)[r].as_py()), batch.column(0)[r].as_py() or ""
+                for at in range(0, max(1, len(words) - size + 1) if words else 0, 10_000):
+                    part = {b" ".join(w) for w in windows_of(words[at:at + 9_999 + size], size)}
+                    yield pa.RecordBatch.from_arrays([pa.array(sorted(part), pa.binary()),
+                                                      pa.array([item] * len(part), pa.string())], ["window", "item"])
+
+    each = benchmark.select(F.col(id_col).cast("string"), text_col).mapInArrow(run, "window binary, item string")
+    return each.groupBy("window").agg(F.array_sort(F.collect_set("item")).alias("items")).select(
+        "window", F.explode(F.transform(F.sequence(F.lit(1), F.size("items"), F.lit(slice_items)),
+                                        lambda k: F.slice("items", k, slice_items))).alias("items"))
+
+
+def _vocabulary(windows: DataFrame, held: int) -> set[bytes] | None:
+    """The windows' terms, or None (index all terms) where they take over ``held`` bytes."""
+
+    def run(batches):
+        for batch in batches:
+            terms = {t for w in batch.column(0).to_pylist() for t in w.split(b" ")}
+            yield pa.RecordBatch.from_arrays([pa.array(sorted(terms), pa.binary())], ["term"])
+
+    terms = stage(windows.select("window").mapInArrow(run, "term binary").distinct(), "phrase-terms")
+    if (terms.agg(F.sum(F.octet_length("term") + 64)).first()[0] or 0) > held:
+        return None
+    return {bytes(r["term"]) for r in terms.collect()}
 
 
 def query_windows(benchmark: DataFrame, size: int, max_items: int, id_col: str = "item_id",
@@ -196,25 +289,45 @@ def query_windows(benchmark: DataFrame, size: int, max_items: int, id_col: str =
     return sorted((w, sorted(o)) for w, o in owners.items())
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = 13, max_items: int = 50_000,
-                  share: int = 20) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = 13, max_items: int | None = None,
+                  share: int = 20, block_bytes: int = 32 << 20) -> DataFrame:
     """Per document row: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
 
     A window is ``size`` consecutive words of a test item (a shorter item is
     one window).  A document word inside any occurrence of a window is hit;
-    contaminated when n_hit > 0 and share * n_hit >= n_words.  The test set is
-    the query side and must hold at most ``max_items`` items (an error says so
-    otherwise: search it in blocks of items and add up); documents have no
-    bound.  Null texts have no words, repeated rows repeat, null item ids count
-    as an empty id, other columns are ignored, empty tables give no rows or no
-    hits.
+    contaminated when n_hit > 0 and share * n_hit >= n_words.  Neither side has
+    a bound: the windows are searched in blocks of about ``block_bytes``, one of
+    them on the driver at a time.  Only a caller who sets ``max_items`` gets an
+    error for more items.  Null texts have no words, repeated rows repeat, null
+    item ids count as an empty id, other columns are ignored, empty tables give
+    no rows or no hits.
     """
-    found = query_windows(benchmark, size, max_items)
-    phrases, owners = [w for w, _ in found], [o for _, o in found]
-    index = stage(build_index(docs, vocabulary={t for w in phrases for t in w}), "phrase-index")
-    return (search_index(index, phrases)
-            .mapInArrow(_digest(owners), "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string")
-            .withColumn("contaminated", is_contaminated(share)))
+    if max_items is not None and benchmark.limit(max_items + 1).count() > max_items:
+        raise ValueError(f"more than max_items={max_items} test items; without it all are searched in blocks")
+    windows = stage(window_table(benchmark, size), "phrase-windows")
+    total = windows.agg(F.sum(F.octet_length("window") + 32 + F.aggregate(
+        "items", F.lit(0).cast("long"), lambda n, i: n + F.octet_length(i) + 16))).first()[0] or 0
+    blocks = -(-total // block_bytes)
+    index = stage(build_index(docs, vocabulary=_vocabulary(windows, block_bytes)), "phrase-index")
+    every = index.select("segment", F.posexplode(F.arrays_zip("docs", "n_words")).alias("row", "x")).select(
+        "segment", "row", "x.docs", "x.n_words", F.lit(None).cast("array<struct<start:int,size:int>>").alias("spans"),
+        F.lit(None).cast("array<string>").alias("items"))
+    for k in range(blocks):
+        rows = windows.where(F.pmod(F.xxhash64("window", "items"), F.lit(blocks)) == k).collect()
+        if rows:
+            hits = stage(_search_block(index, Block(rows)), "phrase-hits")
+            every = every.unionByName(hits.withColumns({"docs": F.lit(None).cast("long"),
+                                                        "n_words": F.lit(None).cast("long")}))
+    covered = F.expr("""aggregate(array_sort(spans), named_struct('edge', 0L, 'hit', 0L), (a, m) -> named_struct(
+        'edge', greatest(a.edge, cast(m.start + m.size as long)),
+        'hit', a.hit + greatest(0L, m.start + m.size - greatest(a.edge, cast(m.start as long)))), a -> a.hit)""")
+    return (every.groupBy("segment", "row").agg(
+        F.max("docs").alias("doc_id"), F.max("n_words").alias("n_words"),
+        F.flatten(F.collect_list("spans")).alias("spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+        .select("doc_id", "n_words", covered.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+                F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"))
+        .withColumn("contaminated", is_contaminated(share)))
 
 
 def is_contaminated(share: int) -> Column:

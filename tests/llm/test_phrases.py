@@ -77,3 +77,21 @@ def test_empty_tables_and_too_many_items(spark, edge, nothing):
     assert phrases.decontaminate(nothing, many).count() == 0
     with pytest.raises(ValueError, match="blocks"):
         phrases.decontaminate(edge, many, max_items=3)
+
+
+def test_any_number_of_items_in_small_blocks(spark, edge):
+    """More items than the former bound of 50,000, cut into many blocks."""
+    fill = [(1000 + k, f"filler{k} text{k}") for k in range(50_001)]
+    many = spark.createDataFrame(ITEMS + fill, "item_id long, text string")
+    assert ordered(rows_of(phrases.decontaminate(edge, many, size=3))) == brute(EDGE, ITEMS + fill, 3)
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    for size in (2, 13):
+        assert ordered(rows_of(phrases.decontaminate(edge, items, size=size, block_bytes=150))) == brute(EDGE, ITEMS, size)
+
+
+def test_windows_of_a_long_item_and_of_many_items(spark):
+    long = " ".join(f"w{k}" for k in range(20_100))
+    items = spark.createDataFrame([(1, long), *((k, "a b c") for k in range(2, 30))], "item_id long, text string")
+    rows = rows_of(phrases.window_table(items, 13, slice_items=10))
+    assert len({bytes(w) for w, _ in rows}) == 20_089 and len(rows) == 20_088 + 3
+    assert {i for w, o in rows if bytes(w) == b"a b c" for i in o} == {str(k) for k in range(2, 30)}
