@@ -1,10 +1,11 @@
 """PII by information-theoretic sanitisation.
 
-Formats find the protected entities.  How much a term of their neighbourhood
-reveals about an entity is estimated from the corpus: its pointwise mutual
-information with the entity, as a share of the entity's information content.
-Terms above the disclosure threshold become spans as well and are generalised
-with the entity.  Frequencies come from all documents.
+Formats find the protected entities.  How much a term of the documents that
+hold an entity reveals about it is estimated from the corpus: its pointwise
+mutual information with the entity, as a share of the entity's information
+content.  Terms above the disclosure threshold become spans as well, wherever
+they stand in a text that holds the entity, and are generalised with it.
+Frequencies count whole documents, and all of them.
 """
 
 from __future__ import annotations
@@ -12,7 +13,6 @@ from __future__ import annotations
 import re
 from collections import Counter
 
-import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwise.llm.common import stage
+from shelfwise.llm.common import bounded_broadcast, stage
 
 KINDS = ("email", "ip", "card", "phone")
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
@@ -30,7 +30,8 @@ _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01
 _IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_TERM = re.compile(r"[^\W\d_]{3,}")
+# Letters and digits, two or more.
+_TERM = re.compile(r"[^\W_]{2,}")
 
 
 def _emails(text: str):
@@ -88,23 +89,28 @@ def _number(*parts: str) -> int:
     return xxhash.xxh3_64_intdigest("\x1f".join(parts).encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
-def neighbourhood(text: str, spans, width: int):
-    """(entity, term, start, end): the terms in the ``width`` characters on either
-    side of each entity, whole terms only, none that overlaps a base span."""
-    taken = sorted((a, b) for _, a, b in spans)
-    starts = np.array([a for a, _ in taken])
-    reach = np.maximum.accumulate([b for _, b in taken])
-    out = []
-    for kind, a, b in spans:
-        entity = _number(kind, re.sub(r"[^0-9a-z@.+]", "", text[a:b].lower()))
-        low, high = max(0, a - width), min(len(text), b + width)
-        for m in _TERM.finditer(text, max(0, low - 200), min(len(text), high + 200)):
-            if m.start() < low or m.end() > high:
-                continue
-            k = int(np.searchsorted(starts, m.end()))      # spans that start before the term's end
-            if k and reach[k - 1] > m.start():
-                continue
-            out.append((entity, _number(m[0].lower()), m.start(), m.end()))
+def entity_of(kind: str, text: str) -> int:
+    return _number(kind, re.sub(r"[^0-9a-z@.+]", "", text.lower()))
+
+
+def terms_of(text: str) -> set[str]:
+    """The distinct terms of a whole text, in small letters."""
+    return {w.lower() for w in set(_TERM.findall(text))}
+
+
+def term_spans(text: str, wanted: set[int]) -> list[tuple[int, int]]:
+    """(start, end) of every occurrence of the wanted terms that overlaps no base span."""
+    taken = sorted((a, b) for _, a, b in base_spans(text))
+    out, k, edge, number = [], 0, 0, {}
+    for m in _TERM.finditer(text):
+        if (n := number.get(m[0])) is None:
+            n = number[m[0]] = _number(m[0].lower())
+        if n not in wanted:
+            continue
+        while k < len(taken) and taken[k][0] < m.end():      # edge: where the base spans before the term's end reach
+            edge, k = max(edge, taken[k][1]), k + 1
+        if edge <= m.start():
+            out.append(m.span())
     return out
 
 
@@ -112,11 +118,12 @@ def join_spans(spans) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
 
 
-def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 80) -> DataFrame:
-    """Per row: id, tid (identity of the text), counts by kind, base span string
-    and the neighbourhoods of its entities."""
-    names = ["doc_id", "tid", *(f"n_{k}" for k in KINDS), "base", "near"]
-    near = pa.list_(pa.struct([("e", pa.int64()), ("t", pa.int64()), ("a", pa.int32()), ("b", pa.int32())]))
+def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: id, tid (identity of the text), counts by kind, base span string,
+    its distinct entities and, where there are any, the distinct terms of the
+    whole text."""
+    names = ["doc_id", "tid", *(f"n_{k}" for k in KINDS), "base", "entities", "terms"]
+    longs = pa.list_(pa.int64())
 
     def run(batches):
         for batch in batches:
@@ -125,18 +132,18 @@ def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", widt
                 text = batch.column(2)[r].as_py() or ""
                 spans = base_spans(text)
                 count = Counter(k for k, _, _ in spans)
-                around = neighbourhood(text, spans, width) if spans else []
                 rows.append((*(count[k] for k in KINDS), join_spans(spans),
-                             [dict(zip("etab", x, strict=True)) for x in around]))
-            columns = list(zip(*rows, strict=True)) if rows else [[] for _ in range(6)]
+                             list({entity_of(k, text[a:b]) for k, a, b in spans}),
+                             [_number(w) for w in terms_of(text)] if spans else []))
+            columns = list(zip(*rows, strict=True)) if rows else [[] for _ in range(7)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), *(pa.array(c, pa.int64()) for c in columns[:4]),
-                 pa.array(columns[4], pa.string()), pa.array(columns[5], near)], names)
+                 pa.array(columns[4], pa.string()), *(pa.array(c, longs) for c in columns[5:])], names)
 
     kind = docs.schema[id_col].dataType.simpleString()
     return (docs.select(F.col(id_col), text_id(text_col), F.col(text_col)).mapInArrow(
         run, f"doc_id {kind}, tid string, {', '.join(f'n_{k} long' for k in KINDS)}, base string, "
-             "near array<struct<e:long,t:long,a:int,b:int>>"))
+             "entities array<long>, terms array<long>"))
 
 
 def text_id(text_col: str = "text"):
@@ -155,7 +162,7 @@ def term_counts(docs: DataFrame, text_col: str = "text", held: int = 300_000) ->
         count: Counter = Counter()
         for batch in batches:
             for r in range(batch.num_rows):
-                count.update(set(_TERM.findall((batch.column(0)[r].as_py() or "").lower())))
+                count.update(terms_of(batch.column(0)[r].as_py() or ""))
                 if len(count) > held:
                     yield out(count)
                     count.clear()
@@ -166,51 +173,74 @@ def term_counts(docs: DataFrame, text_col: str = "text", held: int = 300_000) ->
 
 
 def disclosing(found: DataFrame, docs: DataFrame, threshold: float, support: int) -> DataFrame:
-    """(e, t, disclosure) of the terms that reveal an entity.
+    """(tid, t): the terms to generalise in each text, as they reveal one of its entities.
 
-    disclosure = PMI(t; e) / IC(e) with document frequencies; ``support``
-    different texts must hold both, so that one text's chance neighbours (and
-    its copies) reveal nothing.
+    disclosure = PMI(t; e) / IC(e) with document frequencies over whole texts;
+    ``support`` different texts must hold both, so that one text's chance
+    company (and its copies) reveals nothing.  As n_et <= n_e, the disclosure
+    stays below the threshold where n_t > n_e^threshold * n^(1 - threshold):
+    such terms are left out before pairs are formed.
     """
-    pairs = found.select("tid", F.explode("near").alias("x")).select("tid", "x.e", "x.t")
-    in_docs = pairs.groupBy("e", "t", "tid").agg(F.lit(1).alias("one"))      # no pair is gathered, only counted
-    copies = found.where(F.size("near") > 0).groupBy("tid").agg(F.count("*").alias("copies"))
-    together = (in_docs.join(copies, "tid").groupBy("e", "t")
-                .agg(F.count("*").alias("texts"), F.sum("copies").alias("n_et")).where(F.col("texts") >= support))
-    entity = (pairs.select("e", "tid").distinct().join(copies, "tid").groupBy("e").agg(F.sum("copies").alias("n_e")))
-    terms = together.select("t").distinct()
-    n_t = term_counts(docs).join(terms, "t", "left_semi").groupBy("t").agg(F.sum("n").alias("n_t"))
-    total = found.agg(F.count("*").alias("n")).first()["n"]
-    if total < 2:
-        total = 2
-    n = F.lit(float(total))
-    ic = -F.log(F.col("n_e") / n)
-    pmi = F.log(F.col("n_et") * n / (F.col("n_e") * F.greatest("n_t", "n_et")))
-    return (together.join(entity, "e").join(n_t, "t")
-            .withColumn("disclosure", F.when(ic > 0, F.greatest(pmi, F.lit(0.0)) / ic).otherwise(0.0))
-            .where(F.col("disclosure") >= threshold).select("e", "t", "disclosure"))
+    n = float(max(2, found.count()))
+    held = found.where(F.size("entities") > 0)
+    texts = held.groupBy("tid").agg(F.count("*").alias("copies"), F.first("entities").alias("entities"))
+    entities = stage(texts.select("copies", F.explode("entities").alias("e")).groupBy("e").agg(
+        F.count("*").alias("texts"), F.sum("copies").alias("n_e")).where(
+        (F.col("texts") >= support) & (F.col("n_e") < n)).withColumn(
+        "most", F.pow("n_e", F.lit(threshold)) * F.pow(F.lit(n), F.lit(1 - threshold)) * (1 + 1e-9)), "pii-entities")
+    # the texts that hold such an entity, numbered; their entities
+    members = (texts.select("tid", "copies", F.explode("entities").alias("e"))
+               .join(bounded_broadcast(entities), "e").select("tid", "copies", "e", "n_e", "most"))
+    numbered = stage(members.groupBy("tid").agg(F.first("copies").alias("copies"), F.max("most").alias("most"))
+                     .withColumn("text", F.monotonically_increasing_id()), "pii-texts")
+    members = stage(members.select("tid", "e", "n_e", F.col("most").alias("own"))
+                    .join(numbered.select("tid", "text", "copies"), "tid").drop("tid"), "pii-members")
+    top = entities.agg(F.max("most")).first()[0] or 0.0
+    counts = stage(term_counts(docs).groupBy("t").agg(F.sum("n").alias("n_t")), "pii-terms")
+    # terms above every entity's bound are few and stand in most texts: out before anything is dealt by term
+    common = counts.where(F.col("n_t") > top).select("t")
+    kept = stage(held.select("tid", "terms").join(bounded_broadcast(numbered), "tid").groupBy("tid").agg(
+        F.first("text").alias("text"), F.first("most").alias("most"), F.first("terms").alias("terms"))
+        .select("text", "most", F.explode("terms").alias("t"))
+        .join(bounded_broadcast(common), "t", "left_anti"), "pii-kept")
+    rare = kept.join(counts, "t").where(F.col("n_t") <= F.col("most")).select("text", "t", "n_t")
+    pairs = stage(rare.join(members, "text").where(F.col("n_t") <= F.col("own"))
+                  .select("text", "copies", "e", "n_e", "t", "n_t"), "pii-pairs")
+    together = pairs.groupBy("e", "t", "n_e", "n_t").agg(F.count("*").alias("texts"), F.sum("copies").alias("n_et"))
+    ic, pmi = -F.log(F.col("n_e") / n), F.log(F.col("n_et") * n / (F.col("n_e") * F.col("n_t")))
+    marks = together.where((F.col("texts") >= support) & (pmi / ic >= threshold)).select("e", "t")
+    return (pairs.select("text", "e", "t").join(marks, ["e", "t"]).select("text", "t").distinct()
+            .join(numbered.select("tid", "text"), "text").select("tid", "t"))
 
 
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.9,
-             support: int = 3, width: int = 80) -> DataFrame:
+             support: int = 3) -> DataFrame:
     """Per row: doc_id, tid, n_email, n_ip, n_card, n_phone, base_sha256, spans.
 
-    ``spans`` holds the base spans by kind, then the disclosing terms
-    ("term:start:end") in the neighbourhood of the entities they reveal.  Null
-    and empty texts have none; repeated rows repeat; other columns are ignored.
+    ``spans`` holds the base spans by kind, then every occurrence of the
+    disclosing terms ("term:start:end") in the texts that hold the entities they
+    reveal, but for those inside base spans.  Null and empty texts have none;
+    repeated rows repeat; other columns are ignored.
     """
-    found = stage(detect(docs, id_col, text_col, width), "pii-found")
-    marks = disclosing(found, docs.select(F.col(text_col).alias("text")), threshold, support)
-    terms = (found.select("tid", F.explode("near").alias("x")).select("tid", "x.*").distinct()
-             .join(marks, ["e", "t"]).groupBy("tid")
-             .agg(F.sort_array(F.collect_set(F.struct("a", "b"))).alias("terms")))
-    more = F.array_join(F.transform("terms", lambda x: F.concat(
-        F.lit("term:"), x["a"].cast("string"), F.lit(":"), x["b"].cast("string"))), ",")
-    return (found.drop("near").join(terms, "tid", "left")
-            .withColumn("spans", F.when(F.col("terms").isNull(), F.col("base"))
-                        .otherwise(F.concat_ws(",", F.when(F.col("base") != "", F.col("base")), more)))
+    found = stage(detect(docs, id_col, text_col), "pii-found")
+    marks = stage(disclosing(found, docs.select(F.col(text_col).alias("text")), threshold, support)
+                  .groupBy("tid").agg(F.collect_set("t").alias("wanted")), "pii-marks")
+
+    def run(batches):
+        for batch in batches:
+            spans = [",".join(f"term:{a}:{b}" for a, b in term_spans(text, set(wanted))) for text, wanted in
+                     zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, pa.string())], ["tid", "more"])
+
+    # of each marked text one copy; the others never leave their scan
+    marked = (docs.select(text_id(text_col), F.col(text_col).alias("text"))
+              .join(bounded_broadcast(marks, marks.select("tid")), "tid", "left_semi")
+              .groupBy("tid").agg(F.first("text").alias("text")))
+    terms = marked.join(marks, "tid").select("tid", "text", "wanted").mapInArrow(run, "tid string, more string")
+    parts = [F.when(F.col(c) != "", F.col(c)) for c in ("base", "more")]
+    return (found.drop("entities", "terms").join(terms, "tid", "left")
             .select("doc_id", "tid", *(f"n_{k}" for k in KINDS), F.sha2(F.col("base"), 256).alias("base_sha256"),
-                    "spans"))
+                    F.concat_ws(",", *parts).alias("spans")))
 
 
 # What an entity is generalised to.

@@ -123,3 +123,23 @@ def test_pii_edge_rows(edge, nothing):
                                               ("card:1:5,phone:3:8", "0[CARD]89"), ("term:0:10", "[TERM]")])
 def test_generalised_spans(spans, clean):
     assert pii.sanitise_text("0123456789", spans) == clean
+
+
+def test_terms_far_from_the_entity_digits_and_short_names(spark):
+    """A term 100 characters and more from its entity is scored, and every occurrence is marked."""
+    rng = random.Random(7)
+    blank = lambda n: " ".join(rng.choice(["the", "of", "and", "in"]) for _ in range(n))
+    rows = [(k, blank(30)) for k in range(300)]
+    rows += [(1000 + k, f"Quibblefax {blank(60)} unit R2D7x {blank(60)} joe.x@mail.example.org {blank(60)} "
+                        f"quibblefax, Bo {blank(40)} quibblefax") for k in range(6)]
+    rows += [(2000, "quibblefax alone")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = pii.find_pii(docs)
+    by = {r["doc_id"]: r["spans"] for r in found.collect()}
+    for doc, text in rows:
+        spans = [s.split(":")[1:] for s in by[doc].split(",") if s.startswith("term")]
+        words = [text[int(a):int(b)] for a, b in spans]
+        want = ["Quibblefax", "unit", "R2D7x", "quibblefax", "Bo", "quibblefax"] if 1000 <= doc < 2000 else []
+        assert words == want, (doc, words)
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(docs, found).collect()}
+    assert "uibblefax" not in clean[1003] and clean[2000] == "quibblefax alone"
