@@ -32,7 +32,9 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     cut out with its surroundings.
 
     The text is split at the candidates, so each costs a constant number of
-    passes over its text; candidates need a digit, or capitals after small
+    passes over its text; its surroundings are put together again from the pieces
+    next to it, other candidates (long credential names, say) among them.
+    Candidates need a digit, or capitals after small
     letters, or the shape of an access key, or a credential name in front.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -41,9 +43,11 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     cut = found.select("doc_id", F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(1)).alias("tokens"),
                        F.split("text", CANDIDATE).alias("rest"))
 
+    near = -(-context // 12)             # so many candidates of 12 characters fill the context
+
     def surroundings(token: Column, nth: Column) -> Column:
-        before = F.coalesce(F.try_element_at("rest", nth + 1), F.lit(""))
-        after = F.coalesce(F.try_element_at("rest", nth + 2), F.lit(""))
+        before = _run(nth - near, nth, "tokens", "rest")
+        after = _run(nth + 1, nth + 1 + near, "tokens", "rest")
         return F.struct(nth.alias("nth"), token.alias("token"), F.right(before, F.lit(context)).alias("before"),
                         F.left(after, F.lit(context)).alias("after"))
 
@@ -56,6 +60,17 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return each.select("doc_id", "x.*")
 
 
+def _run(low: Column, high: Column, tokens: str, rest: str) -> Column:
+    """The text from gap ``low`` to gap ``high``: these gaps and the tokens between
+    them (gap k stands before token k)."""
+    low = F.greatest(low, F.lit(0))
+    high = F.least(high, F.size(rest) - 1)
+    each = F.transform(F.sequence(low, F.greatest(low, high)), lambda k: F.concat(
+        F.coalesce(F.try_element_at(rest, k + 1), F.lit("")),
+        F.when(k < high, F.coalesce(F.try_element_at(tokens, k + 1), F.lit(""))).otherwise("")))
+    return F.array_join(each, "")
+
+
 def named(before: Column) -> Column:
     """A credential name and at most an assignment stand right before."""
     names = "|".join(CREDENTIAL_NAMES)

@@ -117,3 +117,18 @@ def test_scan_runs_no_python(spark):
     df = secrets.scan(spark.createDataFrame([(1, "token = abcdef123456")], "doc_id long, text string"))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not any(n in plan for n in ("Python", "Pandas", "Arrow"))
+
+
+def test_long_credential_names_stay_in_the_surroundings(spark):
+    lines = ["AWS_SECRET_ACCESS_KEY=wJalrXUtnFEMI7K7MDENG", 'client_secret = "9f8a7b6c5d4e3f2a1b0c"',
+             "access_token: abcdefghijklmnopqr", "first1candidate second2candidate third3candidate access_token=zyx987wvu654t"]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    found = secrets.with_features(secrets.candidates(docs), docs)
+    rows = {(r["doc_id"], r["token"]): r for r in secrets.rule_labels(found).collect()}
+    for key, label in (((0, "wJalrXUtnFEMI7K7MDENG"), 1), ((1, "9f8a7b6c5d4e3f2a1b0c"), 1),
+                       ((2, "abcdefghijklmnopqr"), None), ((3, "zyx987wvu654t"), 1)):
+        assert rows[key]["before_credential"] == 1 and rows[key]["label"] == label
+    for (doc, token), r in rows.items():
+        at = lines[doc].index(token)
+        assert r["before"] == lines[doc][max(0, at - 40):at]
+        assert r["after"] == lines[doc][at + len(token):][:40]
