@@ -21,15 +21,21 @@ CREDENTIAL_NAMES = ("password", "passwd", "pwd", "secret", "token", "apikey", "a
 ACCESS_KEY = r"AKIA[0-9A-Z]{16}"
 PLACEHOLDERS = ("example", "sample", "dummy", "changeme", "placeholder", "xxxxxx", "yourkey", "redacted")
 
-# A candidate: 12 or more characters of keys and encodings that stand alone; 40 characters around it.
+# A candidate: 12 or more characters of keys and encodings that stand alone.
 CANDIDATE = r"(?<![A-Za-z0-9+/_.@-])([A-Za-z0-9+/_.@-]{12,}={0,2})(?![A-Za-z0-9+/_@-])"
+# A value: what follows a credential name and an assignment, up to the closing quote or blank, of any length.
+# The match ends before the value, so that a name inside a value has its own.
+_NAMES = "|".join(CREDENTIAL_NAMES)
+_ASSIGN = r"[\"']?\s{0,8}(?:=>|:=|={1,3}|::?)\s{0,8}"
+ASSIGNED = (r"(?<![A-Za-z0-9+/_.@-])[A-Za-z0-9+/_.@-]*?(?<![A-Za-z])(?i:" + _NAMES + ")" + _ASSIGN
+            + r"""["']?(?=((?<=")[^"\s]+|(?<=')[^'\s]+|(?<!["'])[^"'\s=:>][^"'\s]*))""")
 FEATURES = ("length", "runs", "digits", "uppers", "distinct", "vowels", "hex", "rare_steps", "coverage", "slashes",
             "dots", "ats", "before_credential", "before_assign", "before_path", "quoted", "after_word")
 
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", context: int = 40) -> DataFrame:
     """(doc_id, nth, token, before, after): every candidate of every whole text,
-    cut out with its surroundings.
+    cut out with its surroundings; the values of ``named_values`` among them.
 
     The text is split at the candidates, so each costs a constant number of
     passes over its text; its surroundings are put together again from the pieces
@@ -57,7 +63,34 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     # only the short surroundings leave the row, never the text
     each = cut.select("doc_id", F.explode(F.filter(F.transform("tokens", surroundings), wanted)).alias("x"))
-    return each.select("doc_id", "x.*")
+    return each.select("doc_id", "x.*").where(~assigned(F.col("before"))).unionByName(
+        named_values(docs, id_col, text_col, context))
+
+
+def named_values(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", context: int = 40) -> DataFrame:
+    """As ``candidates``: the values right after a credential name and an
+    assignment, however short and with any marks; they are numbered from -1 down."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    found = docs.select(F.col(id_col).alias("doc_id"), text.alias("text")).where(
+        F.col("text").rlike("(?i:" + _NAMES + ")" + _ASSIGN))
+    cut = found.select("doc_id", F.regexp_extract_all("text", F.lit(ASSIGNED), F.lit(0)).alias("names"),
+                       F.regexp_extract_all("text", F.lit(ASSIGNED), F.lit(1)).alias("values"),
+                       F.split("text", ASSIGNED).alias("rest"))
+    near = -(-context // 4)              # a name and its assignment are 4 characters or more
+
+    def one(value: Column, nth: Column) -> Column:
+        before = F.concat(_run(nth - near, nth, "names", "rest"), F.element_at("names", nth + 1))
+        follows = _run(nth + 1, nth + 1 + near, "names", "rest")       # starts with the value, which may hold names
+        after = F.when(F.startswith(follows, value), F.substr(follows, F.length(value) + 1)).otherwise(F.lit(""))
+        return F.struct((-1 - nth).alias("nth"), value.alias("token"), F.right(before, F.lit(context)).alias("before"),
+                        F.left(after, F.lit(context)).alias("after"))
+
+    return cut.select("doc_id", F.explode(F.transform("values", one)).alias("x")).select("doc_id", "x.*")
+
+
+def assigned(before: Column) -> Column:
+    """A credential name and an assignment stand right before: what follows is among ``named_values``."""
+    return before.rlike(r"(?:^|[^A-Za-z])(?i:" + _NAMES + ")" + _ASSIGN + "[\"']?$")
 
 
 def _run(low: Column, high: Column, tokens: str, rest: str) -> Column:
@@ -74,7 +107,7 @@ def _run(low: Column, high: Column, tokens: str, rest: str) -> Column:
 def named(before: Column) -> Column:
     """A credential name and at most an assignment stand right before."""
     names = "|".join(CREDENTIAL_NAMES)
-    return F.lower(before).rlike(rf"(^|[^a-z])({names})[\"']?\s*(=|:|=>)?\s*[\"']?$")
+    return F.lower(before).rlike(rf"(^|[^a-z])({names})[\"']?\s*(=>|:=|={{1,3}}|::?)?\s*[\"']?$")
 
 
 def _share(col: Column, pattern: str) -> Column:
@@ -144,14 +177,16 @@ def _letter_pairs(words: DataFrame) -> DataFrame:
 def rule_labels(found: DataFrame) -> DataFrame:
     """Labels for findings that need no judgement; null for the rest.
 
-    1: an access key id, or a token of digits and letters right after a
-    credential name.  0: placeholders, addresses, plain numbers, dates and
+    1: an access key id, or a token of digits and letters (8 characters or more)
+    right after a credential name.  0: placeholders, addresses, plain numbers, dates and
     versions, and words without digits that no credential name introduces.
     """
     token = F.col("token")
-    plain = token.rlike(r"^[0-9.+_-]+$") | token.rlike("@") | F.lower(token).rlike("|".join(PLACEHOLDERS))
+    address = token.rlike("@") & (~named(F.col("before")) | token.rlike(r"^[^@]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+$"))
+    plain = token.rlike(r"^[0-9.+_-]+$") | address | F.lower(token).rlike("|".join(PLACEHOLDERS))
     wordy = ~token.rlike("[0-9]") & ~named(F.col("before"))
-    secret = token.rlike(f"^{ACCESS_KEY}$") | (named(F.col("before")) & token.rlike("[0-9]") & token.rlike("[A-Za-z]"))
+    secret = token.rlike(f"^{ACCESS_KEY}$") | (
+        named(F.col("before")) & token.rlike("[0-9]") & token.rlike("[A-Za-z]") & (F.length(token) >= 8))
     return found.withColumn("label", F.when(plain | wordy, 0).when(secret, 1))
 
 
