@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import jaccard, language_model, packing, phrases, pii, quality, secrets, shards, tokens, vectors
+from shelfwise.llm import (
+    conversations,
+    fertility,
+    jaccard,
+    language_model,
+    packing,
+    phrases,
+    pii,
+    quality,
+    secrets,
+    shards,
+    tokens,
+    vector_codes,
+    vectors,
+)
 from shelfwise.llm.common import table
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -70,8 +84,25 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged conversations, their faults and their cheapest repair."""
+    return conversations.audit(conversations.damage(table(spark, sf_dir, "conversations")),
+                               table(spark, sf_dir, "conversations"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings as 16 codes of one byte each, and what they lose."""
+    return vector_codes.compressed_codes(table(spark, sf_dir, "embeddings"))
+
+
+def op13_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and fertility bands of every whole text."""
+    return fertility.apply_rules(table(spark, sf_dir, "documents"), PIECE_MODEL)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_ngram_jaccard, op2_token_counts, op3_decontamination, op4_uniform_shards,
                             op5_secret_scan, op6_bin_slack_packing, op7_itq_near_vectors, op8_pii,
-                            op9_elias_fano_lm, op10_quality)}
+                            op9_elias_fano_lm, op10_quality, op11_conversation_repair, op12_vector_codes,
+                            op13_tokeniser_fertility)}
 ORACLE: dict[str, str] = {}
