@@ -33,22 +33,45 @@ def executed_plan(df: DataFrame, run: bool = True) -> str:
     return "\n".join(out)
 
 
+def _subplans(plan: str) -> list[list[tuple[int, str]]]:
+    """The main plan and each subquery's own plan, as (depth, line) lists.  A
+    subquery is printed between the operator that uses it and that operator's
+    children; it is no part of their branch, so it is taken out as a plan of its
+    own (its root keeps the subquery's depth)."""
+    plans, open_ = [[]], [(-1, 0)]                  # (depth of the subquery's line, its plan's number)
+    for line in plan.split("\n"):
+        if not line.strip():
+            continue
+        d = _depth(line)
+        while d <= open_[-1][0]:
+            open_.pop()
+        if re.match(r"(Reused)?Subquery", line[d:]):
+            if line[d:].startswith("Reused"):
+                continue
+            plans.append([])
+            open_.append((d, len(plans) - 1))
+        else:
+            plans[open_[-1][1]].append((d, line.strip()))
+    return plans
+
+
 def raw_fact_joins(plan: str, fact_marker: str = "lineitem.parquet") -> list[str]:
-    """Joins that reach a fact scan with no aggregate (or top-k) in between."""
-    lines = [ln for ln in plan.split("\n") if ln.strip()]
+    """Joins that reach a fact scan with no aggregate (or top-k) on the way, in
+    the plan and in each of its subqueries."""
     found = []
-    for i, line in enumerate(lines):
-        if "Join" not in line or "Exchange" in line:
-            continue
-        d, aggregated = _depth(line), False
-        for below in lines[i + 1:]:
-            if _depth(below) <= d:
-                break
-            if "HashAggregate" in below or "TakeOrderedAndProject" in below:
-                aggregated = True
-            if fact_marker in below:
-                if not aggregated:
-                    found.append(line.strip())
+    for lines in _subplans(plan):
+        path: list[tuple[int, str, int]] = []       # operators from the root to the current line
+        reached = set()
+        for number, (d, line) in enumerate(lines):
+            while path and path[-1][0] >= d:
+                path.pop()
+            path.append((d, line, number))
+            if fact_marker not in line:
+                continue
+            for _, above, at in reversed(path[:-1]):
+                if "HashAggregate" in above or "TakeOrderedAndProject" in above:
                     break
-                aggregated = False
+                if "Join" in above and "Exchange" not in above:
+                    reached.add(at)
+        found += [lines[at][1] for at in sorted(reached)]
     return found
