@@ -8,11 +8,13 @@ the driver.
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
-from shelfwise.session import ensure_checkpoint_dir
+from shelfwise.sinks import batches, files
 
 MODES = {"append": "append", "replace": "overwrite", "fail": "errorifexists"}
 
@@ -50,18 +52,12 @@ def save_processed(df: DataFrame, root: str, name: str = "sales_clean",
     return paths
 
 
-def persist_sales(df: DataFrame, fact_path: str, csv_path: str | None = None) -> None:
-    """Append to the sales fact and keep a CSV copy (SNK-3)."""
-    if not csv_path:
-        df.write.mode("append").parquet(fact_path)
-        return
-    # the batch is evaluated once into the shared folder; both copies append from there
-    spark = df.sparkSession
-    batch = f"{ensure_checkpoint_dir(spark).rstrip('/')}/sales-batch-{uuid.uuid4().hex}"
-    df.write.parquet(batch)
-    written = spark.read.schema(df.schema).parquet(batch)
-    written.write.mode("append").parquet(fact_path)
-    written.write.mode("append").option("header", True).csv(csv_path)
+def persist_sales(df: DataFrame, fact_path: str, csv_path: str | None = None,
+                  batch_id: str | None = None) -> batches.Appended:
+    """Append to the sales fact and keep a CSV copy (SNK-3): as the batch
+    ``batch_id``, once however often the job runs; without a name each call is a
+    batch of its own."""
+    return batches.append_batch(df, fact_path, batch_id or f"batch-{uuid.uuid4().hex}", csv_path)
 
 
 def write_fact(df: DataFrame, path: str, partition_by: str = "sale_date",
@@ -91,23 +87,80 @@ def write_bucketed(df: DataFrame, table: str, key: str, buckets: int,
      .saveAsTable(table))
 
 
-def persist_forecasts(spark: SparkSession, total: DataFrame, per_product: DataFrame,
-                      total_table: str = "forecast_total_revenue",
-                      product_table: str = "forecast_product_revenue") -> dict[str, bool]:
-    """Replace both forecast tables; an empty forecast leaves its table absent (SNK-4)."""
-    spark.sql(f"DROP TABLE IF EXISTS {total_table}")
-    spark.sql(f"DROP TABLE IF EXISTS {product_table}")
+CURRENT = "CURRENT"
+
+
+def replace_set(spark: SparkSession, frames: dict[str, DataFrame], root: str, keep: int = 2) -> dict[str, bool]:
+    """Replace a set of tables in one step (SNK-4).
+
+    All of them are written to a new folder ``root/version=...``; then one small
+    file, ``root/CURRENT``, is swapped to name it.  Until the swap readers see
+    the whole old set, from then on the whole new one; a job that dies before it
+    leaves the old set as it was, and its folder goes with a later replacement.
+    Empty frames are left out of the set.  The last ``keep`` folders stay for
+    readers that have begun.  Returns which names the set holds.
+    """
+    root = root.rstrip("/")
+    version = f"version={uuid.uuid4().hex}"
     written = {}
-    for table, df in ((total_table, total), (product_table, per_product)):
-        # write once, then drop the table again if it came out empty: the
-        # forecast plan runs a single time and the probe reads the table
-        df.write.mode("append").saveAsTable(table)
-        written[table] = not spark.table(table).isEmpty()
-        if not written[table]:
-            spark.sql(f"DROP TABLE IF EXISTS {table}")
+    for name, df in frames.items():
+        path = f"{root}/{version}/{name}"
+        df.write.parquet(path)
+        written[name] = not spark.read.schema(df.schema).parquet(path).isEmpty()
+    before = _current(spark, root)
+    files.swap_text(spark, f"{root}/{CURRENT}", json.dumps(
+        {"version": version, "tables": {n: frames[n].schema.json() for n, full in written.items() if full},
+         "before": ([before["version"], *before["before"]] if before else [])[:keep - 1]}))
+    now = _current(spark, root)
+    for folder in files.children(spark, root):
+        if folder.startswith("version=") and folder not in (now["version"], *now["before"]):
+            files.delete(spark, f"{root}/{folder}")
     return written
 
 
+def _current(spark: SparkSession, root: str) -> dict | None:
+    text = files.read_text(spark, f"{root.rstrip('/')}/{CURRENT}")
+    return json.loads(text) if text else None
+
+
+def read_set(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The tables of the current version of a set; none before the first."""
+    current = _current(spark, root)
+    if current is None:
+        return {}
+    base = f"{root.rstrip('/')}/{current['version']}"
+    return {name: spark.read.schema(StructType.fromJson(json.loads(schema))).parquet(f"{base}/{name}")
+            for name, schema in current["tables"].items()}
+
+
+def forecast_root(spark: SparkSession) -> str:
+    """Folder of the forecast tables: in the warehouse."""
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/forecasts"
+
+
+def persist_forecasts(spark: SparkSession, total: DataFrame, per_product: DataFrame,
+                      total_table: str = "forecast_total_revenue",
+                      product_table: str = "forecast_product_revenue", root: str | None = None) -> dict[str, bool]:
+    """Replace both forecast tables in one step; an empty forecast leaves its
+    table absent (SNK-4).  The catalog's views of these names follow the set;
+    ``register_forecasts`` makes them again in another session."""
+    root = root or forecast_root(spark)
+    replace_set(spark, {total_table: total, product_table: per_product}, root)
+    return register_forecasts(spark, root, (total_table, product_table))
+
+
+def register_forecasts(spark: SparkSession, root: str | None = None,
+                       tables=("forecast_total_revenue", "forecast_product_revenue")) -> dict[str, bool]:
+    """Views of the current forecasts; a table that the set lacks has no view."""
+    held = read_set(spark, root or forecast_root(spark))
+    for table in tables:
+        if table in held:
+            held[table].createOrReplaceTempView(table)
+        else:
+            spark.catalog.dropTempView(table)
+    return {table: table in held for table in tables}
+
+
 def publish_reports(reports: dict[str, DataFrame], root: str, run_date: dt.date | None = None,
                     sheets: dict[str, str] | None = None,
                     formats: tuple[str, ...] = ("parquet", "csv")) -> dict[str, str]:
