@@ -18,6 +18,7 @@ from shelfwise.defaults import (BAND_HIGH, BAND_LOW, FORECAST_MONTHS, FORECAST_P
                                 FORECAST_RECENT_MONTHS, FORECAST_TOP_N,
                                 FORECAST_TOTAL_HISTORY_MONTHS, MIN_HISTORY_MONTHS)
 from shelfwise.functions.numeric import guarded_round2
+from shelfwise.session import write_once
 from shelfwise.sources.model import StarModel
 
 MIN_HISTORY = MIN_HISTORY_MONTHS
@@ -36,12 +37,20 @@ def monthly_revenue_series(model: StarModel, as_of, months: int = FORECAST_TOTAL
                  F.sum("quantity").cast("long").alias("units_sold")))
 
 
+def product_months(model: StarModel, as_of, months: int = FORECAST_PRODUCT_HISTORY_MONTHS) -> DataFrame:
+    """Revenue per (product, month) over the trailing window (SRC-8)."""
+    return (model.sales.where(D.trailing_months(F.col("sale_date"), as_of, months))
+            .groupBy("product_id", D.month_start(F.col("sale_date")).alias("month"))
+            .agg(F.sum("total_amount").alias("revenue")))
+
+
 def product_monthly_revenue(model: StarModel, as_of, months: int = FORECAST_PRODUCT_HISTORY_MONTHS) -> DataFrame:
     """Revenue per (product, month) over the trailing window, named products only (SRC-8)."""
-    pm = (model.sales.where(D.trailing_months(F.col("sale_date"), as_of, months))
-          .groupBy("product_id", D.month_start(F.col("sale_date")).alias("month"))
-          .agg(F.sum("total_amount").alias("revenue")))
-    return pm.join(model.products.select("product_id", "product_name"), "product_id")
+    return named(product_months(model, as_of, months), model)
+
+
+def named(months: DataFrame, model: StarModel) -> DataFrame:
+    return months.join(model.products.select("product_id", "product_name"), "product_id")
 
 
 def fill_and_fit(series: DataFrame, keys: list[str]) -> DataFrame:
@@ -103,28 +112,14 @@ def forecast_total(model: StarModel, as_of, months_ahead: int = FORECAST_MONTHS,
         .orderBy("month")
 
 
-def top_recent_products(model: StarModel, as_of, top_n: int,
-                        history_months: int = FORECAST_PRODUCT_HISTORY_MONTHS,
-                        recent_months: int = FORECAST_RECENT_MONTHS) -> DataFrame:
-    """The ``top_n`` named products by revenue in the last ``recent_months``
-    months before the data's own latest month (inclusive: recent_months + 1
-    buckets).  Ties break on product_id.
-
-    Both the latest month and the ranking are aggregated per product first
-    and then matched to the product table, so no product x month rows ever
-    meet the dimension; the ranking is a distributed top-k.  The match is an
-    inner join with the distinct product ids: a semi join would be pushed
-    below the aggregate by the optimizer and join raw fact rows.
-    """
-    window = model.sales.where(D.trailing_months(F.col("sale_date"), as_of, history_months))
-    known = model.products.select("product_id").distinct()
-    latest = (window.groupBy("product_id")
-              .agg(F.max(D.month_start(F.col("sale_date"))).alias("last_month"))
-              .join(known, "product_id")
-              .agg(F.max("last_month")).scalar())
-    return (window.where(F.col("sale_date") >= F.add_months(latest, -recent_months))
-            .groupBy("product_id").agg(F.sum("total_amount").alias("recent_revenue"))
-            .join(known, "product_id")
+def top_recent_products(series: DataFrame, top_n: int, recent_months: int = FORECAST_RECENT_MONTHS) -> DataFrame:
+    """The ``top_n`` products of a (product_id, month, revenue) ``series`` by
+    revenue in the last ``recent_months`` months before the series' own latest
+    month (inclusive: recent_months + 1 buckets).  Ties break on product_id; the
+    ranking is a distributed top-k."""
+    latest = series.agg(F.max("month")).scalar()
+    return (series.where(F.col("month") >= F.add_months(latest, -recent_months))
+            .groupBy("product_id").agg(F.sum("revenue").alias("recent_revenue"))
             .orderBy(F.desc("recent_revenue"), F.asc("product_id"))
             .limit(top_n)
             .select("product_id"))
@@ -134,12 +129,17 @@ def forecast_products_h(model: StarModel, as_of, top_n: int | None = FORECAST_TO
                         months_ahead: int = FORECAST_MONTHS,
                         history_months: int = FORECAST_PRODUCT_HISTORY_MONTHS) -> DataFrame:
     """Per-product forecast with the horizon step ``h`` kept (for the matrix);
-    ``top_n`` None takes every named product."""
+    ``top_n`` None takes every named product.
+
+    The latest month, the ranking and the series itself all come from one
+    (product, month) table, written once to the shared folder: the fact is
+    scanned once however many readers that table has."""
     _check_horizon(months_ahead)
     series = product_monthly_revenue(model, as_of, history_months)
     if top_n is not None:
+        series = write_once(series, "product-months")
+        top = top_recent_products(series, top_n)
         # a short list of ids is broadcast; Spark sizes a longer one itself
-        top = top_recent_products(model, as_of, top_n, history_months)
         series = series.join(F.broadcast(top) if top_n <= 10_000 else top, "product_id", "left_semi")
     # a product has one name, so carrying it as a series key adds no group
     fit = fill_and_fit(series, ["product_id", "product_name"]).where(F.col("span") >= MIN_HISTORY)

@@ -6,7 +6,7 @@ apply; the BI "Date" table is the calendar ending at ``as_of``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions import dates as D
@@ -17,6 +17,7 @@ from shelfwise.operators.common import (cents, join_products, order_totals_by, p
 from shelfwise.operators.reports import stock_coverage
 from shelfwise.sources.model import StarModel
 
+
 def totals(model: StarModel, as_of, by=("category_name",)) -> DataFrame:
     """Total Revenue and Total Units (MSR-1).  Sales of unknown products or
     categories land in a NULL group, as a BI blank row."""
@@ -96,24 +97,43 @@ def top10_revenue(model: StarModel, as_of, n: int = 10) -> DataFrame:
     return names.where(F.col("revenue") >= cutoff).agg(F.sum("revenue").alias("top10_revenue"))
 
 
-def yoy_growth(model: StarModel, as_of) -> DataFrame:
-    """Monthly revenue against the same period a year earlier (MSR-8), 6 dp; NULL
-    when last year has no revenue.  The Date table ends at ``as_of``, so its month
-    is compared with the same days of last year only.  One scan: each month's
-    sums are counted once as its own and once for the month a year on."""
+def top_revenue_by(model: StarModel, as_of, by=("month",), n: int = 10) -> DataFrame:
+    """The top-``n`` measure inside a visual (MSR-6 in a filter context): for each
+    group of ``by`` (time and store keys, category_name) the revenue of its top
+    ``n`` product names and how many they are; names that tie at rank ``n`` all
+    count.  Ranks are per group; Spark keeps only rows of rank ``n`` or better
+    in each task before they are shuffled to their group."""
+    by = list(by)
+    names = totals_by(model, None, [*by, "product_name"]).where(F.col("product_name").isNotNull())
+    ranked = names.withColumn("rank", F.rank().over(Window.partitionBy(*by).orderBy(F.desc("revenue"))))
+    return (ranked.where(F.col("rank") <= n).groupBy(*by)
+            .agg(F.count(F.lit(1)).alias("names"), F.sum("revenue").alias(f"top{n}_revenue")))
+
+
+YEAR_GRAINS = ("month", "quarter", "year")
+
+
+def yoy_growth(model: StarModel, as_of, grain: str = "month") -> DataFrame:
+    """Revenue per ``grain`` (month, quarter or year) against the same period a
+    year earlier (MSR-8), 6 dp; NULL when last year has no revenue.  The Date table
+    ends at ``as_of``, so its period is compared with the same days of last year
+    only.  One scan: each period's sums are counted once as its own and once for
+    the period a year on."""
+    if grain not in YEAR_GRAINS:
+        raise ValueError(f"grain must be one of {YEAR_GRAINS}")
     later = F.add_months("sale_date", 12)
-    same_period = (F.trunc(later, "month") != F.trunc(D.as_of_col(as_of), "month")) | (later <= D.as_of_col(as_of))
-    m = (model.sales.groupBy(D.month_start(F.col("sale_date")).alias("month"))
+    same_period = (F.trunc(later, grain) != F.trunc(D.as_of_col(as_of), grain)) | (later <= D.as_of_col(as_of))
+    m = (model.sales.groupBy(F.trunc("sale_date", grain).alias(grain))
          .agg(F.sum("total_amount").alias("own"), F.sum(F.when(same_period, F.col("total_amount"))).alias("next")))
     both = m.select(F.explode(F.array(
-        F.struct(F.col("month"), F.col("own").alias("revenue"), F.lit(None).cast("decimal(24,2)").alias("revenue_ly")),
-        F.struct(F.add_months("month", 12).alias("month"), F.lit(None).cast("decimal(24,2)").alias("revenue"),
-                 F.when(F.col("month").isNotNull(), F.col("next")).alias("revenue_ly")))).alias("x")).select("x.*")
-    j = (both.groupBy("month").agg(F.sum("revenue").alias("revenue"), F.sum("revenue_ly").alias("revenue_ly"))
+        F.struct(F.col(grain), F.col("own").alias("revenue"), F.lit(None).cast("decimal(24,2)").alias("revenue_ly")),
+        F.struct(F.add_months(grain, 12).alias(grain), F.lit(None).cast("decimal(24,2)").alias("revenue"),
+                 F.when(F.col(grain).isNotNull(), F.col("next")).alias("revenue_ly")))).alias("x")).select("x.*")
+    j = (both.groupBy(grain).agg(F.sum("revenue").alias("revenue"), F.sum("revenue_ly").alias("revenue_ly"))
          .where(F.col("revenue").isNotNull()))
     growth = F.when(F.col("revenue_ly") != 0,
                     half_up(cents(F.col("revenue") - F.col("revenue_ly")), cents(F.col("revenue_ly")), 6))
-    return j.select("month", "revenue", "revenue_ly", growth.alias("yoy_growth")).orderBy("month")
+    return j.select(grain, "revenue", "revenue_ly", growth.alias("yoy_growth")).orderBy(grain)
 
 
 def revenue_by(model: StarModel, as_of, dims=("category_name",), start=None, end=None,

@@ -50,44 +50,51 @@ def _row(table: str, rule: str, count_col) -> list:
 CHECKS = [("sales", "check:quantity>0", lambda: F.col("quantity") <= 0)]
 
 
-def table_checks(model: StarModel) -> list[DataFrame]:
-    """PRIMARY KEY, NOT NULL, CHECK and FOREIGN KEY counts, each table read once.
-
-    A row becomes one (kind, key) pair for each key column, combined before the
-    shuffle, so a key that a third of the rows hold is one row of it; the first
-    pair also carries the row's own rules.  Keys meet the distinct parent keys in
-    an outer join above that aggregate: semi and anti joins would be pushed below
-    it and join raw rows.  NULL keys have no parent to miss, as in SQL.
-    """
-    out = []
-    for table in sorted(NOT_NULL):
-        own = [(f"not_null:{c}", F.col(c).isNull()) for c in NOT_NULL[table]]
-        own += [(name, pred()) for t, name, pred in CHECKS if t == table]
-        links = [(c, p, pc) for child, c, p, pc in FOREIGN_KEYS if child == table]
-        columns = [c for c, _, _ in links] + ([PRIMARY_KEYS[table]] if table in PRIMARY_KEYS else [])
-        pairs = getattr(model, table).select(
-            F.struct(*[pred.alias(f"r{i}") for i, (_, pred) in enumerate(own)]).alias("rules"),
-            F.posexplode(F.array(*[F.col(c).cast("long") for c in columns])).alias("kind", "k"))
-        keys = pairs.groupBy("kind", "k").agg(
-            F.count(F.lit(1)).alias("rows"),
-            *[F.count_if((F.col("kind") == 0) & F.col(f"rules.r{i}")).alias(f"r{i}") for i in range(len(own))])
-        found = F.lit(None).cast("boolean").alias("found")
-        if links:
-            parents = reduce(DataFrame.union, [
-                getattr(model, p).select(F.lit(i).alias("kind"), F.col(pc).cast("long").alias("k"))
-                for i, (_, p, pc) in enumerate(links)]).distinct()
-            keys, found = keys.join(parents.withColumn("found", F.lit(True)), ["kind", "k"], "left"), F.col("found")
-        sums = [(name, F.sum(f"r{i}")) for i, (name, _) in enumerate(own)]
+def _key_checks(model: StarModel, table: str) -> list[DataFrame]:
+    """PRIMARY KEY: rows beyond the first of each key, and rows without one.  The
+    aggregate carries the key and its count only."""
+    if table not in PRIMARY_KEYS:
+        return []
+    key = PRIMARY_KEYS[table]
+    keys = getattr(model, table).groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+    refused = F.when(F.col(key).isNull(), F.col("rows")).otherwise(F.col("rows") - 1)
+    return [keys.agg(F.coalesce(F.sum(refused), F.lit(0)).alias("n")).select(
+        *_row(table, f"primary_key:{key}", F.col("n")))]
+
+
+def _rule_checks(model: StarModel, table: str) -> DataFrame:
+    """NOT NULL, CHECK and FOREIGN KEY counts in one scan.  Rows are counted by
+    their parent keys first; those few groups become one (kind, key) row for each
+    key and meet the distinct parent keys in an outer join: semi and anti joins
+    would be pushed below the aggregate and join raw rows.  NULL keys have no
+    parent to miss, as in SQL."""
+    own = [(f"not_null:{c}", F.col(c).isNull()) for c in NOT_NULL[table]]
+    own += [(name, pred()) for t, name, pred in CHECKS if t == table]
+    links = [(c, p, pc) for child, c, p, pc in FOREIGN_KEYS if child == table]
+    counted = getattr(model, table).groupBy(*[c for c, _, _ in links]).agg(
+        F.count(F.lit(1)).alias("rows"), *[F.count_if(pred).alias(f"r{i}") for i, (_, pred) in enumerate(own)])
+    sums = [(name, F.sum(f"r{i}")) for i, (name, _) in enumerate(own)]
+    if links:
+        first = [F.sum(F.when(F.col("kind") == 0, F.col(f"r{i}"))).alias(f"r{i}") for i in range(len(own))]
+        keys = (counted.select("rows", *[f"r{i}" for i in range(len(own))],
+                               F.posexplode(F.array(*[F.col(c).cast("long") for c, _, _ in links])).alias("kind", "k"))
+                .groupBy("kind", "k").agg(F.sum("rows").alias("rows"), *first))
+        parents = reduce(DataFrame.union, [
+            getattr(model, p).select(F.lit(i).alias("kind"), F.col(pc).cast("long").alias("k"))
+            for i, (_, p, pc) in enumerate(links)]).distinct()
+        counted = keys.join(parents.withColumn("found", F.lit(True)), ["kind", "k"], "left")
         sums += [(f"foreign_key:{c}->{p}.{pc}",
-                  F.sum(F.when((F.col("kind") == i) & F.col("k").isNotNull() & found.isNull(), F.col("rows"))))
+                  F.sum(F.when((F.col("kind") == i) & F.col("k").isNotNull() & F.col("found").isNull(), F.col("rows"))))
                  for i, (c, p, pc) in enumerate(links)]
-        if table in PRIMARY_KEYS:
-            refused = F.when(F.col("k").isNull(), F.col("rows")).otherwise(F.col("rows") - 1)
-            sums.append((f"primary_key:{PRIMARY_KEYS[table]}", F.sum(F.when(F.col("kind") == len(links), refused))))
-        counts = keys.agg(*[F.coalesce(n, F.lit(0)).alias(f"n{i}") for i, (_, n) in enumerate(sums)])
-        out.append(counts.select(F.explode(F.array(*[
-            F.struct(*_row(table, name, F.col(f"n{i}"))) for i, (name, _) in enumerate(sums)])).alias("r")).select("r.*"))
-    return out
+    counts = counted.agg(*[F.coalesce(n, F.lit(0)).alias(f"n{i}") for i, (_, n) in enumerate(sums)])
+    return counts.select(F.explode(F.array(*[
+        F.struct(*_row(table, name, F.col(f"n{i}"))) for i, (name, _) in enumerate(sums)])).alias("r")).select("r.*")
+
+
+def table_checks(model: StarModel) -> list[DataFrame]:
+    """All counts of each table: its rules and foreign keys in one narrow
+    aggregate, its primary key in another."""
+    return [part for table in sorted(NOT_NULL) for part in [_rule_checks(model, table), *_key_checks(model, table)]]
 
 
 def unique_checks(model: StarModel) -> list[DataFrame]:

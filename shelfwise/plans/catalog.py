@@ -13,13 +13,14 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shelfwise.defaults import LOW_SELLER_VIEW_THRESHOLD
 from shelfwise.functions.numeric import to_edge
-from shelfwise.operators import etl, forecast, kpis, measures, quality, reports, summary
+from shelfwise.operators import etl, forecast, kpis, measures, order_counts, quality, quarantine, reports, summary
 from shelfwise.operators.slicers import apply_slicers
 from shelfwise.sources import seeds
-from shelfwise.sources.model import StarModel, load_model
+from shelfwise.sources.model import StarModel, load_model, sales_delivery
 
 AS_OF = dt.date(2001, 11, 4)
 SLICER_CATEGORIES = ("MEDIUM", "STANDARD")
@@ -34,9 +35,24 @@ def _q(fn: Callable[[StarModel, dt.date], DataFrame]) -> Callable[[SparkSession,
     return run
 
 
-def _sliced(model: StarModel) -> StarModel:
+def _sliced(model: StarModel, fact: bool | str = False) -> StarModel:
     """The dashboard's slicers: two categories and a range of dates."""
-    return apply_slicers(model, categories=SLICER_CATEGORIES, start=SLICER_DATES[0], end=SLICER_DATES[1], fact=False)
+    return apply_slicers(model, categories=SLICER_CATEGORIES, start=SLICER_DATES[0], end=SLICER_DATES[1], fact=fact)
+
+
+# The stock rule of seed_inventory with patterns that the given skus match.
+STOCK_PATTERNS = {"Brand#1_-%7": 5, "Brand#%-%3": 50}
+LINE_KEY = [("unique:sale_id,line_no", ["sale_id", "line_no"])]
+
+
+def _days_before(as_of: dt.date, n: int) -> dt.date:
+    return as_of - dt.timedelta(days=n)
+
+
+def quarantined_sales(spark: SparkSession, sf_dir: str, as_of: dt.date = AS_OF) -> DataFrame:
+    """Lines of a faulty delivery that a constraint refuses, and which ones."""
+    delivery = quarantine.split(sales_delivery(spark, sf_dir), "sales", load_model(spark, sf_dir), LINE_KEY)
+    return delivery.quarantined.select("sale_id", "line_no", F.concat_ws(" ", quarantine.BROKEN).alias("broken_rules"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -80,9 +96,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "coverage_days_by_category": _q(lambda m, as_of: measures.coverage_days(m, as_of, by=["category_name"])),
     "sliced_top_sellers": _q(lambda m, as_of: reports.top_sellers(_sliced(m), as_of)),
     "sliced_stock_coverage": _q(lambda m, as_of: reports.stock_coverage(_sliced(m), as_of)),
+    "sliced_ytd_kpis": _q(lambda m, as_of: kpis.ytd(_sliced(m, "summed"), as_of)),
+    "sliced_totals_by_month": _q(lambda m, as_of: measures.totals(
+        apply_slicers(m, categories=SLICER_CATEGORIES, fact="summed"), as_of, by=["month"])),
     "forecast_all_products": _q(lambda m, as_of: forecast.forecast_products(m, as_of, top_n=None)),
     "etl_clean_repeated": _q(lambda m, as_of: etl.transform(
         etl.extract_sales(m, as_of).unionAll(etl.extract_sales(m, as_of)))),
+    "quarantined_sales": quarantined_sales,
+    "demand_by_store": _q(lambda m, as_of: seeds.demand_by_store(m, _days_before(as_of, 2), _days_before(as_of, 1))),
+    "distinct_orders": _q(lambda m, as_of: order_counts.distinct_orders(m)),
+    "top10_revenue_by_month": _q(lambda m, as_of: measures.top_revenue_by(m, as_of)),
+    "top10_revenue_by_category": _q(lambda m, as_of: measures.top_revenue_by(m, as_of, by=["category_name"])),
+    "yoy_growth_by_quarter": _q(lambda m, as_of: measures.yoy_growth(m, as_of, grain="quarter")),
+    "yoy_growth_by_year": _q(lambda m, as_of: measures.yoy_growth(m, as_of, grain="year")),
+    "seed_inventory_patterns": _q(lambda m, as_of: seeds.seed_inventory(m, STOCK_PATTERNS)),
     "summary_section_critical": _q(lambda m, as_of: summary.summary_section_critical(m, as_of)),
 }
 

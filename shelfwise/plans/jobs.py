@@ -13,7 +13,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.operators import forecast, kpis, reports
+from shelfwise.operators import daily_state, forecast, kpis, quarantine, reports
+from shelfwise.sinks import batches
 from shelfwise.sinks.writers import (ANALYTICS_SHEETS, FORECAST_SHEETS, persist_forecasts,
                                      publish_reports)
 from shelfwise.sources.model import StarModel
@@ -73,3 +74,34 @@ def run_pipeline(spark: SparkSession, model: StarModel, as_of, root: str,
     }
     summary_paths = publish_reports(sections, f"{root}/summary", run_date, formats=("parquet",))
     return {"analytics": paths, "forecasts": fc, "summary": summary_paths}
+
+
+def load_batch(spark: SparkSession, sales: DataFrame, model: StarModel, root: str, batch_id: str,
+               keys: list[tuple[str, list[str]]] | None = None) -> dict[str, int]:
+    """One delivery of sales into ``root``: rows that break a constraint go to
+    ``root/quarantine``, the others are appended to ``root/sales`` as ``batch_id``
+    (both exactly once), then the daily state is brought up to date for the dates
+    touched.  Returns the counts; a batch that is already there only refreshes
+    the state."""
+    root = root.rstrip("/")
+    done = batches.finished(spark, f"{root}/sales").where(F.col("batch_id") == batch_id)
+    counts = {"rows": 0, "accepted": 0}
+    if done.isEmpty():
+        parts = quarantine.split(sales, "sales", model, keys)
+        counts = parts.counts
+        batches.append_batch(parts.quarantined, f"{root}/quarantine", batch_id)
+        batches.append_batch(parts.accepted, f"{root}/sales", batch_id)
+    daily_state.refresh(spark, f"{root}/sales", f"{root}/daily")
+    return counts
+
+
+def run_daily(spark: SparkSession, sales: DataFrame, model: StarModel, root: str, batch_id: str, as_of,
+              keys: list[tuple[str, list[str]]] | None = None) -> dict:
+    """The daily run on new sales only (RUN-3): load the batch, then analytics,
+    forecasts and summary from the daily state, whose folders outside a report's
+    window are never opened."""
+    root = root.rstrip("/")
+    counts = load_batch(spark, sales, model, root, batch_id, keys)
+    state = daily_state.as_model(model, spark, f"{root}/daily")
+    run_date = as_of if isinstance(as_of, dt.date) else dt.date.fromisoformat(as_of)
+    return {"counts": counts, **run_pipeline(spark, state, as_of, f"{root}/reports", run_date)}

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every shelfwise job relies on.  Time zone is pinned so that dates
 # never shift; AQE re-plans joins from runtime sizes (broadcast only when the
@@ -82,3 +83,12 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     path = fallback or tempfile.mkdtemp(prefix="shelfwise-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir()
+
+
+def write_once(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared checkpoint folder and read back: computed once
+    however often it is read, and its lineage ends there."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

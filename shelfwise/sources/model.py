@@ -149,11 +149,11 @@ def materialize_dimensions(spark: SparkSession, model: StarModel, root: str | No
     return StarModel(**frames)
 
 
-def _map_tables(spark: SparkSession, sf_dir: str) -> StarModel:
-    lineitem = _read(spark, sf_dir, "lineitem")
+def _sales_columns() -> list[Column]:
+    """The sales fact's columns from those of lineitem."""
     total = F.col("l_extendedprice").cast(T.DecimalType(14, 2))
     qty = F.col("l_quantity").cast(T.IntegerType())
-    sales = lineitem.select(
+    return [
         F.col("l_orderkey").alias("sale_id"),
         F.col("l_shipdate").cast(T.DateType()).alias("sale_date"),
         F.col("l_partkey").alias("product_id"),
@@ -162,7 +162,32 @@ def _map_tables(spark: SparkSession, sf_dir: str) -> StarModel:
         # never recompute the amount from the unit price: round-trips differ
         F.round(F.try_divide(total, qty), 2).cast(T.DecimalType(12, 2)).alias("unit_price"),
         total.alias("total_amount"),
-    )
+    ]
+
+
+def sales_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sales lines with their line numbers, as a delivery with faults in it:
+    by the order number's remainders some have no date, price or amount, a
+    negative quantity, no product, an unknown product or store, and some orders
+    are delivered twice.  Fixture of the write checks."""
+    lines = _read(spark, sf_dir, "lineitem").select(*_sales_columns(), F.col("l_linenumber").cast("long").alias("line_no"))
+
+    def hurt(column: str, modulus: int, value) -> Column:
+        return F.when(F.col("sale_id") % modulus == 7, value).otherwise(F.col(column)).alias(column)
+    lost = F.lit(None)
+    unknown = F.lit(1_000_000_000)
+    hurt_lines = lines.select(
+        "sale_id", "line_no", hurt("sale_date", 79, lost),
+        F.when(F.col("sale_id") % 71 == 7, lost).when(F.col("sale_id") % 83 == 7, F.col("product_id") + unknown)
+        .otherwise(F.col("product_id")).alias("product_id"),
+        hurt("store_id", 67, F.col("store_id") + unknown), hurt("quantity", 97, -F.col("quantity")),
+        hurt("unit_price", 59, lost), hurt("total_amount", 61, lost))
+    return hurt_lines.withColumn("copy", F.explode(F.array_repeat(
+        F.lit(0), F.when(F.col("sale_id") % 101 == 7, 2).otherwise(1).cast("int")))).drop("copy")
+
+
+def _map_tables(spark: SparkSession, sf_dir: str) -> StarModel:
+    sales = _read(spark, sf_dir, "lineitem").select(*_sales_columns())
 
     part = _read(spark, sf_dir, "part")
     # The category domain is the set of product types: a handful of rows once

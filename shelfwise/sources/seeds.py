@@ -5,10 +5,11 @@ from __future__ import annotations
 import math
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.functions import dates as D
+from shelfwise.functions.numbering import PRIME, draw, numbered
 from shelfwise.sources.model import (CATEGORIES_SCHEMA, PRODUCTS_SCHEMA, STORES_SCHEMA,
                                      StarModel)
 
@@ -51,6 +52,12 @@ SEED_REORDER_LEVEL = 20
 WEEKEND_FACTOR = 1.3
 SEASON_AMPLITUDE = 0.15
 
+# Fixed values of the demand grid: a product sells in a store on 55 % of the
+# days; Poisson mean 0.5 for every fourth product id, 3 for the others; 1 unit at
+# least.
+SELL_CHANCE = 0.55
+SLOW_EVERY, SLOW_MEAN, USUAL_MEAN = 4, 0.5, 3.0
+
 
 def demo_dimensions(spark: SparkSession) -> dict[str, DataFrame]:
     """The literal demo dimension rows (SRC-4)."""
@@ -84,6 +91,75 @@ def seed_inventory(model: StarModel, stock_by_sku: dict[str, int] | None = None,
                     F.lit(reorder_level).cast("int").alias("reorder_level")))
 
 
+def day_factors(day: Column) -> tuple[Column, Column]:
+    """weekday_factor and season_factor (to a millionth) of a date."""
+    weekend = F.dayofweek(day).isin(1, 7)                   # 1 = Sunday, 7 = Saturday
+    season = F.lit(1.0) + F.lit(SEASON_AMPLITUDE) * F.sin(F.lit(2 * math.pi) * F.dayofyear(day) / F.lit(365))
+    return (F.when(weekend, F.lit(WEEKEND_FACTOR)).otherwise(F.lit(1.0)).alias("weekday_factor"),
+            (F.floor(season * 1e6 + 0.5) / 1e6).alias("season_factor"))
+
+
+def poisson_steps(mean: float) -> list[int]:
+    """Inverse table of a Poisson distribution: the draw reaches step k - 1 when
+    the value is k or more; it ends where no draw can reach on."""
+    steps, chance, below = [], math.exp(-mean), 0.0
+    for k in range(1, 200):
+        below += chance
+        step = math.floor(below * PRIME)
+        if step >= PRIME - 1:
+            break
+        steps.append(step)
+        chance *= mean / k
+    return steps
+
+
+def demand_grid(model: StarModel, start, end) -> DataFrame:
+    """Simulated sales at their own grain (SRC-9): every product in every store on
+    every day from ``start`` to ``end`` sells with chance 0.55 a Poisson number of
+    units times the day's factors, one at least.
+
+    Columns: sale_date, product_id, store_id, quantity, unit_price, total_amount.
+    A cell's number has three digits, (product, store, day), in mixed radix; its
+    draws are functions of that number, so the same cell always sells the same,
+    whatever else is asked for, and any lost task is computed again alike.  The
+    cells are a ``range`` that tasks share evenly; the dimensions are looked up by
+    their gapless numbers (Spark broadcasts them if they are small), which no
+    cross join and no driver loop has to make.
+    """
+    spark = model.products.sparkSession
+    products = numbered(model.products.select("product_id", "unit_price"), "product_id", "product_no")
+    stores = numbered(model.stores.select("store_id"), "store_id", "store_no")
+    sizes = [model.products.count(), model.stores.count()]
+    first, last = spark.range(1).select(F.unix_date(D.as_of_col(start)), F.unix_date(D.as_of_col(end))).first()
+    days = max(0, last - first + 1)
+    cells = spark.range(sizes[0] * sizes[1] * days).select(
+        F.expr(f"id div {max(1, sizes[1] * days)}").alias("product_no"),
+        F.expr(f"id div {max(1, days)} % {max(1, sizes[1])}").alias("store_no"),
+        F.expr(f"id % {max(1, days)} + {first}").alias("day_no"))
+    # the day counts from 1970 and has room for 65536 values, so a cell's number
+    # does not depend on the range asked for
+    number = (F.col("product_no") * sizes[1] + F.col("store_no")) * 65536 + F.col("day_no")
+    sold = cells.where(draw(number, 1) < math.floor(SELL_CHANCE * PRIME)).withColumn("u", draw(number, 2))
+
+    def units(mean):
+        return sum((F.when(F.col("u") >= step, 1).otherwise(0) for step in poisson_steps(mean)), F.lit(0))
+    slow = F.col("product_id") % SLOW_EVERY == 0
+    weekday, season = day_factors(F.col("sale_date"))
+    count = F.when(slow, units(SLOW_MEAN)).otherwise(units(USUAL_MEAN)).cast("double")
+    return (sold.join(products, "product_no").join(stores, "store_no")
+            .withColumn("sale_date", F.date_from_unix_date(F.col("day_no").cast("int")))
+            .withColumn("quantity", F.greatest(F.lit(1), F.floor(count * weekday * season)).cast("int"))
+            .select("sale_date", "product_id", "store_id", "quantity", "unit_price",
+                    (F.col("quantity") * F.col("unit_price")).cast("decimal(14,2)").alias("total_amount")))
+
+
+def demand_by_store(model: StarModel, start, end) -> DataFrame:
+    """The demand grid summed per day and store: products sold, units, revenue."""
+    return demand_grid(model, start, end).groupBy("sale_date", "store_id").agg(
+        F.count(F.lit(1)).alias("products_sold"), F.sum("quantity").cast("long").alias("units"),
+        F.sum("total_amount").alias("revenue"))
+
+
 def demand_calendar(model: StarModel, start=None, end=None) -> DataFrame:
     """Daily demand calendar (SRC-9): each day from ``start`` to ``end``
     (default: the sales date range) with its weekday and season factors and
@@ -100,13 +176,7 @@ def demand_calendar(model: StarModel, start=None, end=None) -> DataFrame:
     # the range comes from the daily aggregate, not a second pass over the fact
     days = (daily.agg(lo.alias("lo"), hi.alias("hi"))
             .select(F.explode(F.sequence("lo", "hi")).alias("sale_date")))
-    weekend = F.dayofweek("sale_date").isin(1, 7)           # 1 = Sunday, 7 = Saturday
-    season = F.lit(1.0) + F.lit(SEASON_AMPLITUDE) * F.sin(
-        F.lit(2 * math.pi) * F.dayofyear("sale_date") / F.lit(365))
-    cal = days.select(
-        "sale_date",
-        F.when(weekend, F.lit(WEEKEND_FACTOR)).otherwise(F.lit(1.0)).alias("weekday_factor"),
-        (F.floor(season * 1e6 + 0.5) / 1e6).alias("season_factor"))
+    cal = days.select("sale_date", *day_factors(F.col("sale_date")))
     return (cal.join(daily, "sale_date", "left")
             .select("sale_date", "weekday_factor", "season_factor",
                     F.coalesce("units_sold", F.lit(0).cast("long")).alias("units_sold"),

@@ -20,7 +20,8 @@ def spark():
     scratch = tempfile.mkdtemp(prefix="shelfwise-test-")
     s = build_session("local[4]", shuffle_partitions=4,
                       extra={"spark.sql.warehouse.dir": f"{scratch}/warehouse",
-                             "spark.driver.memory": "4g"})
+                             "spark.driver.memory": "4g",
+                             "spark.sql.maxMetadataStringLength": "2000"})      # plan tests read whole filters
     ensure_checkpoint_dir(s, f"{scratch}/checkpoints")
     yield s
     s.stop()
