@@ -2,18 +2,18 @@
 
 The training texts are indexed in segments of bounded size, each built where
 its documents are read and stored as one row: for every term its sorted token
-positions.  A query phrase is looked up in a segment from its rarest term on:
-the positions of that term, shifted by its offset in the phrase, are
-intersected with the shifted lists of the other terms, rarest first.  Exact
+positions.  A query phrase goes, by one shuffle, to the segments that hold its
+rarest term.  There the positions of that term, less its offset in the phrase, are
+intersected with the lists of the other terms, less theirs, rarest first.  Exact
 phrases and proximity matches (every term within ``slop`` of its place) come
-from the same intersection.  Segments are searched independently.  A test set
-of any size is cut into blocks of bounded bytes; the staged index is searched
-once for each block and the matches of a document are put together at the end.
+from the same intersection.  Segments are searched independently and hold a
+bounded number of phrases at a time, so neither the texts nor the test set has a
+bound; the matches of a document are put together at the end.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import stage
+from shelfwise.llm.common import n_partitions, stage
 
 # A-Z become lower case; the other characters up to \x7F but letters and digits part words.
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32
@@ -41,15 +41,21 @@ INDEX_SCHEMA = ("docs array<long>, n_words array<long>, terms array<binary>, end
                 "segment long")
 
 
+def gap_of(slop: int) -> int:
+    """Unused positions after each document, so that no match spans two."""
+    return 2 * slop + 1
+
+
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: set[bytes] | None = None,
-                segment_words: int = 1_000_000) -> DataFrame:
+                segment_words: int = 1_000_000, slop: int = 0) -> DataFrame:
     """Index segments of about ``segment_words`` words (one document more at most).
 
     ``vocabulary`` restricts the stored terms to those that queries use; the
     positions still count every word.  A segment: the ids and word counts of
     its documents, its terms, the end of each term's list and all lists
     (uint32, in term order), its number.  Position p belongs to the document whose
-    words start at or before p; one unused position follows each document.
+    words start at or before p; unused positions follow each document, enough for
+    proximity matches of ``slop``.
     """
 
     names = ["docs", "n_words", "terms", "ends", "positions", "segment"]
@@ -81,7 +87,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 positions.append(at + base)
                 ids.append(batch.column(0)[row].as_py())
                 counts.append(len(words))
-                base += len(words) + 1
+                base += len(words) + gap_of(slop)
                 if base >= segment_words:
                     yield segment(ids, counts, known, codes, positions, nth)
                     ids, counts, codes, positions, base, nth = [], [], [], [], 0, nth + 1
@@ -94,32 +100,71 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 class Segment:
-    """One segment, searched."""
-
-    def __init__(self, terms, ends, positions: bytes):
-        flat = np.frombuffer(positions, dtype="<u4").astype(np.int64)
-        starts = [0, *ends][:-1]
-        self.lists = {t: flat[a:b] for t, a, b in zip(terms, starts, ends, strict=True)}
-
-    def search(self, phrase: tuple[bytes, ...], slop: int = 0) -> np.ndarray:
-        """Start positions of the phrase; with ``slop``, those around which each
-        term stands at most that far from its place."""
-        try:
-            lists = sorted(((self.lists[t], k) for k, t in enumerate(phrase)), key=lambda x: len(x[0]))
-        except KeyError:
-            return np.empty(0, np.int64)
-        first, offset = lists[0]
-        starts = first - offset
-        if slop:
-            starts = np.unique((starts[:, None] + np.arange(-slop, slop + 1)).ravel())
-        for positions, offset in lists[1:]:
-            if not len(starts):
-                break
-            near = np.searchsorted(positions, starts + offset - slop)
-            inside = near < len(positions)
-            inside[inside] = positions[near[inside]] <= starts[inside] + offset + slop
-            starts = starts[inside]
-        return starts
+    """One segment, searched for many phrases at once."""
+
+    def __init__(self, terms, ends, positions: bytes, n_words, slop: int = 0):
+        self.number = {bytes(t): i for i, t in enumerate(terms)}
+        self.flat = np.frombuffer(positions, dtype="<u4").astype(np.int64)
+        self.edges = np.array([0, *ends], np.int64)
+        self.slop, counts = slop, np.array(n_words, np.int64)
+        self.starts = np.cumsum(counts + gap_of(slop)) - counts - gap_of(slop)
+
+    def search(self, phrases: list[tuple[bytes, ...]], held: int = 1 << 20):
+        """(phrase, document, first word, exact) of every match, as arrays; about
+        ``held`` positions at a time.
+
+        A phrase's candidates are its rarest term's positions less the term's
+        offset; the lists of its other terms, less their offsets and rarest first,
+        thin them out.  All lists stand in one ascending array, each term's in a
+        range of its own, so that one search looks into many lists.  With slop a
+        candidate stays while each term stands at most that far from its place; it
+        is exact if each stands in it."""
+        slop, number = self.slop, self.number
+        wanted = [(q, codes) for q, p in enumerate(phrases) if p and -1 not in (codes := [number.get(t, -1) for t in p])]
+        empty = np.empty(0, np.int64)
+        if not wanted:
+            return empty, empty, empty, empty.astype(bool)
+        query = np.array([q for q, _ in wanted], np.int64)
+        sizes = np.array([len(c) for _, c in wanted], np.int64)
+        codes = np.concatenate([c for _, c in wanted]).astype(np.int64)
+        firsts = np.cumsum(sizes) - sizes
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        lengths = np.diff(self.edges)
+        ranked = np.lexsort((lengths[codes], owner))           # each phrase's terms, rarest first
+        margin = int(sizes.max()) + slop
+        stride = int(self.flat.max()) + 2 * margin + 1
+        lists = np.repeat(np.arange(len(lengths)), lengths) * stride + self.flat + margin
+        lead = ranked[firsts]
+        reach = np.cumsum(lengths[codes[lead]] * (2 * slop + 1))
+        cuts = np.unique(np.searchsorted(reach, np.arange(held, int(reach[-1]), held), side="right"))
+        found = []
+        for part in np.split(np.arange(len(sizes)), cuts):
+            n = lengths[codes[lead[part]]]
+            phrase = np.repeat(part, n)
+            nth = np.arange(len(phrase)) - np.repeat(np.cumsum(n) - n, n)
+            at = self.flat[self.edges[codes[lead[phrase]]] + nth]
+            row = np.searchsorted(self.starts, at, side="right") - 1
+            start = at - (lead[phrase] - firsts[phrase])
+            shift = np.arange(-slop, slop + 1)
+            exact = np.tile(shift == 0, len(start))
+            start = (start[:, None] + shift).ravel()
+            phrase, row = np.repeat(phrase, len(shift)), np.repeat(row, len(shift))
+            for step in range(1, int(sizes.max())):
+                if not len(start):
+                    break
+                term = ranked[firsts[phrase] + step % sizes[phrase]]
+                place = codes[term] * stride + start + (term - firsts[phrase]) + margin
+                near = np.searchsorted(lists, place - slop)
+                ok = near < len(lists)
+                ok[ok] = lists[near[ok]] <= place[ok] + slop
+                if slop:
+                    hit = np.searchsorted(lists, place)
+                    there = exact & (hit < len(lists))
+                    there[there] = lists[hit[there]] == place[there]
+                    exact = there
+                phrase, row, start, exact = phrase[ok], row[ok], start[ok], exact[ok]
+            found.append((query[phrase], row, start - self.starts[row], exact))
+        return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
 MATCH_SCHEMA = "doc_id long, n_words long, matches array<struct<query:int,start:int,size:int>>"
@@ -127,8 +172,9 @@ MATCH_SCHEMA = "doc_id long, n_words long, matches array<struct<query:int,start:
 
 def search_index(index: DataFrame, phrases: list[tuple[bytes, ...]], slop: int = 0) -> DataFrame:
     """One row per indexed document: its word count and every match (query
-    number, first word, number of words).  The phrases travel with the tasks: a
-    short list; ``decontaminate`` searches any number."""
+    number, first word, number of words), proximity matches included; the index
+    must have been built for ``slop``.  The phrases travel with the tasks: a short
+    list; ``decontaminate`` searches any number."""
 
     def run(batches):
         names = ["doc_id", "n_words", "matches"]
@@ -136,22 +182,14 @@ def search_index(index: DataFrame, phrases: list[tuple[bytes, ...]], slop: int =
         for batch in batches:
             for k in range(batch.num_rows):
                 ids, counts, terms, ends, positions, _ = (c[k].as_py() for c in batch.columns)
-                part, matches = Segment(terms, ends, positions), [[] for _ in ids]
-                counts = np.array(counts, np.int64)
-                starts = np.concatenate([[0], np.cumsum(counts + 1)[:-1]])
-                for q, phrase in enumerate(phrases):
-                    found = part.search(phrase, slop)
-                    if not len(found):
-                        continue
-                    found = found[found >= 0]
-                    owner = np.searchsorted(starts, found, side="right") - 1
-                    local = found - starts[owner]
-                    ok = local + len(phrase) <= counts[owner]      # inside one document
-                    for d, s in zip(owner[ok].tolist(), local[ok].tolist(), strict=True):
-                        matches[d].append((q, s, len(phrase)))
+                query, row, start, _ = Segment(terms, ends, positions, counts, slop).search(phrases)
+                matches = [set() for _ in ids]
+                for q, d, s in zip(query.tolist(), row.tolist(), start.tolist(), strict=True):
+                    matches[d].add((q, s, len(phrases[q])))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids, pa.int64()), pa.array(counts),
-                     pa.array([[{"query": q, "start": s, "size": n} for q, s, n in m] for m in matches], kind)], names)
+                     pa.array([[{"query": q, "start": s, "size": n} for q, s, n in sorted(m)] for m in matches], kind)],
+                    names)
 
     return index.mapInArrow(run, MATCH_SCHEMA)
 
@@ -163,82 +201,77 @@ def windows_of(words: list[bytes], size: int) -> list[tuple[bytes, ...]]:
     return [tuple(words[k:k + size]) for k in range(max(1, len(words) - size + 1))]
 
 
-class Block:
-    """Test windows to search at a time: their terms as places in a vocabulary,
-    one window after another, and the items that own each."""
-
-    def __init__(self, rows):
-        words = [bytes(w).split(b" ") for w, _ in rows]
-        self.vocabulary = sorted({t for w in words for t in w})
-        number = {t: i for i, t in enumerate(self.vocabulary)}
-        self.codes = np.array([number[t] for w in words for t in w], np.int32)
-        self.sizes = np.array([len(w) for w in words], np.int64)
-        self.owners = [list(o) for _, o in rows]
-
-    def search(self, terms, ends, positions: bytes, length: int, held: int = 1 << 20):
-        """(window, start) of every occurrence in a segment of ``length`` positions,
-        from each window's rarest term on, about ``held`` positions at a time."""
-        flat = np.frombuffer(positions, dtype="<u4").astype(np.int64)
-        starts = np.array([0, *ends], np.int64)
-        lengths = np.diff(starts)
-        code_at = np.full(length, -1, np.int32)
-        code_at[flat] = np.repeat(np.arange(len(terms), dtype=np.int32), lengths)
-        there = {t: i for i, t in enumerate(terms)}
-        code_of = np.array([there.get(t, -1) for t in self.vocabulary], np.int64)
-        often = np.where(code_of >= 0, lengths[code_of], 0) if len(terms) else np.zeros(len(code_of), np.int64)
-        firsts, codes = np.cumsum(self.sizes) - self.sizes, code_of[self.codes]
-        count = often[self.codes]
-        least = np.minimum.reduceat(count, firsts)
-        owner = np.repeat(np.arange(len(self.sizes)), self.sizes)
-        rare = np.flatnonzero((count == least[owner]) & (count > 0))
-        rare = rare[np.concatenate([[True], owner[rare][1:] != owner[rare][:-1]])[:len(rare)]]
-        found, edges = [], np.cumsum(count[rare])
-        for part in np.split(rare, np.unique(np.searchsorted(edges, np.arange(held, int(edges[-1]) if len(edges) else 0,
-                                                                              held), side="right"))):
-            n = count[part]
-            window = np.repeat(owner[part], n)
-            nth = np.arange(len(window)) - np.repeat(np.cumsum(n) - n, n)
-            offset = np.repeat(part, n) - firsts[window]
-            start = flat[np.repeat(starts[codes[part]], n) + nth] - offset
-            ok = (start >= 0) & (start + self.sizes[window] <= length)
-            window, offset, start = window[ok], offset[ok], start[ok]
-            for step in range(1, int(self.sizes.max())):
-                if not len(window):
-                    break
-                # the unused position between documents equals no term
-                at = (offset + step) % self.sizes[window]
-                ok = code_at[start + at] == codes[firsts[window] + at]
-                window, offset, start = window[ok], offset[ok], start[ok]
-            found.append((window, start))
-        return [np.concatenate(x) for x in zip(*found, strict=True)]
-
+HIT_SCHEMA = ("segment long, row int, spans array<struct<start:int,size:int>>, items array<string>, "
+              "near array<long>")
 
-HIT_SCHEMA = "segment long, row int, spans array<struct<start:int,size:int>>, items array<string>"
 
+def _search_segments(index: DataFrame, pairs: DataFrame, slop: int, held_windows: int = 8192) -> DataFrame:
+    """Per document with matches: its segment, place there, the spans and items of
+    exact matches, and the hashes of windows that stand near only.
 
-def _search_block(index: DataFrame, block: Block) -> DataFrame:
-    """Per document with matches: its segment, place there, matched spans and items."""
+    ``pairs``: (segment, window, items).  A segment's row comes first in its
+    partition, its windows follow as a stream, ``held_windows`` at a time."""
     span = pa.list_(pa.struct([("start", pa.int32()), ("size", pa.int32())]))
-    types = [pa.int64(), pa.int32(), span, pa.list_(pa.string())]
+    types = [pa.int64(), pa.int32(), span, pa.list_(pa.string()), pa.list_(pa.int64())]
+
+    def answers(segment, part: Segment, windows) -> Iterator[pa.RecordBatch]:
+        phrases = [tuple(bytes(w).split(b" ")) for w, _, _ in windows]
+        query, row, start, exact = part.search(phrases)
+        by = np.argsort(row, kind="stable")
+        rows, firsts = np.unique(row[by], return_index=True)
+        out = []
+        for r, hits in zip(rows.tolist(), np.split(by, firsts[1:]), strict=True) if len(rows) else ():
+            same = hits[exact[hits]]
+            whole = np.unique(query[same])
+            near = np.setdiff1d(query[hits], whole)
+            spans = {(s, len(phrases[q])) for s, q in zip(start[same].tolist(), query[same].tolist(), strict=True)}
+            out.append((segment, r, [{"start": a, "size": n} for a, n in sorted(spans)],
+                        sorted({o for q in whole.tolist() for o in windows[q][1]}),
+                        sorted({windows[q][2] for q in near.tolist()})))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)],
+                                             ["segment", "row", "spans", "items", "near"])
 
     def run(batches):
+        segment, part, windows = None, None, []
         for batch in batches:
-            for k in range(batch.num_rows):
-                _, counts, terms, ends, positions, segment = (c[k].as_py() for c in batch.columns)
-                counts = np.array(counts, np.int64)
-                starts = np.cumsum(counts + 1) - counts - 1
-                window, start = block.search(terms, ends, positions, int(counts.sum()) + len(counts))
-                row = np.searchsorted(starts, start, side="right") - 1
-                by = np.argsort(row, kind="stable")
-                rows, firsts = np.unique(row[by], return_index=True)
-                for r, hits in zip(rows.tolist(), np.split(by, firsts[1:]), strict=True) if len(rows) else ():
-                    spans = {*zip((start[hits] - starts[r]).tolist(), block.sizes[window[hits]].tolist(), strict=True)}
-                    items = {o for w in np.unique(window[hits]).tolist() for o in block.owners[w]}
-                    values = (segment, r, [{"start": a, "size": n} for a, n in sorted(spans)], sorted(items))
-                    yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types, strict=True)],
-                                                     ["segment", "row", "spans", "items"])
-
-    return index.mapInArrow(run, HIT_SCHEMA)
+            for r in batch.to_pylist():
+                if r["terms"] is not None:
+                    if windows:
+                        yield from answers(segment, part, windows)
+                    segment, windows = r["segment"], []
+                    part = Segment(r["terms"], r["ends"], r["positions"], r["n_words"], slop)
+                else:
+                    windows.append((r["window"], r["items"], r["hash"]))
+                    if len(windows) >= held_windows:
+                        yield from answers(segment, part, windows)
+                        windows = []
+        if windows:
+            yield from answers(segment, part, windows)
+
+    rows = index.select("segment", F.lit(0).alias("tag"), "n_words", "terms", "ends", "positions").unionByName(
+        pairs.select("segment", F.lit(1).alias("tag"), "window", "items", F.xxhash64("window").alias("hash")),
+        allowMissingColumns=True)
+    return (rows.repartition(n_partitions(index.sparkSession), "segment").sortWithinPartitions("segment", "tag")
+            .mapInArrow(run, HIT_SCHEMA))
+
+
+def _to_segments(index: DataFrame, windows: DataFrame) -> DataFrame:
+    """(segment, window, items): each window with the segments that hold its rarest
+    term; windows with a term that no segment holds are nowhere."""
+    lists = (index.select("segment", F.arrays_zip("terms", "ends").alias("x"), F.expr("transform(ends, (e, i) -> "
+                          "e - if(i = 0, 0, ends[i - 1]))").alias("n"))
+             .select("segment", F.posexplode("x").alias("i", "x"), "n")
+             .select("segment", F.col("x.terms").cast("string").alias("term"), F.get("n", F.col("i")).alias("n")))
+    lists = stage(lists, "phrase-lists")
+    total = lists.groupBy("term").agg(F.sum("n").alias("total"))
+    each = windows.select("window", F.explode(F.array_distinct(F.split(F.col("window").cast("string"), " "))).alias("term"))
+    distinct = each.distinct()          # a window of many items has several rows
+    rarest = (distinct.join(total, "term", "left").groupBy("window").agg(
+        F.min(F.struct("total", "term")).alias("rarest"), F.count_if(F.col("total").isNull()).alias("missing"))
+        .where("missing = 0").select("window", F.col("rarest.term").alias("term")))
+    return (windows.join(rarest, "window").join(lists.select("segment", "term"), "term")
+            .select("segment", "window", "items"))
 
 
 def window_table(benchmark: DataFrame, size: int, id_col: str = "item_id", text_col: str = "text",
@@ -276,58 +309,39 @@ def _vocabulary(windows: DataFrame, held: int) -> set[bytes] | None:
     return {bytes(r["term"]) for r in terms.collect()}
 
 
-def query_windows(benchmark: DataFrame, size: int, max_items: int, id_col: str = "item_id",
-                 text_col: str = "text") -> list[list[bytes]]:
-    """Distinct windows with their item ids (as strings), at most ``max_items`` items."""
-    items = benchmark.select(F.col(id_col).cast("string"), text_col).limit(max_items + 1).collect()
-    if len(items) > max_items:
-        raise ValueError(f"more than {max_items} test items: search them in blocks")
-    owners: dict[tuple[bytes, ...], set[str]] = defaultdict(set)
-    for item, text in items:
-        for window in windows_of(words_of(text), size):
-            owners[window].add("" if item is None else item)
-    return sorted((w, sorted(o)) for w, o in owners.items())
-
-
-def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = 13, max_items: int | None = None,
-                  share: int = 20, block_bytes: int = 32 << 20) -> DataFrame:
-    """Per document row: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
+def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = 13, share: int = 20, slop: int = 2,
+                  vocabulary_bytes: int = 32 << 20, segment_words: int = 1_000_000) -> DataFrame:
+    """Per document row: doc_id, n_words, n_hit, n_items, items_sha256, contaminated,
+    n_near.
 
     A window is ``size`` consecutive words of a test item (a shorter item is
     one window).  A document word inside any occurrence of a window is hit;
-    contaminated when n_hit > 0 and share * n_hit >= n_words.  Neither side has
-    a bound: the windows are searched in blocks of about ``block_bytes``, one of
-    them on the driver at a time.  Only a caller who sets ``max_items`` gets an
-    error for more items.  Null texts have no words, repeated rows repeat, null
-    item ids count as an empty id, other columns are ignored, empty tables give
-    no rows or no hits.
+    contaminated when n_hit > 0 and share * n_hit >= n_words.  n_near counts the
+    windows that stand nowhere in the text exactly, but somewhere with every word
+    at most ``slop`` places off.  Neither side has a bound; the index leaves out
+    terms that no window has while those of all windows take up to
+    ``vocabulary_bytes``, and stores every term beyond.  Null texts have no words,
+    repeated rows repeat, null item ids count as an empty id, other columns are
+    ignored, empty tables give no rows or no hits.
     """
-    if max_items is not None and benchmark.limit(max_items + 1).count() > max_items:
-        raise ValueError(f"more than max_items={max_items} test items; without it all are searched in blocks")
     windows = stage(window_table(benchmark, size), "phrase-windows")
-    total = windows.agg(F.sum(F.octet_length("window") + 32 + F.aggregate(
-        "items", F.lit(0).cast("long"), lambda n, i: n + F.octet_length(i) + 16))).first()[0] or 0
-    blocks = -(-total // block_bytes)
-    index = stage(build_index(docs, vocabulary=_vocabulary(windows, block_bytes)), "phrase-index")
+    index = stage(build_index(docs, vocabulary=_vocabulary(windows, vocabulary_bytes), slop=slop,
+                              segment_words=segment_words), "phrase-index")
     every = index.select("segment", F.posexplode(F.arrays_zip("docs", "n_words")).alias("row", "x")).select(
-        "segment", "row", "x.docs", "x.n_words", F.lit(None).cast("array<struct<start:int,size:int>>").alias("spans"),
-        F.lit(None).cast("array<string>").alias("items"))
-    for k in range(blocks):
-        rows = windows.where(F.pmod(F.xxhash64("window", "items"), F.lit(blocks)) == k).collect()
-        if rows:
-            hits = stage(_search_block(index, Block(rows)), "phrase-hits")
-            every = every.unionByName(hits.withColumns({"docs": F.lit(None).cast("long"),
-                                                        "n_words": F.lit(None).cast("long")}))
+        "segment", "row", "x.docs", "x.n_words")
+    every = every.unionByName(_search_segments(index, _to_segments(index, windows), slop), allowMissingColumns=True)
     covered = F.expr("""aggregate(array_sort(spans), named_struct('edge', 0L, 'hit', 0L), (a, m) -> named_struct(
         'edge', greatest(a.edge, cast(m.start + m.size as long)),
         'hit', a.hit + greatest(0L, m.start + m.size - greatest(a.edge, cast(m.start as long)))), a -> a.hit)""")
     return (every.groupBy("segment", "row").agg(
         F.max("docs").alias("doc_id"), F.max("n_words").alias("n_words"),
         F.flatten(F.collect_list("spans")).alias("spans"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+        F.size(F.array_distinct(F.flatten(F.collect_list("near")))).cast("long").alias("n_near"))
         .select("doc_id", "n_words", covered.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
-                F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"))
-        .withColumn("contaminated", is_contaminated(share)))
+                F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "n_near")
+        .withColumn("contaminated", is_contaminated(share))
+        .select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "n_near"))
 
 
 def is_contaminated(share: int) -> Column:
