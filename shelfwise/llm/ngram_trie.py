@@ -138,23 +138,25 @@ class Quantiser:
 
 
 class Trie:
-    """Two levels: contexts, and for each context its successors with quantised
-    log probabilities.
+    """One level below its contexts: for each context its successors, with a value each.
 
-    Successors are remapped to ranks in the shard's successor vocabulary; a
-    range is made monotone by its context's rank, so that one sequence holds the
-    whole level and a search is relative to the context.
+    Successors may be hashes, which are remapped to ranks in the level's
+    vocabulary, or small numbers already (places among the successors of a shorter
+    context).  A context's range is made monotone by its rank, so that one sequence
+    holds the whole level and a search looks inside the context only.
     """
 
-    def __init__(self, contexts, pointers, vocabulary, successors, codes, folder: str):
-        """``successors`` are vocabulary ranks, ordered by context; ``pointers`` their range starts."""
+    def __init__(self, contexts, pointers, successors, values, folder: str, vocabulary=None):
+        """``successors`` are ranks in the vocabulary (or the numbers themselves), in
+        order of contexts; ``pointers`` the starts of the contexts' ranges."""
         self.contexts = EliasFano(contexts, folder, "contexts")
         self.pointers = EliasFano(pointers, folder, "pointers")
-        self.vocabulary = EliasFano(vocabulary, folder, "vocabulary")
-        self.width = max(1, len(vocabulary))
+        self.vocabulary = None if vocabulary is None else EliasFano(vocabulary, folder, "vocabulary")
+        successors = np.asarray(successors).astype(np.int64)
+        self.width = (int(successors.max()) if len(successors) else 0) + 1
         owner = np.repeat(np.arange(len(contexts)), np.diff(np.append(pointers, len(successors))))
         self.level = EliasFano(owner * self.width + successors, folder, "successors")
-        self.codes = mapped(folder, "codes", codes)
+        self.values = mapped(folder, "values", values)
 
     def children(self, context: np.ndarray) -> np.ndarray:
         """Number of successors of the contexts at these ranks."""
@@ -162,11 +164,9 @@ class Trie:
                        np.uint64(self.level.n))
         return (end - self.pointers[context]).astype(np.int64)
 
-    def search(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """Codes of (context rank, word) pairs, 0 where the pair was not learnt."""
-        rank = self.vocabulary.find(word)
-        known = (context >= 0) & (rank >= 0)
+    def search(self, context: np.ndarray, successor: np.ndarray) -> np.ndarray:
+        """Places of (context rank, successor) in the level, -1 where there is none."""
+        rank = (successor.astype(np.int64) if self.vocabulary is None else self.vocabulary.find(successor))
+        known = (context >= 0) & (rank >= 0) & (rank < self.width)
         at = self.level.find(np.where(known, context * self.width + rank, 0))
-        if not self.level.n:
-            return np.zeros(len(at), np.uint16)
-        return np.where(known & (at >= 0), self.codes[np.maximum(at, 0)], 0).astype(np.uint16)
+        return np.where(known, at, -1)

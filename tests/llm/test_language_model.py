@@ -9,30 +9,34 @@ import pytest
 
 from shelfwise.llm import language_model as lm
 from shelfwise.llm.ngram_trie import EliasFano, Quantiser, Trie
+from shelfwise.llm.common import bound_batches
 from tests.llm.conftest import EDGE, rows_of, texts_of
 
 
-def brute(rows, discount):
+def brute(rows, order=3, masses=lm.MASSES):
     docs = []
     for doc, text in rows:
         low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
         held = doc is not None and zlib.crc32(str(doc).encode()) % 7 == 2
         docs.append((doc, held, [*re.findall(r"[^\x20\x09-\x0D]+", low), 0]))
     count = Counter(w for _, held, words in docs if not held for w in words)
-    pairs = Counter(p for _, held, words in docs if not held for p in zip([1, *words], words, strict=False))
-    context, children = Counter(), Counter()
-    for (a, _), n in pairs.items():
-        context[a] += n
-        children[a] += 1
+    grams = Counter(g for _, held, words in docs if not held
+                    for n in (2, 3) for g in zip(*[[1, *words][k:] for k in range(n)], strict=False))
+    contexts = Counter()
+    for g, n in grams.items():
+        contexts[g[:-1]] += n
     total, types = sum(count.values()), len(count)
     out = []
     for doc, held, words in docs:
         base = model = 0.0
-        for a, w in zip([1, *words], words, strict=False):
+        line = [1, *words]
+        for k, w in enumerate(words, 1):
             p = (count[w] + 1) / (total + types + 1)
             base += log10(p)
-            if context[a]:
-                p = max(0, pairs[a, w] - discount) / context[a] + discount * children[a] / context[a] * p
+            for n in range(1, min(order, k + 1)):
+                h = tuple(line[k - n:k])
+                if contexts[h]:
+                    p = (grams[*h, w] + masses[n - 1] * p) / (contexts[h] + masses[n - 1])
             model += log10(p)
         out.append((doc, held, len(words), sum(count[w] > 0 for w in words), total, base, model))
     return out
@@ -47,26 +51,50 @@ def same(got, want):
         assert a[6] == pytest.approx(b[6], rel=1e-9, abs=3e-4 * b[2] + 1e-6)
 
 
-@pytest.mark.parametrize(("block", "shard", "share"), [(4_000_000, 6_000_000, 1000), (3000, 2000, 20)])
-def test_scores_equal_the_written_out_model(documents, edge, monkeypatch, block, shard, share):
-    monkeypatch.setattr(lm, "HOT_SHARE", share)
+@pytest.mark.parametrize(("order", "block", "shard"), [(3, 4_000_000, 6_000_000), (3, 3000, 2000), (2, 3000, 2000)])
+def test_scores_equal_the_written_out_model(documents, edge, order, block, shard):
     for df, rows in ((documents, texts_of(documents)), (edge, EDGE)):
-        out = lm.score_documents(df, block_tokens=block, shard_tokens=shard)
+        out = lm.score_documents(df, order=order, block_tokens=block, shard_tokens=shard)
         assert out.columns == ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
-        same(rows_of(out), brute(rows, 0.9))
+        same(rows_of(out), brute(rows, order))
+
+
+def test_hot_words_and_pairs_are_cut(spark):
+    """One word and one pair hold most tokens; shards are far smaller than either."""
+    bound_batches(spark)
+    rows = [(k, " ".join(f"of the w{k * 7 % 60} of x{j % 9}" for j in range(30))) for k in range(60)]
+    out = lm.score_documents(spark.createDataFrame(rows, "doc_id long, text string"), block_tokens=500, shard_tokens=300)
+    same(rows_of(out), brute(rows))
 
 
 def test_no_rows_and_no_training_rows(spark, nothing):
     assert lm.score_documents(nothing).count() == 0
     held = next(k for k in range(99) if zlib.crc32(str(k).encode()) % 7 == 2)
     rows = [(held, "a b a"), (held, None)]
-    same(rows_of(lm.score_documents(spark.createDataFrame(rows, "doc_id long, text string"))), brute(rows, 0.9))
+    same(rows_of(lm.score_documents(spark.createDataFrame(rows, "doc_id long, text string"))), brute(rows))
+    with pytest.raises(ValueError):
+        lm.score_documents(nothing, order=4)
 
 
-def test_model_beats_the_base_on_held_out_documents(spark):
+def test_longer_contexts_tell_more_of_held_out_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    rows = [r for r in lm.score_documents(docs).collect() if r["held_out"]]
-    assert sum(r["score"] for r in rows) > sum(r["base_score"] for r in rows)
+    found = [[r for r in lm.score_documents(docs, order=n).collect() if r["held_out"]] for n in (2, 3)]
+    base, pairs, trigrams = sum(r["base_score"] for r in found[0]), *(sum(r["score"] for r in f) for f in found)
+    assert base < pairs < trigrams
+
+
+def test_rows_grow_with_the_ngrams_not_with_blocks_times_shards(documents):
+    from shelfwise.llm.common import stage
+    blocks = stage(lm.read_blocks(documents.select("doc_id", "text"), 50), "blocks")
+    pairs = sum(len(set(zip(["<s>", *w], w, strict=False))) for _, t in texts_of(documents) for w in [[*(t or "").split(), 1]])
+    n = blocks.count()
+    assert lm._ask_pairs(blocks, lm.Layout(50_000, 50, {})).count() <= min(pairs + n, n * 50_000)
+
+
+@pytest.mark.parametrize("top", [1, 200, 2**17, 2**63])
+def test_packing_round_trip(top):
+    values = np.random.default_rng(top % 1000).integers(0, top, 1000, dtype=np.uint64)
+    assert (lm.unpack(lm.pack(values)) == values).all() and len(lm.unpack(lm.pack(values[:0]))) == 0
 
 
 @pytest.mark.parametrize(("n", "top"), [(1, 5), (5, 3), (1000, 2**64 - 1), (70_000, 2**40), (5000, 6000)])
@@ -86,10 +114,13 @@ def test_elias_fano_search(n, top):
 def test_empty_sequence_and_quantiser():
     with tempfile.TemporaryDirectory() as folder:
         assert EliasFano(np.empty(0, np.uint64), folder, "x").find(np.array([3], np.uint64)).tolist() == [-1]
-        trie = Trie(np.array([5, 9], np.uint64), np.array([0, 2]), np.array([1, 4, 7], np.uint64), np.array([0, 2, 1]),
-                    np.array([11, 12, 13], np.uint16), folder)
+        trie = Trie(np.array([5, 9], np.uint64), np.array([0, 2]), np.array([0, 2, 1]), np.array([11, 12, 13], np.uint16),
+                    folder, np.array([1, 4, 7], np.uint64))
         assert trie.children(np.array([0, 1])).tolist() == [2, 1]
         found = trie.search(np.array([0, 0, 0, 1, 1, -1]), np.array([1, 4, 7, 4, 7, 4], np.uint64))
-        assert found.tolist() == [11, 0, 12, 13, 0, 0]
+        assert found.tolist() == [0, -1, 1, 2, -1, -1] and trie.values[found[found >= 0]].tolist() == [11, 12, 13]
+    with tempfile.TemporaryDirectory() as folder:       # successors that are numbers already
+        trie = Trie(np.array([5, 9], np.uint64), np.array([0, 2]), np.array([0, 3, 1]), np.array([1, 2, 3]), folder)
+        assert trie.search(np.array([0, 0, 1, 1, 1]), np.array([0, 3, 1, 3, 9])).tolist() == [0, 1, 2, -1, -1]
     logs = np.linspace(-15, 0, 99)
     assert np.abs(Quantiser().decode(Quantiser().encode(logs)) - logs).max() < 2e-4
