@@ -12,7 +12,8 @@ prefix hash go through the same once more with all their hashes counted.  Two re
 * answers: sets that share their commonest or rarest listed hash are compared
   first, each with a leader; a leader's members are answered from its overlap and their few
   differences from it.  Sets that this links already are never compared again:
-  the lists only look for links between different components.
+  the lists only look for links between different components, and take a pair that
+  has met in a list before as answered.
 
 No pair inside a component is formed, so a large group of near copies costs
 about its size.
@@ -34,6 +35,7 @@ from shelfwise.llm.graph import components
 
 _K1, _K2, _K3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 SEGMENT = 2048                  # sets compared in one task group
+RECENT = 16                     # listed hashes before its own that a posting carries
 DELEGATES = 32                  # sets of a component that go on to the next round of segments
 
 
@@ -207,26 +209,36 @@ def _delegates(members: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def _list_pairs(postings: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """(a, b): pairs of sets of different components that the index lists cannot rule out."""
+    """(a, b): pairs of sets of different components that the index lists cannot rule out.
+
+    Similar sets meet in most of their lists.  Each posting carries the RECENT
+    listed hashes before it; a pair that shares one of them has met there already
+    and is passed over.  Its first common hash has none before it, so every pair is
+    put together there, unless the positions at that very hash rule it out.
+    """
     named = (postings.join(roots.withColumnRenamed("node", "sid"), "sid", "left")
              .withColumn("root", F.coalesce("root", "sid")))
     lists = (named.groupBy("h").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count("*").alias("c"))
              .where("r0 < r1").select("h", F.ceil(F.col("c") / 2048).alias("salts")))
-    blocks = (named.join(lists, "h").groupBy("h", "root", "pos", F.pmod(F.xxhash64("sid"), "salts").alias("salt"))
+    recent = (named.join(lists, "h").groupBy("sid", "root", "n")
+              .agg(F.sort_array(F.collect_list(F.struct("pos", "h", "salts"))).alias("l"))
+              .select("sid", "root", "n", F.expr(
+                  f"explode(transform(l, (x, i) -> struct(x.h as h, x.pos as pos, x.salts as salts, "
+                  f"slice(l.h, greatest(1, i - {RECENT - 1}), least(i, {RECENT})) as before)))").alias("x"))
+              .select("sid", "root", "n", "x.*"))
+    blocks = (recent.groupBy("h", "root", "pos", F.pmod(F.xxhash64("sid"), "salts").alias("salt"))
               .agg(F.min("n").alias("lo"), F.max("n").alias("hi"),
-                   F.collect_list(F.struct("n", "sid")).alias("sets")))
+                   F.collect_list(F.struct("n", "sid", "before")).alias("sets")))
     a, b = blocks.alias("a"), blocks.alias("b")
     sizes_meet = f"100 * a.hi >= {percent} * b.lo and 100 * b.hi >= {percent} * a.lo"
     enough_left = f"{100 + percent} * least(a.hi - a.pos, b.hi - b.pos) >= {percent} * (a.lo + b.lo)"
-    met = a.join(b, F.expr(f"a.h = b.h and a.root < b.root and {sizes_meet} and {enough_left}"))
-    each = met.select(F.col("a.pos").alias("i"), F.col("b.pos").alias("j"), F.explode("a.sets").alias("x"),
-                      F.col("b.root").alias("root"), F.col("b.salt").alias("salt"), F.col("b.sets").alias("ys"))
-    fits = (f"transform(filter(ys, y -> 100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n) and "
-            f"{100 + percent} * least(x.n - i, y.n - j) >= {percent} * (x.n + y.n)), y -> y.sid)")
-    # a pair that meets in many lists is put together once, block by block
-    near = (each.select(F.col("x.sid").alias("a"), "root", "salt", F.expr(fits).alias("ys")).where("size(ys) > 0")
-            .groupBy("a", "root", "salt").agg(F.array_distinct(F.flatten(F.collect_list("ys"))).alias("ys")))
-    return near.select("a", F.explode("ys").alias("b")).distinct()
+    fits = (f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n) and {100 + percent} * "
+            f"least(x.n - a.pos, y.n - b.pos) >= {percent} * (x.n + y.n) and not arrays_overlap(x.before, y.before)")
+    met = a.join(b, F.expr(f"a.h = b.h and a.root < b.root and {sizes_meet} and {enough_left} and "
+                           f"exists(a.sets, x -> exists(b.sets, y -> {fits}))"))
+    near = F.expr(f"explode(flatten(transform(a.sets, x -> transform(filter(b.sets, y -> {fits}), "
+                  "y -> struct(x.sid as a, y.sid as b)))))")
+    return met.select(near.alias("p")).select("p.*").distinct()
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

@@ -62,6 +62,18 @@ def test_segments_smaller_than_the_groups(spark, monkeypatch):
     assert ordered(rows_of(jaccard.jaccard_components(df, 3, 90))) == brute(rows, 3, 90)
 
 
+@pytest.mark.parametrize("recent", [1, 16])
+def test_lists_alone_find_every_pair(spark, monkeypatch, recent):
+    """Without the first links every link has to come from the lists, each pair of sets
+    put together in its first common list."""
+    monkeypatch.setattr(jaccard, "RECENT", recent)
+    monkeypatch.setattr(jaccard, "_first_links", lambda postings, sets, percent: postings.select(
+        "sid", "sid").toDF("u", "v").limit(0))
+    rows = near_copies(11, families=4, size=14, words=90)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert ordered(rows_of(jaccard.jaccard_components(df, 5, 80))) == brute(rows, 5, 80)
+
+
 def test_whole_documents(spark, documents):
     assert ordered(rows_of(jaccard.jaccard_components(documents, 3, 90))) == brute(texts_of(documents), 3, 90)
 
