@@ -44,12 +44,12 @@ QUANTISER = Quantiser()
 MASSES = (8.0, 4.0)             # pseudo-counts of the shorter context, for pairs and trigrams
 
 
-def pack(values: np.ndarray) -> bytes:
+def pack(values: np.ndarray, level: int = 1) -> bytes:
     """Unsigned integers in as few bytes as the largest needs, byte by byte of equal rank, compressed."""
     values = np.ascontiguousarray(values, np.uint64)
     width = max(1, (int(values.max()).bit_length() + 7) // 8) if len(values) else 1
     planes = values.view(np.uint8).reshape(-1, 8)[:, :width].T
-    return bytes([width]) + zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    return bytes([width]) + zstandard.ZstdCompressor(level=level).compress(planes.tobytes())
 
 
 def unpack(data: bytes) -> np.ndarray:
@@ -96,7 +96,7 @@ def read_blocks(docs: DataFrame, block_tokens: int) -> DataFrame:
 
         def out():
             words, codes = np.unique(np.concatenate(texts), return_inverse=True)
-            values = [(part << 32) | nth, ids, train, sizes, pack(_gaps(words)), pack(codes.ravel()[1:])]
+            values = [(part << 32) | nth, ids, train, sizes, pack(_gaps(words)), pack(codes.ravel()[1:], 3)]
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, _BLOCK_TYPES.values(), strict=True)],
                                               names=list(_BLOCK_TYPES))
 
@@ -323,6 +323,7 @@ def _score_block(block: Block, answers: list[dict], layout: Layout, corpus: dict
         told[mine], rank[mine] = unpack(answer["counts"]).astype(np.int64), unpack(answer["ranks"]).astype(np.int64)
         count[context[by[entries[c:d]]]] = unpack(answer["here"]).astype(np.int64)
         first[mine] = np.repeat(unpack(answer["base"]).astype(np.int64), np.diff(np.append(entries[c:d], b)))
+    del answers, given
     hot = layout.hot_counts(block.words)
     count = np.where(hot > 0, hot, count)
     as_word = np.where(block.words == START, 0, np.where(block.words == END, corpus["documents"], count))
@@ -355,6 +356,7 @@ def _score_block(block: Block, answers: list[dict], layout: Layout, corpus: dict
     if not asked.any():
         return partial, []
     at = np.flatnonzero(asked)
+    del second, own, asked
     trigrams, of_asked = np.unique(before[at] * len(context) + of_token[at], return_inverse=True)
     of_asked = of_asked.ravel()
     pair, last = np.divmod(trigrams, len(context))
@@ -469,8 +471,8 @@ def _release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def score_documents(docs: DataFrame, order: int = 3, masses: tuple[float, float] = MASSES, block_tokens: int = 2_000_000,
-                    shard_tokens: int = 2_000_000) -> DataFrame:
+def score_documents(docs: DataFrame, order: int = 3, masses: tuple[float, float] = MASSES, block_tokens: int = 1_200_000,
+                    shard_tokens: int = 1_500_000) -> DataFrame:
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Tokens are the A-Z lower-cased words between ASCII blanks and one end.  The
@@ -495,12 +497,14 @@ def score_documents(docs: DataFrame, order: int = 3, masses: tuple[float, float]
         F.sum("tokens").alias("tokens"), F.sum("documents").alias("documents"), F.sum("all").alias("all")).first()
     tokens, documents = sums["tokens"] or 0, sums["documents"] or 0
     shards = max(4, -(-(sums["all"] or 0) // shard_tokens))
-    words = stage(word_counts(blocks), "lm-words")
     # words of more than half a shard's tokens: fewer than twice the shards
-    hot = {r["word"] & (1 << 64) - 1: r["n"] for r in words.where(F.col("n") > shard_tokens // 2).collect()}
+    words = word_counts(blocks).agg(F.count("*").alias("types"), F.collect_list(
+        F.when(F.col("n") > shard_tokens // 2, F.struct("word", "n"))).alias("hot")).first()
+    hot = {r["word"] & (1 << 64) - 1: r["n"] for r in words["hot"]}
     if documents > shard_tokens // 2:
         hot[int(START)] = documents
-    corpus = {"tokens": tokens, "documents": documents, "types": words.count()}
+    corpus = {"tokens": tokens, "documents": documents, "types": words["types"]}
+    _release(spark)
     layout = Layout(shards, shard_tokens, hot)
     answers = stage(_answer_pairs(_ask_pairs(blocks, layout)), "lm-answers")
     _release(spark)
