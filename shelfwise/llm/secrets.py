@@ -2,8 +2,9 @@
 
 Candidates come from patterns; a random forest over their length, character
 transitions, dictionary coverage, path-like surroundings and neighbouring words
-decides which are secrets.  It is trained from labelled findings.  Only
-DataFrame functions and the DataFrame learner run, no Python on the executors.
+decides which are secrets.  It is trained from labelled findings: the caller's, or
+those of ``findings.labelled_findings``.  Only DataFrame functions and the DataFrame
+learner run, no Python on the executors.
 """
 
 from __future__ import annotations
@@ -15,14 +16,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm.common import stage
+from shelfwise.llm.findings import labelled_findings
 
 # Names that introduce a credential, and the published shape of an access key id.
 CREDENTIAL_NAMES = ("password", "passwd", "pwd", "secret", "token", "apikey", "api_key", "access_key", "auth")
 ACCESS_KEY = r"AKIA[0-9A-Z]{16}"
 PLACEHOLDERS = ("example", "sample", "dummy", "changeme", "placeholder", "xxxxxx", "yourkey", "redacted")
 
-# A candidate: 12 or more characters of keys and encodings that stand alone.
-CANDIDATE = r"(?<![A-Za-z0-9+/_.@-])([A-Za-z0-9+/_.@-]{12,}={0,2})(?![A-Za-z0-9+/_@-])"
+# A candidate: ``least`` or more characters of keys and encodings that stand alone.
+_CANDIDATE = r"(?<![A-Za-z0-9+/_.@-])([A-Za-z0-9+/_.@-]{%d,}={0,2})(?![A-Za-z0-9+/_@-])"
 # A value: what follows a credential name and an assignment, up to the closing quote or blank, of any length.
 # The match ends before the value, so that a name inside a value has its own.
 _NAMES = "|".join(CREDENTIAL_NAMES)
@@ -30,26 +32,30 @@ _ASSIGN = r"[\"']?\s{0,8}(?:=>|:=|={1,3}|::?)\s{0,8}"
 ASSIGNED = (r"(?<![A-Za-z0-9+/_.@-])[A-Za-z0-9+/_.@-]*?(?<![A-Za-z])(?i:" + _NAMES + ")" + _ASSIGN
             + r"""["']?(?=((?<=")[^"\s]+|(?<=')[^'\s]+|(?<!["'])[^"'\s=:>][^"'\s]*))""")
 FEATURES = ("length", "runs", "digits", "uppers", "distinct", "vowels", "hex", "rare_steps", "coverage", "slashes",
-            "dots", "ats", "before_credential", "before_assign", "before_path", "quoted", "after_word")
+            "dots", "ats", "marks", "prefixed", "before_credential", "before_assign", "before_path", "before_header",
+            "before_digest", "quoted", "after_word", "after_call")
 
 
-def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", context: int = 40) -> DataFrame:
+def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", context: int = 40, least: int = 12,
+               least_letters: int = 24) -> DataFrame:
     """(doc_id, nth, token, before, after): every candidate of every whole text,
     cut out with its surroundings; the values of ``named_values`` among them.
 
     The text is split at the candidates, so each costs a constant number of
     passes over its text; its surroundings are put together again from the pieces
     next to it, other candidates (long credential names, say) among them.
-    Candidates need a digit, or capitals after small
-    letters, or the shape of an access key, or a credential name in front.
+    Candidates have ``least`` characters or more and need a digit, or capitals after
+    small letters, or the shape of an access key, or a credential name in front, or
+    ``least_letters`` characters.
     """
+    pattern = _CANDIDATE % least
     text = F.coalesce(F.col(text_col), F.lit(""))
     found = docs.select(F.col(id_col).alias("doc_id"), text.alias("text")).where(
-        F.col("text").rlike(r"[A-Za-z0-9+/_.@-]{12}"))
-    cut = found.select("doc_id", F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(1)).alias("tokens"),
-                       F.split("text", CANDIDATE).alias("rest"))
+        F.col("text").rlike(f"[A-Za-z0-9+/_.@-]{{{least}}}"))
+    cut = found.select("doc_id", F.regexp_extract_all("text", F.lit(pattern), F.lit(1)).alias("tokens"),
+                       F.split("text", pattern).alias("rest"))
 
-    near = -(-context // 12)             # so many candidates of 12 characters fill the context
+    near = -(-context // least)          # so many candidates fill the context
 
     def surroundings(token: Column, nth: Column) -> Column:
         before = _run(nth - near, nth, "tokens", "rest")
@@ -59,7 +65,7 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def wanted(x: Column) -> Column:
         return (x["token"].rlike("[0-9]") | x["token"].rlike("[a-z][A-Z]") | x["token"].rlike(f"^{ACCESS_KEY}$")
-                | named(x["before"]))
+                | named(x["before"]) | (F.length(x["token"]) >= least_letters))
 
     # only the short surroundings leave the row, never the text
     each = cut.select("doc_id", F.explode(F.filter(F.transform("tokens", surroundings), wanted)).alias("x"))
@@ -114,16 +120,18 @@ def _share(col: Column, pattern: str) -> Column:
     return F.length(F.regexp_replace(col, f"[^{pattern}]", "")) / F.length(col)
 
 
-def with_features(found: DataFrame, docs: DataFrame, text_col: str = "text", common: int = 3) -> DataFrame:
+def with_features(found: DataFrame, docs: DataFrame | None, text_col: str = "text", common: int = 3,
+                  stats: DataFrame | None = None) -> DataFrame:
     """``found`` with one column per feature.
 
     Dictionary coverage: share of the token's characters in letter runs that
     occur at least ``common`` times as words of the corpus.  Rare steps: mean
     surprise (bits) of its letter pairs under the corpus' letter pairs.  Both
-    statistics are counted over all documents.
+    statistics are counted over all documents; ``stats`` gives them where they
+    have been counted (``word_counts``) already.
     """
     token = F.col("token")
-    stats = _word_counts(docs, text_col)
+    stats = word_counts(docs, text_col) if stats is None else stats
     pieces = found.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("token"), F.lit("([a-z]{3,})"),
                                                                           F.lit(1)))).alias("word")).distinct()
     known = stats.join(pieces, "word", "left_semi").where(F.col("n") >= common).select("word")
@@ -150,15 +158,21 @@ def with_features(found: DataFrame, docs: DataFrame, text_col: str = "text", com
             .withColumn("rare_steps", F.coalesce("rare_steps", F.lit(0.0)))
             .withColumn("coverage", F.coalesce("covered", F.lit(0)) / F.length(token))
             .withColumn("slashes", _share(token, "/")).withColumn("dots", _share(token, "."))
-            .withColumn("ats", _share(token, "@"))
+            .withColumn("ats", _share(token, "@")).withColumn("marks", 1 - _share(token, "A-Za-z0-9"))
+            .withColumn("prefixed", token.rlike(r"^[A-Za-z]{2,6}([_-][a-z]{0,5}[_-]?)(?=[A-Za-z0-9]*[0-9])[A-Za-z0-9-]{16,}$")
+                        .cast("double"))
+            .withColumn("before_header", before.rlike(r"(bearer|basic|authorization:)\s+$").cast("double"))
+            .withColumn("before_digest", before.rlike(r"(sha-?[0-9]*|md5|commit|hash|digest|etag|integrity|base64)[\s:=\",']*$")
+                        .cast("double"))
             .withColumn("before_credential", named(F.col("before")).cast("double"))
             .withColumn("before_assign", before.rlike(r"[=:]\s*[\"']?$").cast("double"))
             .withColumn("before_path", before.rlike(r"(/|\\|https?:|www\.)\S*$").cast("double"))
             .withColumn("quoted", (before.rlike("[\"']$") & after.rlike("^[\"']")).cast("double"))
-            .withColumn("after_word", after.rlike(r"^[\"']?\s+\p{L}").cast("double")).drop("covered"))
+            .withColumn("after_word", after.rlike(r"^[\"']?\s+\p{L}").cast("double"))
+            .withColumn("after_call", after.rlike(r"^[(\[]").cast("double")).drop("covered"))
 
 
-def _word_counts(docs: DataFrame, text_col: str) -> DataFrame:
+def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(word, n) over all documents, words of 3 letters or more between blanks and marks."""
     words = docs.select(F.explode(F.split(F.lower(F.col(text_col)), r"[^\p{L}]+")).alias("word"))
     return words.where(F.col("word").rlike("^[a-z]{3,30}$")).groupBy("word").agg(F.count("*").alias("n"))
@@ -175,7 +189,8 @@ def _letter_pairs(words: DataFrame) -> DataFrame:
 
 
 def rule_labels(found: DataFrame) -> DataFrame:
-    """Labels for findings that need no judgement; null for the rest.
+    """What plain rules say of findings; null where they say nothing.  They only
+    stand in where no forest can be taught, and the forest is measured against them.
 
     1: an access key id, or a token of digits and letters (8 characters or more)
     right after a credential name.  0: placeholders, addresses, plain numbers, dates and
@@ -190,7 +205,7 @@ def rule_labels(found: DataFrame) -> DataFrame:
     return found.withColumn("label", F.when(plain | wordy, 0).when(secret, 1))
 
 
-def train(labelled: DataFrame, max_rows: int = 20_000, trees: int = 40, depth: int = 6,
+def train(labelled: DataFrame, max_rows: int = 20_000, trees: int = 60, depth: int = 10,
           seed: int = 5) -> RandomForestClassificationModel | None:
     """Forest from findings with features and a 0/1 ``label``; at most ``max_rows``
     of each label teach (those with the smallest hash), different tokens first
@@ -206,25 +221,38 @@ def train(labelled: DataFrame, max_rows: int = 20_000, trees: int = 40, depth: i
     return forest.fit(VectorAssembler(inputCols=list(FEATURES), outputCol="x").transform(rows))
 
 
-def scan(docs: DataFrame, labelled: DataFrame | None = None, threshold: float = 0.5, **options) -> DataFrame:
+def judged(featured: DataFrame, model: RandomForestClassificationModel) -> DataFrame:
+    """``featured`` with the forest's ``score``."""
+    return (model.transform(VectorAssembler(inputCols=list(FEATURES), outputCol="x").transform(featured))
+            .withColumn("score", vector_to_array("probability")[1]))
+
+
+def lessons(labelled: DataFrame, docs: DataFrame | None, **options) -> DataFrame:
+    """Labelled findings (token, before, after, label) with features; those with a
+    null token or label teach nothing, null surroundings are empty ones."""
+    rows = labelled.where("token is not null and token <> '' and label is not null").select(
+        "token", F.coalesce("before", F.lit("")).alias("before"), F.coalesce("after", F.lit("")).alias("after"), "label")
+    return with_features(rows.withColumn("doc_id", F.lit(None).cast("long")).withColumn("nth", F.lit(0)), docs, **options)
+
+
+def scan(docs: DataFrame, labelled: DataFrame | None = None, threshold: float = 0.5, least: int = 12,
+         least_letters: int = 24, **options) -> DataFrame:
     """Every candidate: doc_id, nth, token, before, after, score, is_secret.
 
     ``labelled`` holds findings of earlier scans (token, before, after, label 0
-    or 1); without it, the findings that rules settle teach (``rule_labels``).
-    The forest judges all candidates, the labelled ones included.  Without both
-    labels among them the score is the rule's label, or 0.5.  Null and empty
-    texts have no candidates; repeated rows repeat; other columns are ignored.
+    or 1); without it the committed ones teach (``findings.labelled_findings``).
+    The forest judges all candidates.  Without both labels among the lessons the
+    score is what the rules say (``rule_labels``), or 0.5.  Null and empty texts
+    have no candidates; repeated rows repeat; other columns are ignored.
     """
-    found = stage(with_features(stage(candidates(docs), "candidates"), docs), "featured")
-    known = rule_labels(found)
-    if labelled is not None:
-        lessons = labelled.select("token", "before", "after", "label").withColumn("doc_id", F.lit(None).cast("long"))
-        known = with_features(lessons.withColumn("nth", F.lit(0)), docs)
-    model = train(known, **options)
+    stats = stage(word_counts(docs), "word-counts")
+    found = stage(with_features(stage(candidates(docs, least=least, least_letters=least_letters), "candidates"), None,
+                                stats=stats), "featured")
+    taught = labelled_findings(docs.sparkSession) if labelled is None else labelled
+    model = train(lessons(taught, None, stats=stats), **options)
     if model is None:
         scored = rule_labels(found).withColumn("score", F.coalesce(F.col("label").cast("double"), F.lit(0.5)))
     else:
-        scored = (model.transform(VectorAssembler(inputCols=list(FEATURES), outputCol="x").transform(found))
-                  .withColumn("score", vector_to_array("probability")[1]))
+        scored = judged(found, model)
     return scored.select("doc_id", "nth", "token", "before", "after", "score",
                          (F.col("score") >= threshold).alias("is_secret"))

@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from shelfwise.llm import secrets, vectors
+from shelfwise.llm import findings, secrets, vectors
 from tests.llm.conftest import EDGE, ordered, rows_of
 
 
@@ -108,7 +108,7 @@ def test_secret_edge_rows(spark, edge, nothing):
         "doc_id long, text string")
     rows = rows_of(secrets.scan(tricky))
     assert ordered((r[0], r[2][:6]) for r in rows) == ordered(
-        [(4, "a1a1a1"), (4, "a1b2c3"), (None, "AKIAAB"), (6, "hunter")])
+        [(3, "xxxxxx"), (4, "a1a1a1"), (4, "a1b2c3"), (None, "AKIAAB"), (6, "hunter")])
     assert secrets.scan(nothing).count() == 0
     assert {r[0] for r in rows_of(secrets.scan(edge))} <= {i for i, _ in EDGE}
 
@@ -148,3 +148,51 @@ def test_short_values_and_values_with_marks_after_a_name(spark):
         line = lines[r["doc_id"]]
         assert any(r["before"] == line[max(0, k - 40):k] and r["after"] == line[k + len(r["token"]):][:40]
                    for k in range(len(line)) if line.startswith(r["token"], k)), r
+
+
+def held_out_figures(rows):
+    """(precision, recall) of the forest and of the rules, where rows are (label, score, rule)."""
+    out = []
+    for says in (lambda r: r["score"] >= 0.5, lambda r: r["rule"] == 1):
+        hits = sum(r["label"] == 1 and says(r) for r in rows)
+        out.append((hits / max(1, sum(map(says, rows))), hits / sum(r["label"] == 1 for r in rows)))
+    return out
+
+
+def test_forest_beats_the_rules_on_templates_it_has_not_seen(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    stats = secrets.word_counts(docs).cache()
+    every = findings.labelled_findings(spark)
+    assert every.count() == sum(1 if t[1].startswith("x:") else 40 for t in findings.TEMPLATES)
+    right = {"forest": 0, "rules": 0}
+    for fold in range(3):
+        test = secrets.F.col("template") % 3 == fold
+        model = secrets.train(secrets.lessons(every.where(~test), None, stats=stats))
+        featured = secrets.lessons(every.where(test), None, stats=stats).withColumnRenamed("label", "truth")
+        rows = secrets.rule_labels(secrets.judged(featured, model)).selectExpr("truth as label", "score", "label as rule").collect()
+        (p, r), (rule_p, rule_r) = held_out_figures(rows)
+        print(f"fold {fold}: forest {p:.3f} {r:.3f}, rules {rule_p:.3f} {rule_r:.3f}")
+        right["forest"] += sum((x["score"] >= 0.5) == (x["label"] == 1) for x in rows) / len(rows)
+        right["rules"] += sum((x["rule"] == 1) == (x["label"] == 1) for x in rows) / len(rows)
+        assert p > 0.7 and r > 0.6
+    assert right["forest"] > right["rules"]
+
+
+def test_forest_corrects_what_rules_get_wrong(spark):
+    lines = ["push failed, ghp_16C7e42F292c6912E7710c838347Ae178B4a pushed", "password=changeable1 in docs",
+             "token: see2section4 below", "commit 3f786850e387550fdab836ed7e6dc881de23001b fixes", "passwd=Xy7Qp2Lm9 once"]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string").union(
+        spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").where("doc_id > 100"))
+    got = {r["doc_id"]: r["is_secret"] for r in secrets.scan(docs).where("doc_id < 5").collect()}
+    assert got == {0: True, 1: False, 2: False, 3: False, 4: True}
+
+
+def test_lessons_with_nulls_and_none_at_all(spark):
+    docs = spark.createDataFrame([(1, "token = abcdef123456"), (2, "x" * 30)], "doc_id long, text string")
+    schema = "token string, before string, after string, label int"
+    holes = spark.createDataFrame([(None, "a", "b", 1), ("t0k3n1234567", None, None, 1), ("abc", "x", "y", None), ("", "", "", 0),
+                                   ("plainword", "the ", " is", 0)], schema)
+    assert secrets.scan(docs, holes).count() == 2
+    none = {r["doc_id"]: r["score"] for r in secrets.scan(docs, spark.createDataFrame([], schema)).collect()}
+    assert none == {1: 1.0, 2: 0.0}
+    assert secrets.scan(docs, least_letters=40).count() == 1 and secrets.scan(docs, least=13).count() == 2
