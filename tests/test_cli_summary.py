@@ -2,8 +2,9 @@
 
 from shelfwise.__main__ import main
 from shelfwise.operators import etl, summary
+from shelfwise.sinks.batches import read_fact
 from shelfwise.sources.model import load_model
-from tests.conftest import AS_OF, SF_SMALL
+from tests.conftest import AS_OF, SF_SMALL, sale
 
 
 def test_summary_sections(spark):
@@ -36,3 +37,15 @@ def test_cli_takes_date_and_prints_every_row(spark, capsys):
     lines = capsys.readouterr().out.strip().splitlines()
     assert len(lines) == 1 + load_model(spark, SF_SMALL).products.count()
     assert all("NO_SALES" in x for x in lines[1:])
+
+
+def test_cli_daily_twice_is_once(spark, make_model, tmp_out):
+    m = make_model(sales=[sale(i, f"2001-1{i % 2}-0{1 + i % 4}", 1 + i % 2, 1, 10 + i) for i in range(12)])
+    for name in ("sales", "products", "categories", "stores", "inventory"):
+        getattr(m, name).write.parquet(f"{tmp_out}/star/{name}")
+    for _ in range(2):
+        main(["daily", "--tables", f"{tmp_out}/star", "--star", "--out", f"{tmp_out}/store", "--batch", "b1",
+              "--as-of", "2001-11-04"])
+    assert read_fact(spark, f"{tmp_out}/store/sales").count() == 12
+    top = spark.read.parquet(f"{tmp_out}/store/reports/analytics/run_date=20011104/Top_Sellers/parquet")
+    assert sum(r.units_sold for r in top.collect()) == 12
