@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import uuid
 
 import numpy as np
 import pandas as pd
@@ -36,6 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.llm.common import HashCache, ascii_words, n_partitions, stage
+from shelfwise.session import ensure_checkpoint_dir
 from shelfwise.llm.ngram_trie import Quantiser, Trie
 
 START = np.uint64(xxhash.xxh3_64_intdigest(b"\n<start>"))       # no word holds a line break
@@ -393,21 +395,12 @@ def _ask_trigrams(blocks: DataFrame, answers: DataFrame, layout: Layout, corpus:
                                                                          strict=True)], names=list(types))
 
     def run(batches):
-        own, given = None, []
         for batch in batches:
             for row in batch.to_pylist():
-                if row["words"] is None:
-                    given.append(row)
-                    continue
-                if own is not None:
-                    yield rows_of(own, given)
-                own, given = row, []
-        if own is not None:
-            yield rows_of(own, given)
+                yield rows_of(row, row.pop("answers"))
 
-    together = blocks.withColumn("shard", F.lit(-1)).unionByName(answers, allowMissingColumns=True)
-    return (together.repartition(n_partitions(blocks.sparkSession), "block").sortWithinPartitions("block", "shard")
-            .mapInArrow(run, _TRIGRAMS))
+    gathered = answers.groupBy("block").agg(F.collect_list(F.struct("shard", "here", "base", "counts", "ranks")).alias("answers"))
+    return blocks.join(gathered, "block").mapInArrow(run, _TRIGRAMS)
 
 
 def _answer_trigrams(requests: DataFrame, mass: float) -> DataFrame:
@@ -465,6 +458,20 @@ def _add_up(sums: DataFrame) -> DataFrame:
         run, "doc_id long, train boolean, n_tokens long, n_known long, base_score double, score double")
 
 
+def _bucketed(blocks: DataFrame) -> DataFrame:
+    """The blocks written to the shared folder in buckets of their number: the
+    answers come to them, they are not shuffled again.  The table's name is only
+    needed to write it."""
+    spark = blocks.sparkSession
+    name = f"lm_blocks_{uuid.uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}"
+    (blocks.write.format("parquet").bucketBy(n_partitions(spark), "block").option("path", path).saveAsTable(name))
+    table = spark.table(name)
+    table.schema                # resolved from here on
+    spark.sql(f"DROP TABLE {name}")
+    return table
+
+
 def _release(spark: SparkSession) -> None:
     """Shuffle files of finished steps go once nothing refers to them."""
     gc.collect()
@@ -488,8 +495,7 @@ def score_documents(docs: DataFrame, order: int = 3, masses: tuple[float, float]
     if order not in (2, 3):
         raise ValueError("order must be 2 or 3")
     spark = docs.sparkSession
-    blocks = stage(read_blocks(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), block_tokens),
-                   "lm-blocks")
+    blocks = _bucketed(read_blocks(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), block_tokens))
     sums = blocks.select(F.aggregate(F.arrays_zip("sizes", "train"), F.lit(0).cast("long"), lambda a, x: a + F.when(
         x["train"], x["sizes"]).otherwise(0)).alias("tokens"),
         F.size(F.filter("train", lambda x: x)).alias("documents"),

@@ -91,6 +91,21 @@ def test_rows_grow_with_the_ngrams_not_with_blocks_times_shards(documents):
     assert lm._ask_pairs(blocks, lm.Layout(50_000, 50, {})).count() <= min(pairs + n, n * 50_000)
 
 
+def test_blocks_are_not_shuffled_again(spark, documents):
+    blocks = lm._bucketed(lm.read_blocks(documents.select("doc_id", "text"), 2000))
+    assert not any(t.name.startswith("lm_blocks") for t in spark.catalog.listTables())
+    answers = blocks.selectExpr("1 as shard", "block", "words as here", "words as base", "words as counts", "words as ranks")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = lm._ask_trigrams(blocks, answers.repartition(3), lm.Layout(4, 100, {}), {}, lm.MASSES, 3)
+        text = plan._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    join = text[text.index("SortMergeJoin"):]
+    assert join.count("Exchange hashpartitioning(block") <= 1 and "Bucketed: true" in text
+
+
 @pytest.mark.parametrize("top", [1, 200, 2**17, 2**63])
 def test_packing_round_trip(top):
     values = np.random.default_rng(top % 1000).integers(0, top, 1000, dtype=np.uint64)
