@@ -59,12 +59,29 @@ def test_links_of_clusters(spark, monkeypatch, block):
     assert all(r[3] == (r[0] == r[2]) for r in got)
 
 
-def test_recall_on_the_given_vectors(spark):
-    df = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
-    rows = rows_of(df.select("vec_id", "embedding", "label"))
-    got, want = sorted(rows_of(vectors.near_vectors(df))), sorted(brute(rows, 0.98))
-    assert sum(r[1] for r in got) >= 0.9 * sum(r[1] for r in want)
-    assert all(g[1] <= w[1] for g, w in zip(got, want, strict=True))
+def test_recall_on_planted_pairs(spark):
+    """20,000 vectors of three labels, with pairs planted right above the threshold;
+    the rows whose id is divisible by 100 are compared with all others by brute force."""
+    rng = np.random.default_rng(11)
+    dim, n = 64, 20_000
+    x = rng.normal(size=(n, dim))
+    labels = rng.integers(0, 3, n)
+    for i in range(0, n, 100):                  # its neighbour at a cosine of 0.98 to 0.985
+        cosine = rng.uniform(0.9801, 0.985)
+        side = rng.normal(size=dim)
+        side -= side @ x[i] / (x[i] @ x[i]) * x[i]
+        x[i + 1] = cosine * x[i] / np.linalg.norm(x[i]) + np.sqrt(1 - cosine ** 2) * side / np.linalg.norm(side)
+        labels[i + 1] = labels[i]
+    df = spark.createDataFrame([(i, x[i].tolist(), int(labels[i])) for i in range(n)],
+                               "vec_id long, embedding array<double>, label int").repartition(8)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    queries = np.arange(0, n, 100)
+    near = (unit[queries] @ unit.T >= 0.98) & (labels[queries][:, None] == labels[None, :])
+    want = dict(zip(queries.tolist(), (near.sum(1) - 1).tolist(), strict=True))
+    got = {r["vec_id"]: r["n_links"] for r in vectors.near_vectors(df).where("vec_id % 100 = 0").collect()}
+    found = sum(min(got[i], want[i]) for i in want) / sum(want.values())
+    print(f"recall {found:.3f} of {sum(want.values())} links")
+    assert sum(want.values()) >= 200 and found >= 0.9 and all(got[i] <= want[i] for i in want)
 
 
 def test_vector_edge_rows(spark):
