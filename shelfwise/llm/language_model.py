@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 import numpy as np
@@ -473,9 +474,13 @@ def _bucketed(blocks: DataFrame) -> DataFrame:
 
 
 def _release(spark: SparkSession) -> None:
-    """Shuffle files of finished steps go once nothing refers to them."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Shuffle files of finished steps go once nothing refers to them, which a
+    garbage collection has to find out; Spark's own comes every half an hour.  The
+    second one is for what the listeners still held during the first."""
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def score_documents(docs: DataFrame, order: int = 3, masses: tuple[float, float] = MASSES, block_tokens: int = 1_200_000,
