@@ -113,9 +113,11 @@ def _kind(written: str) -> tuple[str, str]:
 def labelled_findings(spark: SparkSession, each: int = 40) -> DataFrame:
     """(template, token, before, after, label): ``each`` findings of every template
     (one of those whose token is a text)."""
+    names = ("template", "before", "prefix", "kind", "low", "high", "after", "label")
     rows = [(i, before, *_kind(kind), *rest) for i, (before, kind, *rest) in enumerate(TEMPLATES)]
-    table = spark.createDataFrame(rows, "template int, before string, prefix string, kind string, low int, high int, "
-                                        "after string, label int")
+    # literals of the plan: no Python row has to be read on an executor
+    table = spark.range(1).select(F.explode(F.array(*[
+        F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row, strict=True)]) for row in rows])).alias("t")).select("t.*")
     numbered = table.withColumn("n", F.explode(F.sequence(F.lit(1), F.when(F.col("kind") == "x", 1).otherwise(each))))
     seed = F.concat_ws("/", F.col("template").cast("string"), F.col("n").cast("string"))
     size = F.col("low") + F.pmod(F.xxhash64(seed), F.col("high") - F.col("low") + 1).cast("int")

@@ -248,7 +248,7 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, threshold: float =
     stats = stage(word_counts(docs), "word-counts")
     found = stage(with_features(stage(candidates(docs, least=least, least_letters=least_letters), "candidates"), None,
                                 stats=stats), "featured")
-    taught = labelled_findings(docs.sparkSession) if labelled is None else labelled
+    taught = stage(labelled_findings(docs.sparkSession), "labelled") if labelled is None else labelled
     model = train(lessons(taught, None, stats=stats), **options)
     if model is None:
         scored = rule_labels(found).withColumn("score", F.coalesce(F.col("label").cast("double"), F.lit(0.5)))

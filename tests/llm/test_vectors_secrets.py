@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 
 from shelfwise.llm import findings, secrets, vectors
+from shelfwise.llm.common import stage
 from tests.llm.conftest import EDGE, ordered, rows_of
 
 
@@ -134,6 +135,8 @@ def test_scan_runs_no_python(spark):
     df = secrets.scan(spark.createDataFrame([(1, "token = abcdef123456")], "doc_id long, text string"))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not any(n in plan for n in ("Python", "Pandas", "Arrow"))
+    made = findings.labelled_findings(spark)
+    assert "ExistingRDD" not in made._jdf.queryExecution().executedPlan().toString()
 
 
 def test_long_credential_names_stay_in_the_surroundings(spark):
@@ -179,7 +182,7 @@ def held_out_figures(rows):
 def test_forest_beats_the_rules_on_templates_it_has_not_seen(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     stats = secrets.word_counts(docs).cache()
-    every = findings.labelled_findings(spark)
+    every = stage(findings.labelled_findings(spark), "labelled")
     assert every.count() == sum(1 if t[1].startswith("x:") else 40 for t in findings.TEMPLATES)
     right = {"forest": 0, "rules": 0}
     for fold in range(3):
