@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,3 +41,20 @@ def draw(cell: Column, salt: int) -> Column:
     x = x.bitwiseXOR(F.shiftright(x, 15)) * c % PRIME
     x = x.bitwiseXOR(F.shiftright(x, 13)) * d % PRIME
     return x.bitwiseXOR(F.shiftright(x, 16)) % PRIME
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """x % PRIME of numbers from 0 on; PRIME is 2^31 - 1, so the high bits are added to the low ones."""
+    for _ in range(2):
+        x = (x & PRIME) + (x >> 31)
+    return np.where(x >= PRIME, x - PRIME, x)
+
+
+def draw_array(cell: np.ndarray, salt: int) -> np.ndarray:
+    """``draw`` of an int64 array.  As an expression a draw names its cell sixteen
+    times, which a filter computes anew each time; here each step is taken once."""
+    a, b, c, d = MULTIPLIERS
+    x = _reduced(_reduced(cell) * a + _reduced(cell // PRIME) * b + salt * 1_000_003)
+    x = _reduced((x ^ (x >> 15)) * c)
+    x = _reduced((x ^ (x >> 13)) * d)
+    return _reduced(x ^ (x >> 16))

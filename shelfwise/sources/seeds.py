@@ -5,11 +5,13 @@ from __future__ import annotations
 import math
 from decimal import Decimal
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.functions import dates as D
-from shelfwise.functions.numbering import PRIME, draw, numbered
+from shelfwise.functions.numbering import PRIME, draw_array, numbered
 from shelfwise.sources.model import (CATEGORIES_SCHEMA, PRODUCTS_SCHEMA, STORES_SCHEMA,
                                      StarModel)
 
@@ -122,9 +124,9 @@ def demand_grid(model: StarModel, start, end) -> DataFrame:
     A cell's number has three digits, (product, store, day), in mixed radix; its
     draws are functions of that number, so the same cell always sells the same,
     whatever else is asked for, and any lost task is computed again alike.  The
-    cells are a ``range`` that tasks share evenly; the dimensions are looked up by
-    their gapless numbers (Spark broadcasts them if they are small), which no
-    cross join and no driver loop has to make.
+    cells are a ``range`` that tasks share evenly and draw by the batch; the
+    dimensions are looked up by their gapless numbers (Spark broadcasts them if
+    they are small), which no cross join and no driver loop has to make.
     """
     spark = model.products.sparkSession
     products = numbered(model.products.select("product_id", "unit_price"), "product_id", "product_no")
@@ -132,22 +134,30 @@ def demand_grid(model: StarModel, start, end) -> DataFrame:
     sizes = [model.products.count(), model.stores.count()]
     first, last = spark.range(1).select(F.unix_date(D.as_of_col(start)), F.unix_date(D.as_of_col(end))).first()
     days = max(0, last - first + 1)
-    cells = spark.range(sizes[0] * sizes[1] * days).select(
-        F.expr(f"id div {max(1, sizes[1] * days)}").alias("product_no"),
-        F.expr(f"id div {max(1, days)} % {max(1, sizes[1])}").alias("store_no"),
-        F.expr(f"id % {max(1, days)} + {first}").alias("day_no"))
-    # the day counts from 1970 and has room for 65536 values, so a cell's number
-    # does not depend on the range asked for
-    number = (F.col("product_no") * sizes[1] + F.col("store_no")) * 65536 + F.col("day_no")
-    sold = cells.where(draw(number, 1) < math.floor(SELL_CHANCE * PRIME)).withColumn("u", draw(number, 2))
-
-    def units(mean):
-        return sum((F.when(F.col("u") >= step, 1).otherwise(0) for step in poisson_steps(mean)), F.lit(0))
-    slow = F.col("product_id") % SLOW_EVERY == 0
+    n_stores, chance = sizes[1], math.floor(SELL_CHANCE * PRIME)
+    slow_steps, usual_steps = (np.array(poisson_steps(mean)) for mean in (SLOW_MEAN, USUAL_MEAN))
+
+    def sell(batches):
+        for batch in batches:
+            rest, day = np.divmod(batch.column(0).to_numpy(), days)
+            # the day counts from 1970 and has room for 65536 values, so a cell's number
+            # (rest is product_no * stores + store_no) does not depend on the range asked for
+            day += first
+            number = rest * 65536 + day
+            sold = draw_array(number, 1) < chance
+            u, (product, store) = draw_array(number[sold], 2), np.divmod(rest[sold], n_stores)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(product), pa.array(store), pa.array(day[sold].astype(np.int32)),
+                 *[pa.array(np.searchsorted(steps, u, side="right").astype(np.int32))
+                   for steps in (slow_steps, usual_steps)]],
+                names=["product_no", "store_no", "day_no", "slow_units", "usual_units"])
+    sold = spark.range(sizes[0] * n_stores * days).mapInArrow(
+        sell, "product_no long, store_no long, day_no int, slow_units int, usual_units int")
     weekday, season = day_factors(F.col("sale_date"))
-    count = F.when(slow, units(SLOW_MEAN)).otherwise(units(USUAL_MEAN)).cast("double")
+    count = F.when(F.col("product_id") % SLOW_EVERY == 0, F.col("slow_units")).otherwise(
+        F.col("usual_units")).cast("double")
     return (sold.join(products, "product_no").join(stores, "store_no")
-            .withColumn("sale_date", F.date_from_unix_date(F.col("day_no").cast("int")))
+            .withColumn("sale_date", F.date_from_unix_date("day_no"))
             .withColumn("quantity", F.greatest(F.lit(1), F.floor(count * weekday * season)).cast("int"))
             .select("sale_date", "product_id", "store_id", "quantity", "unit_price",
                     (F.col("quantity") * F.col("unit_price")).cast("decimal(14,2)").alias("total_amount")))

@@ -4,10 +4,11 @@ import datetime as dt
 import math
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from shelfwise.functions.numbering import PRIME, draw, numbered
+from shelfwise.functions.numbering import PRIME, draw, draw_array, numbered
 from shelfwise.operators import (daily_state, forecast, kpis, measures, order_counts, quality, quarantine, reports,
                                  summary)
 from shelfwise.operators.slicers import apply_slicers
@@ -167,6 +168,28 @@ def test_grid_has_the_generators_law(spark, make_model):
     assert "Range (0, 2000" in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
+def test_grid_draws_each_cell_once(spark, make_model):
+    cells = [0, 1, PRIME - 1, PRIME, PRIME + 1, 2 * PRIME, 2 ** 53 + 7, *range(0, 2 ** 62, 2 ** 62 // 997), 2 ** 63 - 1]
+    for salt in (1, 2):
+        assert draw_array(np.array(cells), salt).tolist() == [plain_draw(c, salt) for c in cells]
+    # repeated stores are cells of their own
+    m = make_model(products=[product(4), product(5), product(7)], stores=[(i, "s", "R", "C") for i in (3, 3, 8)])
+    grid = seeds.demand_grid(m, "2001-11-02", "2001-11-05")
+    steps = {slow: seeds.poisson_steps(0.5 if slow else 3.0) for slow in (True, False)}
+    want = []
+    for pn, pid in enumerate((4, 5, 7)):
+        for sn, sid in enumerate((3, 3, 8)):
+            for day in (dt.date(2001, 11, n) for n in (2, 3, 4, 5)):
+                number = (pn * 3 + sn) * 65536 + (day - dt.date(1970, 1, 1)).days
+                if plain_draw(number, 1) < math.floor(0.55 * PRIME):
+                    units = sum(plain_draw(number, 2) >= step for step in steps[pid % 4 == 0])
+                    season = math.floor((1 + 0.15 * math.sin(2 * math.pi * day.timetuple().tm_yday / 365)) * 1e6 + 0.5) / 1e6
+                    want.append((day, pid, sid, max(1, math.floor(units * (1.3 if day.weekday() > 4 else 1.0) * season))))
+    assert sorted(map(tuple, grid.select("sale_date", "product_id", "store_id", "quantity").collect())) == sorted(want)
+    # a filter on the draw as an expression had its multipliers eight times over
+    assert grid._jdf.queryExecution().executedPlan().toString().count("48271") <= 2
+
+
 def test_numbers_are_gapless_in_key_order(spark):
     df = spark.range(0, 1000).select((F.col("id") * 37 % 1009).alias("k"))
     got = numbered(df, "k", "no").orderBy("k").collect()
