@@ -101,7 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         apply_slicers(m, categories=SLICER_CATEGORIES, fact="summed"), as_of, by=["month"])),
     "forecast_all_products": _q(lambda m, as_of: forecast.forecast_products(m, as_of, top_n=None)),
     "etl_clean_repeated": _q(lambda m, as_of: etl.transform(
-        etl.extract_sales(m, as_of).unionAll(etl.extract_sales(m, as_of)))),
+        etl.extract_sales(m, as_of).unionAll(etl.extract_sales(m, as_of)), rows=2 * etl.extracted_rows(m, as_of))),
     "quarantined_sales": quarantined_sales,
     "demand_by_store": _q(lambda m, as_of: seeds.demand_by_store(m, _days_before(as_of, 2), _days_before(as_of, 1))),
     "distinct_orders": _q(lambda m, as_of: order_counts.distinct_orders(m)),

@@ -18,6 +18,30 @@ def test_e12_dedup_ignores_sale_id(make_model):
     assert keyed.count() == 1
 
 
+def test_repeats_of_a_hot_product_are_dealt_over_tasks(spark, make_model, monkeypatch):
+    monkeypatch.setattr(etl, "ROWS_PER_TASK", 50)
+    days = [(dt.date(2000, 1, 1) + dt.timedelta(n)).isoformat() for n in range(600)]
+    m = make_model(sales=[sale(n, day, 1, 1, 5) for n, day in enumerate(days)])
+    lines = etl.extract_sales(m, AS_OF)
+    assert etl.extracted_rows(m, AS_OF) == lines.count() > 500
+    clean = etl.transform(lines.unionAll(lines), rows=2 * lines.count())
+    spread = [r["count"] for r in clean.groupBy(F.spark_partition_id()).count().collect()]
+    # with the partitions of the join all lines of a product were held by one task
+    assert sum(spread) == lines.count() and len(spread) > 10 and max(spread) < 100
+    for keys in (None, ["sale_date"]):                       # counted, and by keys
+        assert etl.transform(lines.unionAll(lines), keys=keys).count() == lines.count()
+
+
+def test_many_products_are_hashed(spark, make_model, monkeypatch):
+    from shelfwise.plans.inspect import executed_plan
+    m = make_model(sales=[sale(n, "2001-11-01", n % 3, 1, 5 + n) for n in range(9)])
+    want = [sorted(map(tuple, f(m, AS_OF).collect())) for f in (etl.extract_sales, etl.clean_sales)]
+    monkeypatch.setattr(etl, "PRODUCTS_HASHED", 2)
+    assert "ShuffledHashJoin" in executed_plan(etl.extract_sales(m, AS_OF))
+    assert [sorted(map(tuple, f(m, AS_OF).collect())) for f in (etl.extract_sales, etl.clean_sales)] == want
+    assert len(want[0]) == 6
+
+
 def test_transform_columns(make_model):
     m = make_model(sales=[sale(1, "2001-11-04", 1, 3, "10.01")])
     r = etl.transform(etl.extract_sales(m, AS_OF)).collect()[0]
