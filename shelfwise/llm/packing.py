@@ -11,6 +11,7 @@ gathered in one task.
 
 from __future__ import annotations
 
+import json
 import re
 import sys
 import types
@@ -30,11 +31,30 @@ from shelfwise.llm.common import LOWER, stage
 # ------------------------------------------------------------------ token ids
 # A chunk of letters with at most one mark after it; checked by its number of word ends below.
 _SIMPLE = re.compile(r"[^\W\d_]+([.,;:!?]?)")
+# Small letters that normalisation leaves alone, with ASCII marks around them (no
+# apostrophe, which may begin a pre-token with letters in it).
+_LETTERS = re.compile(r"([!-&(-/:-@\[-`{-~]*)([a-zß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+_NORMAL = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+_SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 # on UTF-8 bytes, where values below 128 are ASCII characters and nothing else
 _BLANKS = bytes.maketrans(b"\n\t\r\f\v", b"     ")
 _PLAIN = LOWER.translate(_BLANKS)
 
 
+def letters_library(library: Tokenizer) -> Tokenizer | None:
+    """The library's tokenizer without the steps that change nothing in words of
+    plain small letters (normalising, splitting by a regex): they only go apart at
+    blanks.  None if its settings are not those this is known of."""
+    settings = json.loads(library.to_str())
+    normal, before = settings["normalizer"] or {}, (settings["pre_tokenizer"] or {}).get("pretokenizers", [])
+    if normal.get("normalizers") != _NORMAL or [x["type"] for x in before] != ["Split", "ByteLevel"] or (
+            before[0]["pattern"], before[0]["behavior"], before[0]["invert"]) != ({"Regex": _SPLIT}, "Removed", True) or (
+            before[1]["add_prefix_space"] or before[1]["use_regex"]):
+        return None
+    settings["normalizer"], before[0] = None, {"type": "WhitespaceSplit"}
+    return Tokenizer.from_str(json.dumps(settings))
+
+
 class WordEncoder:
     """Token ids of whole texts for a tokenizer that drops white space between words.
 
@@ -47,6 +67,7 @@ class WordEncoder:
     def __init__(self, path: str, limit: int = 1_000_000):
         self.library = Tokenizer.from_file(path)
         self.limit, self.known = limit, {"": b""}
+        self.letters = letters_library(self.library)
         vocabulary = self.library.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         for piece, i in vocabulary.items():
@@ -56,6 +77,36 @@ class WordEncoder:
         return [np.array(e.ids, dtype="<u4") for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, words: list[str]) -> None:
+        """Runs of marks and of letters are pre-tokens of their own: a word of plain
+        letters with marks around them has the ids of its runs one after the other."""
+        if self.letters is None:
+            return self._learn_other(words)
+        plain, other = {}, []
+        for word in words:
+            found = _LETTERS.fullmatch(word)
+            if found:
+                plain[word] = found.groups()
+            else:
+                other.append(word)
+        known = self.known
+        cores = list({core for _, core, _ in plain.values() if core not in known})
+        if cores:
+            ids = np.array(self.letters.encode_batch_fast([" ".join(cores)], add_special_tokens=False)[0].ids, dtype="<u4")
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) == len(cores) and stops[-1] == len(ids):
+                data, at = ids.tobytes(), 0
+                for core, stop in zip(cores, (4 * stops).tolist(), strict=True):
+                    known[core] = data[at:stop]
+                    at = stop
+            else:                                       # some core is not what it seems
+                other += cores
+        other += {mark for before, _, after in plain.values() for mark in (before, after) if mark not in known}
+        if other:
+            self._learn_other(list(dict.fromkeys(other)))
+        for word, (before, core, after) in plain.items():
+            known[word] = known[before] + known[core] + known[after]
+
+    def _learn_other(self, words: list[str]) -> None:
         """A mark after letters (still letters when normalised) is a pre-token of its
         own: it is put after the ids of its letters.  Simple chunks are encoded joined by blanks and told apart by
         their word ends."""

@@ -88,6 +88,26 @@ def test_word_encoder_equals_the_library(text):
     assert got == encoder.library.encode(text, add_special_tokens=False).ids
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="abßé÷×ÿzN#$&(.-'0 \u0301<|", max_size=60))
+def test_words_of_plain_letters_have_the_librarys_ids(text):
+    encoder = test_words_of_plain_letters_have_the_librarys_ids.__dict__.setdefault("encoder", packing.WordEncoder(WORDS))
+    got = np.frombuffer(b"".join(encoder.chunks(text)), "<u4").tolist()
+    assert got == encoder.library.encode(text, add_special_tokens=False).ids
+
+
+def test_letters_skip_the_full_tokenizer(monkeypatch):
+    encoder, seen = packing.WordEncoder(WORDS), []
+    monkeypatch.setattr(encoder, "_ids", lambda texts, ids=encoder._ids: seen.extend(texts) or ids(texts))
+    text = "Straße### (élan) word&&& word, x1"
+    got = np.frombuffer(b"".join(encoder.chunks(text)), "<u4").tolist()
+    assert got == encoder.library.encode(text, add_special_tokens=False).ids
+    assert sorted(seen) == sorted(["&&&", "(", "###", ")", ",", "x1"])
+    other = Tokenizer.from_file(WORDS)
+    other.normalizer = None
+    assert packing.letters_library(other) is None
+
+
 def best_fill(items, room):
     sums = {0}
     for length, n in items:
