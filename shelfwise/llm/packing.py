@@ -81,29 +81,28 @@ class WordEncoder:
         letters with marks around them has the ids of its runs one after the other."""
         if self.letters is None:
             return self._learn_other(words)
-        plain, other = {}, []
+        known, letters, marked, cores, other = self.known, _LETTERS.fullmatch, [], [], []
         for word in words:
-            found = _LETTERS.fullmatch(word)
-            if found:
-                plain[word] = found.groups()
-            else:
+            found = letters(word)
+            if not found:
                 other.append(word)
-        known = self.known
-        cores = list({core for _, core, _ in plain.values() if core not in known})
+            elif word.isalpha():
+                cores.append(word)
+            else:
+                marked.append((word, *found.groups()))
+        cores = list({*cores, *[core for _, _, core, _ in marked if core not in known]})
         if cores:
             ids = np.array(self.letters.encode_batch_fast([" ".join(cores)], add_special_tokens=False)[0].ids, dtype="<u4")
             stops = np.flatnonzero(self.ends[ids]) + 1
             if len(stops) == len(cores) and stops[-1] == len(ids):
-                data, at = ids.tobytes(), 0
-                for core, stop in zip(cores, (4 * stops).tolist(), strict=True):
-                    known[core] = data[at:stop]
-                    at = stop
+                data, at = ids.tobytes(), [0, *(4 * stops).tolist()]
+                known.update(zip(cores, [data[a:b] for a, b in zip(at, at[1:], strict=False)], strict=True))
             else:                                       # some core is not what it seems
                 other += cores
-        other += {mark for before, _, after in plain.values() for mark in (before, after) if mark not in known}
+        other += [mark for _, before, _, after in marked for mark in (before, after) if mark not in known]
         if other:
             self._learn_other(list(dict.fromkeys(other)))
-        for word, (before, core, after) in plain.items():
+        for word, before, core, after in marked:
             known[word] = known[before] + known[core] + known[after]
 
     def _learn_other(self, words: list[str]) -> None:
