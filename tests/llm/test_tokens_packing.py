@@ -1,5 +1,6 @@
 import zlib
 from collections import defaultdict
+from functools import cache
 
 import numpy as np
 import public_tokenizers
@@ -88,10 +89,15 @@ def test_word_encoder_equals_the_library(text):
     assert got == encoder.library.encode(text, add_special_tokens=False).ids
 
 
+@cache
+def shared_encoder():
+    return packing.WordEncoder(WORDS)
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet="abßé÷×ÿzN#$&(.-'0 \u0301<|", max_size=60))
 def test_words_of_plain_letters_have_the_librarys_ids(text):
-    encoder = test_words_of_plain_letters_have_the_librarys_ids.__dict__.setdefault("encoder", packing.WordEncoder(WORDS))
+    encoder = shared_encoder()
     got = np.frombuffer(b"".join(encoder.chunks(text)), "<u4").tolist()
     assert got == encoder.library.encode(text, add_special_tokens=False).ids
 
