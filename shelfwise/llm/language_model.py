@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import HashCache, ascii_words, n_partitions, stage
+from shelfwise.llm.common import LOWER, n_partitions, stage
 from shelfwise.session import ensure_checkpoint_dir
 from shelfwise.llm.ngram_trie import Quantiser, Trie
 
@@ -82,6 +82,33 @@ def learnt(folds: int = 7, held: int = 2):
 
 # ------------------------------------------------------------------ blocks
 
+_IN_WORD = np.ones(256, bool)
+_IN_WORD[[0x20, *range(0x09, 0x0E)]] = False
+_FIRST_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+LONG_WORD = 64                  # bytes
+
+
+def hashed_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the A-Z lower-cased words of all texts, one after another, and
+    the number of words of each.  A word's length and then its bytes, eight by eight,
+    are mixed for all words at once; long words are hashed one by one."""
+    data = b"".join([b"\n", b"\n".join(texts), b"\n" * 9]).translate(LOWER)
+    inside = _IN_WORD[np.frombuffer(data, np.uint8)]
+    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    starts, ends = edges[::2], edges[1::2]
+    size = ends - starts
+    eights = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
+    out = mix(mix(size) ^ (eights[starts] & _FIRST_BYTES[np.minimum(size, 8)]))
+    at = np.flatnonzero((size > 8) & (size <= LONG_WORD))
+    for done in range(8, LONG_WORD, 8):
+        out[at] = mix(out[at] ^ (eights[starts[at] + done] & _FIRST_BYTES[np.minimum(size[at] - done, 8)]))
+        at = at[size[at] > done + 8]
+    for k in np.flatnonzero(size > LONG_WORD).tolist():
+        out[k] = xxhash.xxh3_64_intdigest(data[starts[k]:ends[k]])
+    borders = np.cumsum([len(t) + 1 for t in texts], dtype=np.int64)
+    return out, np.diff(np.searchsorted(starts, borders), prepend=0)
+
+
 _BLOCK_TYPES = {"block": pa.int64(), "docs": pa.list_(pa.int64()), "train": pa.list_(pa.bool_()),
                 "sizes": pa.list_(pa.int64()), "words": pa.binary(), "codes": pa.binary()}
 _BLOCK = "block long, docs array<long>, train array<boolean>, sizes array<long>, words binary, codes binary"
@@ -94,25 +121,31 @@ def read_blocks(docs: DataFrame, block_tokens: int) -> DataFrame:
     places among them."""
 
     def run(batches):
-        cache, part, nth = HashCache(), TaskContext.get().partitionId(), 0
-        ids, train, sizes, texts, held = [], [], [], [np.array([START])], 0
+        part, nth = TaskContext.get().partitionId(), 0
+        ids, train, sizes, tokens, held = [], [], [], [np.array([START])], 0
 
         def out():
-            words, codes = np.unique(np.concatenate(texts), return_inverse=True)
+            words, codes = np.unique(np.concatenate(tokens), return_inverse=True)
             values = [(part << 32) | nth, ids, train, sizes, pack(_gaps(words)), pack(codes.ravel()[1:], 3)]
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, _BLOCK_TYPES.values(), strict=True)],
                                               names=list(_BLOCK_TYPES))
 
         for batch in batches:
-            for r in range(batch.num_rows):
-                texts.append(np.append(cache.of(ascii_words(batch.column(2)[r].as_py())), END))
-                ids.append(batch.column(0)[r].as_py())
-                train.append(batch.column(1)[r].as_py())
-                sizes.append(len(texts[-1]))
-                held += sizes[-1]
+            hashes, counts = hashed_words([t or b"" for t in batch.column(2).cast(pa.large_binary()).to_pylist()])
+            row_ids, row_train = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            line = np.full(len(hashes) + len(counts), END)
+            line[np.arange(len(hashes)) + np.repeat(np.arange(len(counts)), counts)] = hashes
+            till, a = np.append(0, np.cumsum(counts + 1)), 0
+            while a < len(counts):
+                b = min(int(np.searchsorted(till, till[a] + block_tokens - held)), len(counts))
+                ids += row_ids[a:b]
+                train += row_train[a:b]
+                sizes += (counts[a:b] + 1).tolist()
+                tokens.append(line[till[a]:till[b]])
+                held, a = held + int(till[b] - till[a]), b
                 if held >= block_tokens:
                     yield out()
-                    ids, train, sizes, texts, held, nth = [], [], [], [np.array([START])], 0, nth + 1
+                    ids, train, sizes, tokens, held, nth = [], [], [], [np.array([START])], 0, nth + 1
         if ids:
             yield out()
 
@@ -279,7 +312,7 @@ def _answer_pairs(requests: DataFrame) -> DataFrame:
         here = np.bincount(owner, count, len(contexts)).astype(np.int64)
         with tempfile.TemporaryDirectory() as folder:
             trie = Trie(contexts, pointers, word[known], count[known], folder, vocabulary)
-            place = trie.search(owner, vocabulary[word])
+            place = trie.search_ranks(owner, trie.ranks(vocabulary)[word])
             counts = np.where(place >= 0, trie.values[np.maximum(place, 0)] if known.any() else 0, 0)
             ranks = np.where(place >= 0, place - pointers[owner], 0)
             del trie
@@ -426,7 +459,7 @@ def _answer_trigrams(requests: DataFrame, mass: float) -> DataFrame:
         codes = QUANTISER.encode(np.log10(count[known] / (whole[owner[known]] + mass)))
         with tempfile.TemporaryDirectory() as folder:
             trie = Trie(contexts, pointers, vocabulary[word[known]], codes, folder)
-            place = trie.search(owner, vocabulary[word])
+            place = trie.search_ranks(owner, trie.ranks(vocabulary)[word])
             code = np.where(place >= 0, trie.values[np.maximum(place, 0)] if known.any() else 0, 0)
             del trie
         seen, out, a = np.where(code > 0, 10.0 ** QUANTISER.decode(code), 0.0), [], 0

@@ -5,6 +5,7 @@ from collections import Counter
 from math import log10
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from shelfwise.llm import language_model as lm
@@ -126,6 +127,74 @@ def test_elias_fano_search(n, top):
         assert (levels.find(queries) == np.where(there, at, -1)).all()
 
 
+def test_ascending_values_are_found_by_one_pass_not_one_by_one(monkeypatch):
+    rng = np.random.default_rng(5)
+    values = np.unique(rng.integers(0, 2**44, 200_000, dtype=np.uint64))
+    queries = np.sort(np.concatenate([values, rng.integers(0, 2**45, 100_000, dtype=np.uint64)]))
+    selected, select0 = [], EliasFano._select0
+    monkeypatch.setattr(EliasFano, "_select0", lambda self, k: selected.append(len(k)) or select0(self, k))
+    with tempfile.TemporaryDirectory() as folder:
+        levels = EliasFano(values, folder, "x")
+        found = levels.find(queries)
+        assert sum(selected) < 100                      # was three for each value
+        at = np.searchsorted(values, queries)
+        assert (found == np.where(np.isin(queries, values), at, -1)).all()
+        mixed = rng.permutation(queries)
+        assert (values[levels.find(mixed)[np.isin(mixed, values)]] == mixed[np.isin(mixed, values)]).all()
+        few = np.array([values[3], values[3] + np.uint64(1), values[-7], 2**63], np.uint64)     # far apart: probed
+        assert levels.find(few).tolist() == [3, 4 if values[4] == few[1] else -1, len(values) - 7, -1]
+
+
+def test_a_vocabulary_is_searched_once_for_each_word(monkeypatch):
+    asked, find = [], EliasFano.find
+    monkeypatch.setattr(EliasFano, "find", lambda self, v: asked.append(len(v)) or find(self, v))
+    owner, word = np.divmod(np.arange(3000), 30)
+    words = np.arange(30, dtype=np.uint64) * np.uint64(7) + np.uint64(5)
+    row = (0, 1, lm.pack(np.arange(100) + 1), lm.pack(np.full(100, 30)), lm.pack(words[word]), lm.pack(np.full(3000, 2)))
+    seen = {}
+
+    class Requests:
+        groupBy = lambda self, _: self
+        applyInPandas = lambda self, run, _: seen.update(run=run)
+
+    lm._answer_pairs(Requests())
+    out = seen["run"](pd.DataFrame([row], columns=["shard", "block", "contexts", "degrees", "successors", "tally"]))
+    assert lm.unpack(out["counts"][0]).tolist() == [3] * 3000 and lm.unpack(out["ranks"][0]).tolist() == word.tolist()
+    assert sorted(asked) == [30, 3000]                  # was 3000 twice
+
+
+def test_words_are_hashed_together_and_told_apart():
+    long = "x" * 64
+    texts = ["The the THE  \t\x0b\x0cthE\r\n", "", "  \n", "a a\x00 a\x00\x00 \x00 \x00\x00", "É é", "\u00a0 \x85 \x1c",
+             "12345678 123456789 1234567890123456 12345678901234567", f"{long} {long}x {long}xy {long[:-1]}", "the"]
+    hashes, counts = lm.hashed_words([t.encode() for t in texts])
+    words = [[w.lower() if w.isascii() else w for w in re.findall(r"[^\x20\x09-\x0D]+", t)] for t in texts]
+    assert counts.tolist() == [len(w) for w in words]
+    names = {}
+    for h, w in zip(hashes.tolist(), [w for ws in words for w in ws], strict=True):
+        assert names.setdefault(w, h) == h
+    assert len(set(names.values())) == len(names)
+    for k in range(len(texts)):                         # the same wherever a word stands
+        alone, _ = lm.hashed_words([texts[k].encode()])
+        assert alone.tolist() == hashes[sum(counts[:k]):sum(counts[:k + 1])].tolist()
+    assert [len(x) for x in lm.hashed_words([])] == [0, 0]
+    many = lm.hashed_words([" ".join(f"word{k}" for k in range(300_000)).encode()])[0]
+    assert len(np.unique(many)) == 300_000
+
+
+def test_documents_of_a_batch_are_cut_into_blocks_by_tokens(spark):
+    bound_batches(spark)
+    docs = spark.createDataFrame([(k, "w " * (k % 5) if k % 7 else None) for k in range(200)], "doc_id long, text string").coalesce(1)
+    rows = [r.asDict() for r in lm.read_blocks(docs, 20).collect()]
+    assert [d for r in rows for d in r["docs"]] == list(range(200))
+    assert [n for r in rows for n in r["sizes"]] == [(k % 5 if k % 7 else 0) + 1 for k in range(200)]
+    assert all(sum(r["sizes"]) >= 20 > sum(r["sizes"][:-1]) for r in rows[:-1])
+    for r in rows:
+        block = lm.Block(r)
+        ends = np.cumsum(r["sizes"]) - 1
+        assert (np.flatnonzero(block.words[block.codes] == lm.END) == ends).all() and lm.START in block.words
+
+
 def test_empty_sequence_and_quantiser():
     with tempfile.TemporaryDirectory() as folder:
         assert EliasFano(np.empty(0, np.uint64), folder, "x").find(np.array([3], np.uint64)).tolist() == [-1]
