@@ -43,18 +43,40 @@ def draw(cell: Column, salt: int) -> Column:
     return x.bitwiseXOR(F.shiftright(x, 16)) % PRIME
 
 
-def _reduced(x: np.ndarray) -> np.ndarray:
-    """x % PRIME of numbers from 0 on; PRIME is 2^31 - 1, so the high bits are added to the low ones."""
-    for _ in range(2):
-        x = (x & PRIME) + (x >> 31)
-    return np.where(x >= PRIME, x - PRIME, x)
+def _reduce(x: np.ndarray, spare: np.ndarray) -> None:
+    """x %= PRIME of products of two numbers below PRIME, in place; PRIME is 2^31 - 1, so the high bits
+    are added to the low ones, and one PRIME less is a huge number without sign where it is not due."""
+    np.right_shift(x, 31, out=spare)
+    np.bitwise_and(x, PRIME, out=x)
+    np.add(x, spare, out=x)
+    np.subtract(x, PRIME, out=spare)
+    np.minimum(x.view(np.uint64), spare.view(np.uint64), out=x.view(np.uint64))
+
+
+def seed_array(cell: np.ndarray) -> np.ndarray:
+    """What all draws of an int64 array of cells begin with: cell % PRIME * a + cell // PRIME * b."""
+    a, b = MULTIPLIERS[:2]
+    # cell * a may wrap around in 64 bits, the sum of both terms fits again
+    return cell * a + cell // PRIME * (b - PRIME * a)
+
+
+def draw_seeded(seed: np.ndarray, salt: int) -> np.ndarray:
+    """``draw`` of the cells that ``seed_array`` was given."""
+    x = seed + salt * 1_000_003
+    spare = np.empty_like(x)
+    _reduce(x, spare)
+    for bits, factor in zip((15, 13), MULTIPLIERS[2:], strict=True):
+        np.right_shift(x, bits, out=spare)
+        np.bitwise_xor(x, spare, out=x)
+        np.multiply(x, factor, out=x)
+        _reduce(x, spare)
+    np.right_shift(x, 16, out=spare)
+    np.bitwise_xor(x, spare, out=x)
+    x[x == PRIME] = 0
+    return x
 
 
 def draw_array(cell: np.ndarray, salt: int) -> np.ndarray:
     """``draw`` of an int64 array.  As an expression a draw names its cell sixteen
     times, which a filter computes anew each time; here each step is taken once."""
-    a, b, c, d = MULTIPLIERS
-    x = _reduced(_reduced(cell) * a + _reduced(cell // PRIME) * b + salt * 1_000_003)
-    x = _reduced((x ^ (x >> 15)) * c)
-    x = _reduced((x ^ (x >> 13)) * d)
-    return _reduced(x ^ (x >> 16))
+    return draw_seeded(seed_array(cell), salt)

@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from decimal import Decimal
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.functions import dates as D
-from shelfwise.functions.numbering import PRIME, draw_array, numbered
+from shelfwise.functions.demand import CELL_SCHEMA, RUN_SCHEMA, draw_tile, sum_runs
+from shelfwise.functions.numbering import PRIME, numbered
 from shelfwise.sources.model import (CATEGORIES_SCHEMA, PRODUCTS_SCHEMA, STORES_SCHEMA,
                                      StarModel)
 
@@ -60,6 +60,10 @@ SEASON_AMPLITUDE = 0.15
 SELL_CHANCE = 0.55
 SLOW_EVERY, SLOW_MEAN, USUAL_MEAN = 4, 0.5, 3.0
 
+# Tiles of the demand grid: how many are aimed at, the least and most cells of one, and the most rows
+# of a block of products or stores.
+TILES, TILE_CELLS, BLOCK_ROWS = 256, (2 ** 20, 2 ** 30), 65_536
+
 
 def demo_dimensions(spark: SparkSession) -> dict[str, DataFrame]:
     """The literal demo dimension rows (SRC-4)."""
@@ -115,7 +119,24 @@ def poisson_steps(mean: float) -> list[int]:
     return steps
 
 
-def demand_grid(model: StarModel, start, end) -> DataFrame:
+def _tile_sizes(n_products: int, n_stores: int, days: int) -> tuple[int, int]:
+    """Products and stores of a tile: TILES tiles of even size if that leaves each a number of cells
+    within TILE_CELLS; the more rows a block of products repeats in many tiles, the longer it is made."""
+    pairs = min(max(n_products * n_stores * days // TILES, TILE_CELLS[0]), TILE_CELLS[1]) // max(1, days) + 1
+    products = min(n_products, BLOCK_ROWS, max(math.isqrt(4 * pairs), pairs // max(1, n_stores)))
+    products = -(-n_products // -(-n_products // products)) if products else 1
+    return products, max(1, min(n_stores, BLOCK_ROWS, pairs // products))
+
+
+def _blocks(numbered_rows: DataFrame, number: str, size: int, block: str) -> DataFrame:
+    """One row for each ``size`` consecutive numbers: ``block``, and the other columns as arrays in order of number."""
+    columns = [c for c in numbered_rows.columns if c != number]
+    return (numbered_rows.groupBy(F.expr(f"{number} div {size}").alias(block))
+            .agg(F.sort_array(F.collect_list(F.struct(number, *columns))).alias("rows"))
+            .select(block, *(F.col(f"rows.{c}").alias(c) for c in columns)))
+
+
+def demand_grid(model: StarModel, start, end, combine: tuple[Callable, str] | None = None) -> DataFrame:
     """Simulated sales at their own grain (SRC-9): every product in every store on
     every day from ``start`` to ``end`` sells with chance 0.55 a Poisson number of
     units times the day's factors, one at least.
@@ -124,50 +145,55 @@ def demand_grid(model: StarModel, start, end) -> DataFrame:
     A cell's number has three digits, (product, store, day), in mixed radix; its
     draws are functions of that number, so the same cell always sells the same,
     whatever else is asked for, and any lost task is computed again alike.  The
-    cells are a ``range`` that tasks share evenly and draw by the batch; the
-    dimensions are looked up by their gapless numbers (Spark broadcasts them if
-    they are small), which no cross join and no driver loop has to make.
+    cells are a ``range`` in strides of a block of products, cut into tiles by
+    blocks of stores.  A tile meets the rows of its two blocks before it is dealt
+    to a task, which draws it by the batch: a block is sent once for a tile, the
+    cells are not joined, shuffled or kept.
+
+    ``combine``: a function from a record batch of such rows to a shorter one, and
+    the schema of that; it is applied to each batch in the task that draws it, for
+    readers that sum the rows.  Within a batch the rows are in order of day and store.
     """
     spark = model.products.sparkSession
     products = numbered(model.products.select("product_id", "unit_price"), "product_id", "product_no")
     stores = numbered(model.stores.select("store_id"), "store_id", "store_no")
-    sizes = [model.products.count(), model.stores.count()]
+    n_products, n_stores = model.products.count(), model.stores.count()
     first, last = spark.range(1).select(F.unix_date(D.as_of_col(start)), F.unix_date(D.as_of_col(end))).first()
     days = max(0, last - first + 1)
-    n_stores, chance = sizes[1], math.floor(SELL_CHANCE * PRIME)
-    slow_steps, usual_steps = (np.array(poisson_steps(mean)) for mean in (SLOW_MEAN, USUAL_MEAN))
+    per_tile = _tile_sizes(n_products, n_stores, days)
+    stride, store_blocks = max(1, per_tile[0] * n_stores * days), max(1, -(-n_stores // per_tile[1]))
+    chance, steps = math.floor(SELL_CHANCE * PRIME), [poisson_steps(mean) for mean in (USUAL_MEAN, SLOW_MEAN)]
+    reduce, schema = combine or (None, CELL_SCHEMA)
 
     def sell(batches):
         for batch in batches:
-            rest, day = np.divmod(batch.column(0).to_numpy(), days)
-            # the day counts from 1970 and has room for 65536 values, so a cell's number
-            # (rest is product_no * stores + store_no) does not depend on the range asked for
-            day += first
-            number = rest * 65536 + day
-            sold = draw_array(number, 1) < chance
-            u, (product, store) = draw_array(number[sold], 2), np.divmod(rest[sold], n_stores)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(product), pa.array(store), pa.array(day[sold].astype(np.int32)),
-                 *[pa.array(np.searchsorted(steps, u, side="right").astype(np.int32))
-                   for steps in (slow_steps, usual_steps)]],
-                names=["product_no", "store_no", "day_no", "slow_units", "usual_units"])
-    sold = spark.range(sizes[0] * n_stores * days).mapInArrow(
-        sell, "product_no long, store_no long, day_no int, slow_units int, usual_units int")
-    weekday, season = day_factors(F.col("sale_date"))
-    count = F.when(F.col("product_id") % SLOW_EVERY == 0, F.col("slow_units")).otherwise(
-        F.col("usual_units")).cast("double")
-    return (sold.join(products, "product_no").join(stores, "store_no")
-            .withColumn("sale_date", F.date_from_unix_date("day_no"))
-            .withColumn("quantity", F.greatest(F.lit(1), F.floor(count * weekday * season)).cast("int"))
-            .select("sale_date", "product_id", "store_id", "quantity", "unit_price",
-                    (F.col("quantity") * F.col("unit_price")).cast("decimal(14,2)").alias("total_amount")))
+            for row in range(batch.num_rows):
+                block, store_block, *arrays = (column[row] for column in batch.columns)
+                cells = draw_tile(block.as_py() * per_tile[0], store_block.as_py() * per_tile[1],
+                                  *(array.values for array in arrays), n_stores, SLOW_EVERY, chance, steps)
+                yield from cells if reduce is None else map(reduce, cells)
+
+    calendar = F.transform(F.sequence(F.lit(first), F.lit(max(first, last))), lambda day: F.struct(
+        day.alias("day_no"), *day_factors(F.date_from_unix_date(day))))
+    tiles = (spark.range(0, n_products * n_stores * days, stride)
+             .select(F.expr(f"id div {stride}").alias("products_block"),
+                     F.explode(F.expr(f"sequence(0L, {store_blocks - 1}L)")).alias("stores_block"))
+             .join(_blocks(stores.select("store_no", "store_id"), "store_no", per_tile[1], "stores_block"), "stores_block")
+             .join(_blocks(products.select("product_no", "product_id", (F.col("unit_price") * 100).cast("long").alias("cents")),
+                           "product_no", per_tile[0], "products_block"), "products_block")
+             .select("products_block", "stores_block", "product_id", "cents", "store_id", calendar.alias("calendar")))
+    # a tile is long work on few bytes: without a fixed number, small tiles would be put together into few tasks
+    n_tiles = -(-n_products // per_tile[0]) * store_blocks
+    return tiles.repartition(max(1, min(n_tiles, 10_000))).mapInArrow(sell, schema)
 
 
 def demand_by_store(model: StarModel, start, end) -> DataFrame:
-    """The demand grid summed per day and store: products sold, units, revenue."""
-    return demand_grid(model, start, end).groupBy("sale_date", "store_id").agg(
-        F.count(F.lit(1)).alias("products_sold"), F.sum("quantity").cast("long").alias("units"),
-        F.sum("total_amount").alias("revenue"))
+    """The demand grid summed per day and store: products sold, units, revenue.
+    Rows of one batch are summed where they are drawn, those sums by the shuffle."""
+    sums = demand_grid(model, start, end, combine=(sum_runs, RUN_SCHEMA))
+    return sums.groupBy("sale_date", "store_id").agg(
+        F.sum("products_sold").alias("products_sold"), F.sum("units").alias("units"),
+        F.sum("revenue").cast("decimal(24,2)").alias("revenue"))
 
 
 def demand_calendar(model: StarModel, start=None, end=None) -> DataFrame:
